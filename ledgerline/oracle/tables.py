@@ -321,7 +321,7 @@ MARTS = {
         select order_item_id, i.order_id, i.product_id, o.customer_id, o.order_date as date_id, o.channel_id,
           p.category, p.subcategory, p.brand, i.quantity, i.unit_price, i.discount, i.cost, i.revenue, i.gross_profit,
           case when i.revenue > 0 then i.gross_profit::double / i.revenue::double end as item_margin_pct,
-          case when i.quantity > 0 then i.revenue::double / i.quantity end as effective_unit_price
+          case when i.quantity > 0 then i.revenue / i.quantity::decimal(9,0) end as effective_unit_price
         from stg_order_items i join stg_orders o using (order_id) left join stg_products p using (product_id)""",
     "fct_payments": """
         select payment_id, p.order_id, payment_date as date_id, payment_method, status, amount,
@@ -434,7 +434,8 @@ OUTPUT = {
         "standard_margin_pct realised_margin_pct",
     ),
     "fct_orders": (_ORDER_MONEY, "gross_margin_pct"),
-    "fct_order_items": ("unit_price discount cost revenue gross_profit", "item_margin_pct effective_unit_price"),
+    # The price per unit is kept exact: cents over a quantity of at most 50 end within 8 digits.
+    "fct_order_items": ("unit_price discount cost revenue gross_profit effective_unit_price", "item_margin_pct"),
     "fct_payments": ("amount payment_variance", ""),
     "fct_refunds": ("amount order_paid_amount", ""),
     "fct_inventory": ("unit_cost inventory_value", "days_of_supply"),

@@ -1,20 +1,22 @@
-"""All registered queries with their comparison SQL, collected from the feature modules."""
+"""All registered queries and the SQL they are compared with, collected from the feature modules."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.functions.columns import present
+from ledgerline.oracle import analysis as analysis_sql
+from ledgerline.oracle import quality as quality_sql
 from ledgerline.oracle.build import table_query
 from ledgerline.oracle.tables import OUTPUT
+from ledgerline.plans import analysis, quality
 from ledgerline.plans.warehouse import LAYERS, Warehouse
 from ledgerline.settings import Settings
 from ledgerline.sources.fixtures import FixtureSource
 
-from datetime import date
-
 # The test tables cover 1995 to August 2001.
 TEST_SETTINGS = Settings().but(
     spine_start=date(1995, 1, 1),
@@ -25,21 +27,39 @@ TEST_SETTINGS = Settings().but(
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
-# The static dimensions hold no data of their own; they are checked through the tables that use them.
+Model = Callable[..., DataFrame]
+# The static tables hold no data of their own; the queries of that name show them with the facts they describe.
 STATIC = ("dim_date", "dim_channel", "dim_warehouse")
 
+_open: dict[tuple[str, str], Warehouse] = {}
+
 
-def open_warehouse(spark: SparkSession, folder: str, settings: Settings = TEST_SETTINGS) -> Warehouse:
-    return Warehouse(spark, FixtureSource(spark, folder), settings)
+def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    """The warehouse over a folder of test tables; plans are built once per application and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _open:
+        _open[key] = Warehouse(spark, FixtureSource(spark, folder), TEST_SETTINGS)
+    return _open[key]
 
 
-def _table(name: str) -> Query:
-    return lambda spark, folder: present(open_warehouse(spark, folder)[name])
+def _table(name: str) -> Model:
+    return lambda warehouse: warehouse[name]
+
+
+def models() -> dict[str, Model]:
+    return {
+        **{n: _table(n) for layer in LAYERS.values() for n in layer if n not in STATIC},
+        **analysis.QUERIES,
+        **quality.QUERIES,
+    }
 
 
 def queries() -> dict[str, Query]:
-    return {n: _table(n) for layer in LAYERS.values() for n in layer if n not in STATIC}
+    def bind(model: Model) -> Query:
+        return lambda spark, folder: present(open_warehouse(spark, folder).run(model))
+
+    return {name: bind(model) for name, model in models().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {n: table_query(n) for n in OUTPUT}
+    return {**{n: table_query(n) for n in OUTPUT}, **analysis_sql.SQL, **quality_sql.SQL}

@@ -68,16 +68,18 @@ def dim_date(spark: SparkSession, settings: Settings) -> DataFrame:
     )
 
 
+def _values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A literal table; its size is known to the optimizer, unlike that of rows shipped from Python."""
+    text = ", ".join(str(row) for row in rows)
+    return spark.sql(f"select * from values {text} as t({columns})")
+
+
 def dim_channel(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        CHANNEL_ROWS, "channel_id int, channel_name string, channel_type string, channel_group string"
-    )
+    return _values(spark, CHANNEL_ROWS, "channel_id, channel_name, channel_type, channel_group")
 
 
 def dim_warehouse(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        WAREHOUSE_ROWS, "warehouse_id int, warehouse_code string, region string, city string, state string"
-    )
+    return _values(spark, WAREHOUSE_ROWS, "warehouse_id, warehouse_code, region, city, state")
 
 
 def dim_customer(stg_customers: DataFrame, int_customer_orders: DataFrame, settings: Settings) -> DataFrame:

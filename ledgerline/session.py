@@ -26,10 +26,12 @@ def local_session(cpus: str | int = 8, app: str = "ledgerline") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cpus))
+        # Call-site capture costs a round trip to the JVM for each column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = builder.config("spark.ui.showConsoleProgress", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
