@@ -284,7 +284,7 @@ MARTS = {
           dayofweek(d)::int as day_of_week, 'Q' || quarter(d) as quarter_label, monthname(d) as month_name,
           monthname(d)[:3] as month_abbr, dayname(d) as day_name, dayofweek(d) in (0, 6) as is_weekend,
           year(d)::int as fiscal_year, quarter(d)::int as fiscal_quarter
-        from (select unnest(range(date '1995-01-01', date '2002-01-01', interval 1 day))::date as d)""",
+        from (select unnest(range(date '1995-01-01', date '2025-01-01', interval 1 day))::date as d)""",
     "dim_channel": """
         from (values (1, 'organic_search', 'Organic', 'Search'), (2, 'paid_search', 'Paid', 'Search'),
           (3, 'social_media', 'Paid', 'Social'), (4, 'email', 'Owned', 'Email'), (5, 'direct', 'Organic', 'Direct'),
@@ -321,7 +321,7 @@ MARTS = {
         select order_item_id, i.order_id, i.product_id, o.customer_id, o.order_date as date_id, o.channel_id,
           p.category, p.subcategory, p.brand, i.quantity, i.unit_price, i.discount, i.cost, i.revenue, i.gross_profit,
           case when i.revenue > 0 then i.gross_profit::double / i.revenue::double end as item_margin_pct,
-          case when i.quantity > 0 then i.revenue / i.quantity::decimal(9,0) end as effective_unit_price
+          round((i.revenue::double / nullif(i.quantity, 0))::decimal(28,10), 6)::double as effective_unit_price
         from stg_order_items i join stg_orders o using (order_id) left join stg_products p using (product_id)""",
     "fct_payments": """
         select payment_id, p.order_id, payment_date as date_id, payment_method, status, amount,
@@ -434,7 +434,6 @@ OUTPUT = {
         "standard_margin_pct realised_margin_pct",
     ),
     "fct_orders": (_ORDER_MONEY, "gross_margin_pct"),
-    # The price per unit is kept exact: cents over a quantity of at most 50 end within 8 digits.
     "fct_order_items": ("unit_price discount cost revenue gross_profit effective_unit_price", "item_margin_pct"),
     "fct_payments": ("amount payment_variance", ""),
     "fct_refunds": ("amount order_paid_amount", ""),

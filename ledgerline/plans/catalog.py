@@ -9,18 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.functions.columns import present
 from ledgerline.oracle import analysis as analysis_sql
+from ledgerline.oracle import metrics as metrics_sql
 from ledgerline.oracle import quality as quality_sql
+from ledgerline.oracle import reports as reports_sql
 from ledgerline.oracle.build import table_query
 from ledgerline.oracle.tables import OUTPUT
-from ledgerline.plans import analysis, quality
+from ledgerline.plans import analysis, metrics, quality, reports
 from ledgerline.plans.warehouse import LAYERS, Warehouse
 from ledgerline.settings import Settings
 from ledgerline.sources.fixtures import FixtureSource
 
-# The test tables cover 1995 to August 2001.
+# Orders in the test tables run from 1995 to August 2001, events are of January 2024.
 TEST_SETTINGS = Settings().but(
     spine_start=date(1995, 1, 1),
-    spine_end=date(2001, 12, 31),
+    spine_end=date(2024, 12, 31),
     as_of=date(2001, 8, 31),
     active_since=date(2001, 6, 1),
     lapsing_since=date(2000, 9, 1),
@@ -51,6 +53,8 @@ def models() -> dict[str, Model]:
         **{n: _table(n) for layer in LAYERS.values() for n in layer if n not in STATIC},
         **analysis.QUERIES,
         **quality.QUERIES,
+        **metrics.QUERIES,
+        **reports.QUERIES,
     }
 
 
@@ -62,4 +66,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**{n: table_query(n) for n in OUTPUT}, **analysis_sql.SQL, **quality_sql.SQL}
+    return {**{n: table_query(n) for n in OUTPUT}, **analysis_sql.SQL, **quality_sql.SQL, **metrics_sql.SQL, **reports_sql.SQL}

@@ -177,15 +177,18 @@ def fct_orders(int_order_revenue: DataFrame) -> DataFrame:
     )
 
 
-def fct_order_items(
-    clean_order_items: DataFrame, stg_orders: DataFrame, stg_products: DataFrame, raw_order_items: DataFrame
-) -> DataFrame:
-    # The inner join to orders is also what removes orphan items.
-    orders = stg_orders.select("order_id", "customer_id", F.col("order_date").alias("date_id"), "channel_id")
-    products = stg_products.select("product_id", "category", "subcategory", "brand")
+def sold_lines(clean_order_items: DataFrame, stg_orders: DataFrame, raw_order_items: DataFrame) -> DataFrame:
+    """Order items with the attributes of their order. The inner join is also what removes orphan items."""
+    orders = stg_orders.select(
+        "order_id", "customer_id", F.col("order_date").alias("date_id"), "channel_id", "order_status"
+    )
     items = clean_order_items.drop("_ingested_at", "_source", "_batch_id")
-    joined = lookup(items, orders, "order_id", "inner", row_id="order_item_id", profile=raw_order_items)
-    joined = lookup(joined, products, "product_id", "left", row_id="order_item_id", profile=raw_order_items)
+    return lookup(items, orders, "order_id", "inner", row_id="order_item_id", profile=raw_order_items)
+
+
+def fct_order_items(sold_lines: DataFrame, stg_products: DataFrame, raw_order_items: DataFrame) -> DataFrame:
+    products = stg_products.select("product_id", "category", "subcategory", "brand")
+    joined = lookup(sold_lines, products, "product_id", "left", row_id="order_item_id", profile=raw_order_items)
     return joined.select(
         "order_item_id",
         "order_id",

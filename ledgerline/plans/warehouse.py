@@ -54,7 +54,7 @@ LAYERS = {
     ),
 }
 # Shared sub-results that are not tables of their own.
-HELPERS = ("clean_order_items", "completed_refunds", "completed_payments")
+HELPERS = ("clean_order_items", "completed_refunds", "completed_payments", "sold_lines")
 
 
 def _functions() -> dict[str, Callable[..., DataFrame]]:
@@ -103,6 +103,12 @@ class Warehouse:
         self._given[name] = df
         self._frames.clear()
 
+    def copy(self) -> Warehouse:
+        """A warehouse with the same inputs whose tables can be replaced without touching this one."""
+        other = Warehouse(self.spark, self.source, self.settings)
+        other._given = dict(self._given)
+        return other
+
     def materialise(self, names: Iterable[str], folder: str) -> dict[str, str]:
         """Write models as Parquet below ``folder`` and read them from there afterwards.
 
