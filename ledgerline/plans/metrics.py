@@ -285,21 +285,19 @@ def to_date(warehouse, names: Sequence[str] = CATALOG_NAMES) -> DataFrame:
     daily = daily_base(warehouse, wanted)
     constants = [c for f in FACTS if f.date is None for c in f.sums if c in daily.columns]
     bases = [c for c in daily.columns if c not in ("date_id", "year", "quarter_number", "month_number", *constants)]
-    rows = [F.struct(F.lit("day").alias("horizon"), *[F.col(b) for b in bases])]
+    sums = {}
     for horizon, period in TO_DATE.items():
         running = Window.partitionBy(*period).orderBy("date_id").rowsBetween(Window.unboundedPreceding, 0)
-        rows.append(F.struct(F.lit(horizon).alias("horizon"), *[F.sum(b).over(running).alias(b) for b in bases]))
-    # Sums widen their type; the day rows are brought to the same one.
-    widened = [_same_type(daily, rows[0], rows[1], bases), *rows[1:]]
-    unfolded = daily.select("date_id", *constants, F.inline(F.array(*widened)))
+        sums.update({f"{horizon}_{b}": F.sum(b).over(running) for b in bases})
+    daily = daily.withColumns(sums)
+    types = {f.name: f.dataType for f in daily.schema}
+    # Sums are wider than the daily values they add up; the day rows are brought to the same types.
+    rows = [F.struct(F.lit("day").alias("horizon"), *[F.col(b).cast(types[f"mtd_{b}"]).alias(b) for b in bases])]
+    rows += [F.struct(F.lit(h).alias("horizon"), *[F.col(f"{h}_{b}").alias(b) for b in bases]) for h in TO_DATE]
+    unfolded = daily.select("date_id", *constants, F.inline(F.array(*rows)))
     return unfolded.select("date_id", "horizon", *[F.expr(e).alias(n) for n, e in expressions.items()])
 
 
-def _same_type(daily: DataFrame, day, wide, bases: list[str]):
-    target = daily.select(wide.alias("w")).schema["w"].dataType
-    return F.struct(F.lit("day").alias("horizon"), *[F.col(b).cast(target[b].dataType).alias(b) for b in bases])
-
-
 def compare_months(warehouse, names: Sequence[str] = CATALOG_NAMES, by: Sequence[str] = ()) -> DataFrame:
     """Metrics per month with previous month, same month last year and the changes, one row per metric.
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import MONEY
+from ledgerline.functions.signing import signature
+from ledgerline.sources.schemas import EVENTS_FILE
 
 # Names used by the feeds.
 CHANNELS = ("organic_search", "paid_search", "social_media", "email", "direct", "affiliate", "referral")
@@ -26,6 +28,7 @@ EVENT_NAMES = {
 PLATFORM_SHARES = {"direct": "0.50", "marketplace_a": "0.30", "marketplace_b": "0.20"}
 
 FEED_EPOCH = "2024-01-01"
+FIXTURE_SECRET = "fixture-secret"
 ENTITIES = (
     "customers",
     "products",
@@ -322,3 +325,75 @@ class FixtureSource:
             ),
             "payouts",
         )
+
+    # -- connectors and logs --------------------------------------------------------------------------------
+
+    def feed(self, entity: str) -> DataFrame:
+        """Business columns of an entity, as one connector delivers it."""
+        if entity == "advertising":
+            return self.ad_feed()
+        return self.raw(entity).drop("_batch_id", "_ingested_at", "_source")
+
+    def clean(self) -> dict[str, DataFrame]:
+        """The entities without re-sent rows."""
+        names = ("customers", "products", "orders", "order_items", "payments", "refunds", "inventory", "shipments")
+        return {n: self.raw(n).where(F.col("_batch_id") == 1).drop("_batch_id", "_source", "_ingested_at") for n in names}
+
+    def query_log(self) -> DataFrame:
+        """One logged statement per event, of ten kinds."""
+        key = F.col("event_id")
+        number = key.cast("string")
+        kinds = [
+            F.concat(F.lit("SELECT * FROM main_marts.fct_orders LIMIT "), number),
+            F.concat(F.lit("  with t as (select "), number, F.lit(" as id) select count(*) from t  ")),
+            F.concat(F.lit("DELETE FROM main_marts.fct_orders WHERE order_id = "), number),
+            F.concat(F.lit("SELECT "), number, F.lit("; Drop TABLE fct_orders")),
+            F.concat(F.lit("select updated_at, created from t where note = 'please call "), number, F.lit("'")),
+            F.lit(""),
+            F.lit("   "),
+            F.lit(None).cast("string"),
+            F.concat(F.lit("SELECTED "), number, F.lit(" rows from a statement that is longer than forty characters")),
+            F.concat(F.lit("select callout, dropped, grants from report_"), number),
+        ]
+        choice = F.element_at(F.array(*kinds), (key % len(kinds)).cast("int") + 1)
+        return self.table("events").select(key, choice.alias("sql"))
+
+    def webhooks(self, stream: bool = False) -> DataFrame:
+        """Signed event requests: duplicates, broken JSON, missing and foreign types, bad signatures."""
+        if stream:
+            events = (
+                self.spark.readStream.schema(EVENTS_FILE).option("pathGlobFilter", "events.parquet").parquet(self.folder)
+            )
+        else:
+            events = self.spark.read.schema(EVENTS_FILE).parquet(f"{self.folder}/events.parquet")
+        key = F.col("event_id")
+        name = F.coalesce(
+            F.element_at(F.create_map(*[F.lit(x) for pair in EVENT_NAMES.items() for x in pair]), F.col("event_type")),
+            F.lit("system.error"),
+        )
+        typed = F.when(key % 97 == 3, F.lit('{"event_type":"","type":"order.cancelled"')).otherwise(
+            F.concat(F.lit('{"event_type":"'), name, F.lit('"'))
+        )
+        sender = F.when(key % 89 == 2, F.lit("")).otherwise(F.lit(',"source":"shop"'))
+        body = (
+            F.when(key % 211 == 1, F.lit("{not json"))
+            .when(key % 199 == 1, F.lit('{"source":"x"}'))
+            .otherwise(F.concat(typed, sender, F.lit(',"data":'), F.col("props"), F.lit("}")))
+        )
+        sent_id = F.when((key % 50 == 0) & (key > 0), key - 1).otherwise(key)
+        signed = signature(F.col("body"), FIXTURE_SECRET)
+        return events.select(
+            F.when(key % 173 != 4, sent_id.cast("string")).alias("event_id"),
+            F.col("ts").alias("received_at"),
+            body.alias("body"),
+            key.alias("_key"),
+        ).select(
+            "event_id",
+            F.when(F.col("_key") % 131 == 7, F.concat(F.lit("sha256="), F.repeat(F.lit("0"), 64)))
+            .when(F.col("_key") % 137 == 9, F.lit(None))
+            .when(F.col("_key") % 139 == 11, F.regexp_replace(signed, "^sha256=", ""))
+            .otherwise(signed)
+            .alias("signature"),
+            "received_at",
+            "body",
+        )
