@@ -77,15 +77,13 @@ def record_hash(columns: Sequence[str]) -> Column:
     return F.md5(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
 
 
-def present(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Output form: exact decimals become doubles, doubles are rounded, times become text."""
+def present(df: DataFrame) -> DataFrame:
+    """Output form: exact decimals become doubles and times become text; ratios are doubles already."""
     out = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
             c = c.cast("double").alias(field.name)
-        elif isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, digits).alias(field.name)
         elif isinstance(field.dataType, T.TimestampType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(field.name)
         out.append(c)

@@ -33,7 +33,6 @@ def query(select: str, extra: dict[str, str] | None = None) -> str:
 
 
 def table_query(name: str) -> str:
-    money, ratios = (part.split() for part in OUTPUT[name])
-    casts = [f"{c}::double as {c}" for c in money] + [f"round({c}, 6) as {c}" for c in ratios]
+    casts = [f"{c}::double as {c}" for c in OUTPUT[name].split()]
     replace = f" replace ({', '.join(casts)})" if casts else ""
     return query(f"select *{replace} from {name}")

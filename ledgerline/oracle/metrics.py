@@ -83,7 +83,7 @@ def outputs(names, refunds: str = "refunded", as_double: bool = False) -> str:
         if n in COUNTS and not as_double:
             parts.append(f"({made[n]})::bigint as {n}")
         else:
-            parts.append(f"round(({made[n]})::double, 6) as {n}")
+            parts.append(f"({made[n]})::double as {n}")
     return ", ".join(parts)
 
 
@@ -115,10 +115,10 @@ def _compared(long: str, month: str, keys: str = "") -> str:
     on = f" and a.{keys} = x.{keys}" if keys else ""
     on2 = f" and b.{keys} = x.{keys}" if keys else ""
     return f"""
-        select x.{month} as month, {f'x.{keys}, ' if keys else ''}x.metric, round(x.value, 6) as value,
-          round(a.value, 6) as pm, round(b.value, 6) as py,
-          round((ifnull(x.value, 0) - a.value) / nullif(a.value, 0), 6) as mom_pct,
-          round((ifnull(x.value, 0) - b.value) / nullif(b.value, 0), 6) as yoy_pct
+        select x.{month} as month, {f'x.{keys}, ' if keys else ''}x.metric, x.value as value,
+          a.value as pm, b.value as py,
+          ((ifnull(x.value, 0) - a.value) / nullif(a.value, 0)) as mom_pct,
+          ((ifnull(x.value, 0) - b.value) / nullif(b.value, 0)) as yoy_pct
         from {long} x left join {long} a on a.metric = x.metric and a.{month} = x.{month} - interval 1 month{on}
           left join {long} b on b.metric = x.metric and b.{month} = x.{month} - interval 1 year{on2}"""
 
@@ -174,7 +174,7 @@ def _catalog() -> str:
             f"{_text(getattr(m, f))} as {f}"
             for f in ("name", "display_name", "description", "formula", "grain", "unit", "format", "filters", "limitations")
         )
-        + f", round(({made[m.name]})::double, 6) as value from totals"
+        + f", ({made[m.name]})::double as value from totals"
         for m in CATALOG
     )
     return query(rows, {"totals": f"select * from {based(None)}"})
@@ -200,8 +200,8 @@ SQL = {
     "ti_compare_months": query(_compared("long_months", "p"), _LONG),
     "ti_compare_months_by_channel": query(_compared("long_channels", "p", "channel_id"), _LONG),
     "ti_margin_change": query(
-        """select x.p as month, round(x.value, 6) as gross_margin_pct,
-             round(if(coalesce(x.value, a.value) is null, null, ifnull(x.value, 0) - ifnull(a.value, 0)), 6) as mom_pp
+        """select x.p as month, x.value as gross_margin_pct,
+             (if(coalesce(x.value, a.value) is null, null, ifnull(x.value, 0) - ifnull(a.value, 0))) as mom_pp
            from long_months x left join long_months a on a.metric = x.metric and a.p = x.p - interval 1 month
            where x.metric = 'gross_margin_pct'""",
         {**_LONG, "by_month": f"select * from {based('month', ('sales', 'returned'))}",

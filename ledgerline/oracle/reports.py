@@ -19,8 +19,8 @@ SQL = {
     "rpt_executive_kpis": query(
         f"""select p as month,
               {outputs(('net_revenue', 'gross_profit', 'gross_margin_pct', 'order_count', 'aov', 'refund_rate'))},
-              round((ifnull(net, 0) - yago) / nullif(yago, 0), 6) as net_revenue_yoy_pct,
-              round((ifnull(orders_n::double, 0) - mago) / nullif(mago, 0), 6) as order_count_mom_pct,
+              ((ifnull(net, 0) - yago) / nullif(yago, 0)) as net_revenue_yoy_pct,
+              ((ifnull(orders_n::double, 0) - mago) / nullif(mago, 0)) as order_count_mom_pct,
               0.03::double as refund_rate_target, {_F['refund_rate']} <= 0.03::double as refund_rate_met
             from (select x.*, ({_NET})::double as net, y.yago, m.mago from by_month x
                   left join (select p + interval 1 year as p, ({_NET})::double as yago from by_month) y on y.p = x.p
@@ -54,7 +54,7 @@ SQL = {
         f"select p as month, {outputs(('net_revenue', 'gross_profit', 'aov'))} from {based('month', ('sales', 'returned'))}"
     ),
     "rpt_category_margin_matrix": query(
-        f"select {_pivot('category', 'any_value(round(m, 6))', 'monthname', MONTH_NAMES)} from monthly group by category",
+        f"select {_pivot('category', 'any_value(m)', 'monthname', MONTH_NAMES)} from monthly group by category",
         {
             "monthly": """select category, monthname(date_id) as monthname,
                 sum(gross_profit)::double / nullif(sum(revenue)::double, 0) as m from fct_order_items group by all"""
@@ -66,7 +66,7 @@ SQL = {
     "rpt_top_products": query("""
         select i.product_id, any_value(product_name) as product_name, sum(quantity)::bigint as units_sold,
           (sum(revenue) - sum(discount))::double as net_revenue,
-          round(sum(gross_profit)::double / nullif(sum(revenue)::double, 0), 6) as gross_margin_pct
+          (sum(gross_profit)::double / nullif(sum(revenue)::double, 0)) as gross_margin_pct
         from fct_order_items i left join stg_products p on p.product_id = i.product_id
         group by i.product_id order by sum(revenue) - sum(discount) desc, i.product_id limit 20"""),
     "rpt_new_and_repeat": query("""
@@ -77,17 +77,17 @@ SQL = {
     ),
     "rpt_ltv_histogram": query("""
         select value_tier, customer_segment, count(*) as customers,
-          round(sum(lifetime_revenue)::double / count(*), 6) as avg_ltv from dim_customer group by all"""),
+          (sum(lifetime_revenue)::double / count(*)) as avg_ltv from dim_customer group by all"""),
     "rpt_roas_by_channel": query("""
-        select channel, round(r, 6) as roas, case when r > 3 then 'green' when r >= 1 then 'yellow' when r < 1 then 'red'
+        select channel, r as roas, case when r > 3 then 'green' when r >= 1 then 'yellow' when r < 1 then 'red'
           end as band from (select channel, sum(attributed_revenue)::double / nullif(sum(spend), 0)::double as r
                             from fct_ad_spend group by 1)"""),
     "rpt_campaign_table": query("""
         select channel, campaign_name, sum(spend)::double as spend,
           sum(attributed_revenue)::double as attributed_revenue,
-          round(sum(attributed_revenue)::double / nullif(sum(spend), 0)::double, 6) as roas,
-          round(sum(clicks)::double / nullif(sum(impressions), 0), 6) as ctr,
-          round(sum(conversions)::double / nullif(sum(clicks), 0), 6) as cvr from fct_ad_spend group by all"""),
+          (sum(attributed_revenue)::double / nullif(sum(spend), 0)::double) as roas,
+          (sum(clicks)::double / nullif(sum(impressions), 0)) as ctr,
+          (sum(conversions)::double / nullif(sum(clicks), 0)) as cvr from fct_ad_spend group by all"""),
     "rpt_cohort_matrix": query(
         f"select {_pivot('signup_cohort', 'sum(n)', 'joined', MONTH_NAMES).replace(') as', ')::bigint as')} "
         "from counted group by 1",
@@ -105,7 +105,7 @@ SQL = {
         select category, stock_status, count(distinct i.product_id) as skus
         from fct_inventory i left join stg_products p on p.product_id = i.product_id group by all"""),
     "rpt_on_time_gauge": query("""
-        select count(*) as shipment_count, round(count(*) filter (where is_on_time)::double / count(*), 6) as on_time_rate,
+        select count(*) as shipment_count, (count(*) filter (where is_on_time)::double / count(*)) as on_time_rate,
           0.95::double as target, count(*) filter (where is_on_time)::double / count(*) >= 0.95::double as met
         from fct_shipments"""),
     "rpt_value_by_warehouse": query(
@@ -118,10 +118,10 @@ SQL = {
         "select carrier, count(*) filter (where days_late > 0) as late_shipments from fct_shipments group by 1"
     ),
     "rpt_transit_trend": query("""
-        select date_trunc('month', date_id)::date as month, round(avg(transit_days), 6) as avg_transit_days
+        select date_trunc('month', date_id)::date as month, (avg(transit_days)) as avg_transit_days
         from fct_shipments group by 1"""),
     "rpt_at_risk_products": query("""
-        select inventory_id, product_name, closing_qty, round(days_of_supply, 6) as days_of_supply, stock_status
+        select inventory_id, product_name, closing_qty, days_of_supply as days_of_supply, stock_status
         from fct_inventory i left join stg_products p on p.product_id = i.product_id where stock_status <> 'in_stock'"""),
     "rpt_reconciliation_waterfall": query("""
         select 1 as step, 'net_revenue' as stage, sum(net_revenue)::double as amount from fct_orders

@@ -321,7 +321,7 @@ MARTS = {
         select order_item_id, i.order_id, i.product_id, o.customer_id, o.order_date as date_id, o.channel_id,
           p.category, p.subcategory, p.brand, i.quantity, i.unit_price, i.discount, i.cost, i.revenue, i.gross_profit,
           case when i.revenue > 0 then i.gross_profit::double / i.revenue::double end as item_margin_pct,
-          round((i.revenue::double / nullif(i.quantity, 0))::decimal(28,10), 6)::double as effective_unit_price
+          case when i.quantity > 0 then i.revenue::double / i.quantity end as effective_unit_price
         from stg_order_items i join stg_orders o using (order_id) left join stg_products p using (product_id)""",
     "fct_payments": """
         select payment_id, p.order_id, payment_date as date_id, payment_method, status, amount,
@@ -403,60 +403,44 @@ MARTS = {
 
 CTES = {**RAW, **STAGING, **INTERMEDIATE, **MARTS}
 
-# Output casts per table: money columns and ratio columns.
+# Money columns per table, which become doubles in the output; ratios are doubles already.
 _ORDER_MONEY = (
     "gross_revenue total_discount total_refunds net_revenue total_cost gross_profit subtotal order_discount tax "
     "shipping total_amount"
 )
 OUTPUT = {
-    "stg_customers": ("", ""),
-    "stg_products": ("unit_cost list_price", ""),
-    "stg_orders": ("subtotal discount tax shipping total_amount", ""),
-    "stg_order_items": ("unit_price discount cost revenue gross_profit", ""),
-    "stg_payments": ("amount", ""),
-    "stg_refunds": ("amount", ""),
-    "stg_shipments": ("", ""),
-    "stg_inventory": ("unit_cost inventory_value", ""),
-    "stg_ad_spend": ("spend attributed_revenue", "roas ctr"),
-    "stg_payouts": ("gross_sales fees refunds adjustments net_payout", ""),
-    "int_order_revenue": (_ORDER_MONEY, ""),
-    "int_customer_orders": ("lifetime_revenue lifetime_gross_profit lifetime_refunds", "avg_order_value"),
-    "int_product_sales": (
-        "gross_revenue total_discounts total_cost total_gross_profit",
-        "avg_selling_price gross_margin_pct",
-    ),
-    "int_payment_reconciliation": ("order_total paid_amount refund_amount payment_variance", ""),
-    "int_campaign_performance": ("total_spend total_attributed_revenue", "roas avg_ctr avg_cvr cost_per_conversion"),
-    "int_inventory_movements": ("unit_cost inventory_value", ""),
-    "dim_customer": ("lifetime_revenue lifetime_gross_profit", "avg_order_value"),
-    "dim_product": (
-        "unit_cost list_price standard_margin gross_revenue total_gross_profit",
-        "standard_margin_pct realised_margin_pct",
-    ),
-    "fct_orders": (_ORDER_MONEY, "gross_margin_pct"),
-    "fct_order_items": ("unit_price discount cost revenue gross_profit effective_unit_price", "item_margin_pct"),
-    "fct_payments": ("amount payment_variance", ""),
-    "fct_refunds": ("amount order_paid_amount", ""),
-    "fct_inventory": ("unit_cost inventory_value", "days_of_supply"),
-    "fct_shipments": ("", ""),
-    "fct_ad_spend": ("spend attributed_revenue", "roas ctr"),
-    "fct_payouts": (
-        "gross_sales fees refunds adjustments net_payout period_gross_revenue period_refunds payout_variance",
-        "",
-    ),
-    "mart_sales": (
-        "gross_revenue total_discounts total_refunds net_revenue total_cost gross_profit",
-        "gross_margin_pct aov",
-    ),
-    "mart_customer": ("lifetime_revenue lifetime_gross_profit", "avg_order_value"),
-    "mart_marketing": (
-        "total_spend total_attributed_revenue",
-        "roas avg_ctr avg_cvr cost_per_conversion approx_cac",
-    ),
-    "mart_inventory": ("unit_cost inventory_value", ""),
+    "stg_customers": "",
+    "stg_products": "unit_cost list_price",
+    "stg_orders": "subtotal discount tax shipping total_amount",
+    "stg_order_items": "unit_price discount cost revenue gross_profit",
+    "stg_payments": "amount",
+    "stg_refunds": "amount",
+    "stg_shipments": "",
+    "stg_inventory": "unit_cost inventory_value",
+    "stg_ad_spend": "spend attributed_revenue",
+    "stg_payouts": "gross_sales fees refunds adjustments net_payout",
+    "int_order_revenue": _ORDER_MONEY,
+    "int_customer_orders": "lifetime_revenue lifetime_gross_profit lifetime_refunds",
+    "int_product_sales": "gross_revenue total_discounts total_cost total_gross_profit",
+    "int_payment_reconciliation": "order_total paid_amount refund_amount payment_variance",
+    "int_campaign_performance": "total_spend total_attributed_revenue",
+    "int_inventory_movements": "unit_cost inventory_value",
+    "dim_customer": "lifetime_revenue lifetime_gross_profit",
+    "dim_product": "unit_cost list_price standard_margin gross_revenue total_gross_profit",
+    "fct_orders": _ORDER_MONEY,
+    "fct_order_items": "unit_price discount cost revenue gross_profit",
+    "fct_payments": "amount payment_variance",
+    "fct_refunds": "amount order_paid_amount",
+    "fct_inventory": "unit_cost inventory_value",
+    "fct_shipments": "",
+    "fct_ad_spend": "spend attributed_revenue",
+    "fct_payouts": "gross_sales fees refunds adjustments net_payout period_gross_revenue period_refunds payout_variance",
+    "mart_sales": "gross_revenue total_discounts total_refunds net_revenue total_cost gross_profit",
+    "mart_customer": "lifetime_revenue lifetime_gross_profit",
+    "mart_marketing": "total_spend total_attributed_revenue",
+    "mart_inventory": "unit_cost inventory_value",
     "mart_finance": (
         "gross_revenue total_discounts total_refunds net_revenue total_collected gross_sales fees payout_refunds "
-        "adjustments net_payout payout_variance revenue_payment_gap",
-        "",
+        "adjustments net_payout payout_variance revenue_payment_gap"
     ),
 }

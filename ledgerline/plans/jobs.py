@@ -67,11 +67,7 @@ def csv_products(warehouse) -> DataFrame:
     folder = shared_folder(warehouse.spark, "csv")
     made = warehouse.source.feed("products")
     paths = ingest.write_datasets({"products": made}, folder, "csv")
-    return warehouse.spark.read.schema(made.schema).option("header", True).csv(paths["products"]).withColumn(
-        # CSV readers strip nothing; an absent SKU comes back as null.
-        "sku",
-        F.nullif("sku", F.lit("")),
-    )
+    return warehouse.spark.read.schema(made.schema).option("header", True).csv(paths["products"])
 
 
 def sql_over_layers(warehouse) -> DataFrame:

@@ -14,6 +14,7 @@ from ledgerline.functions.columns import (
     stock_status,
     zero_if_null,
 )
+from ledgerline.functions.literals import values_table
 from ledgerline.operators.joins import lookup
 from ledgerline.settings import Settings
 
@@ -68,18 +69,20 @@ def dim_date(spark: SparkSession, settings: Settings) -> DataFrame:
     )
 
 
-def _values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
-    """A literal table; its size is known to the optimizer, unlike that of rows shipped from Python."""
-    text = ", ".join(str(row) for row in rows)
-    return spark.sql(f"select * from values {text} as t({columns})")
-
-
 def dim_channel(spark: SparkSession) -> DataFrame:
-    return _values(spark, CHANNEL_ROWS, "channel_id, channel_name, channel_type, channel_group")
+    return values_table(
+        spark,
+        CHANNEL_ROWS,
+        {"channel_id": "int", "channel_name": "string", "channel_type": "string", "channel_group": "string"},
+    )
 
 
 def dim_warehouse(spark: SparkSession) -> DataFrame:
-    return _values(spark, WAREHOUSE_ROWS, "warehouse_id, warehouse_code, region, city, state")
+    return values_table(
+        spark,
+        WAREHOUSE_ROWS,
+        {"warehouse_id": "int", "warehouse_code": "string", "region": "string", "city": "string", "state": "string"},
+    )
 
 
 def dim_customer(stg_customers: DataFrame, int_customer_orders: DataFrame, settings: Settings) -> DataFrame:

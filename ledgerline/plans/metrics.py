@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import month_index
+from ledgerline.functions.literals import values_table
 
 
 def _less(first: str, *rest: str) -> str:
@@ -212,16 +213,13 @@ def _words(expression: str) -> set[str]:
 
 def base_sums(warehouse, wanted: set[str], by: Sequence[str] = (), additive_only: bool = False) -> DataFrame:
     """Base sums per group: each fact is aggregated on its own, the small results are stacked and merged."""
-    parts, constants = [], []
+    parts = []
     for facts in FACTS:
         sums = {n: e for n, e in facts.sums.items() if n in wanted}
-        if not sums or (additive_only and not facts.additive):
+        if not sums or facts.date is None or (additive_only and not facts.additive):
             continue
         table = _table(warehouse, facts.table)
         aggregates = [F.expr(e).alias(n) for n, e in sums.items()]
-        if facts.date is None:
-            constants.append(table.agg(*aggregates))
-            continue
         keys = []
         for dim in by:
             if dim in GRAINS:
@@ -238,9 +236,17 @@ def base_sums(warehouse, wanted: set[str], by: Sequence[str] = (), additive_only
     # One row per group and fact here, all but one of them null in any column.
     merged = [F.max(c).alias(c) for c in stacked.columns if c not in by]
     result = stacked.groupBy(*by).agg(*merged) if by else stacked.agg(*merged)
-    for row in constants:
-        result = result.withColumns({c: row.select(c).scalar() for c in row.columns})
-    return result
+    return with_constants(warehouse, result, wanted)
+
+
+def with_constants(warehouse, df: DataFrame, wanted: set[str]) -> DataFrame:
+    """Add the base sums that have no date, each the same on every row."""
+    for facts in FACTS:
+        sums = {n: e for n, e in facts.sums.items() if n in wanted and facts.date is None}
+        if sums:
+            one_row = _table(warehouse, facts.table).agg(*[F.expr(e).alias(n) for n, e in sums.items()])
+            df = df.withColumns({n: one_row.select(n).scalar() for n in sums})
+    return df
 
 
 def evaluate(warehouse, names: Sequence[str] = CATALOG_NAMES, by: Sequence[str] = ()) -> DataFrame:
@@ -265,7 +271,8 @@ TO_DATE = {"mtd": ("year", "month_number"), "qtd": ("year", "quarter_number"), "
 
 def daily_base(warehouse, wanted: set[str], by: Sequence[str] = ()) -> DataFrame:
     """Additive base sums on every day of the calendar; a day without facts has nulls."""
-    sums = base_sums(warehouse, wanted - {"inventory_months"}, ("date", *by), additive_only=True)
+    undated = {n for f in FACTS if f.date is None for n in f.sums}
+    sums = base_sums(warehouse, wanted - {"inventory_months"} - undated, ("date", *by), additive_only=True)
     calendar = warehouse["dim_date"].select("date_id", "year", "quarter_number", "month_number")
     daily = calendar.join(sums.withColumnRenamed("date", "date_id"), "date_id", "left")
     if "inventory_months" in wanted:
@@ -283,8 +290,7 @@ def to_date(warehouse, names: Sequence[str] = CATALOG_NAMES) -> DataFrame:
     expressions = {n: BY_NAME[n].expression for n in names}
     wanted = set().union(*(_words(e) for e in expressions.values()))
     daily = daily_base(warehouse, wanted)
-    constants = [c for f in FACTS if f.date is None for c in f.sums if c in daily.columns]
-    bases = [c for c in daily.columns if c not in ("date_id", "year", "quarter_number", "month_number", *constants)]
+    bases = [c for c in daily.columns if c not in ("date_id", "year", "quarter_number", "month_number")]
     sums = {}
     for horizon, period in TO_DATE.items():
         running = Window.partitionBy(*period).orderBy("date_id").rowsBetween(Window.unboundedPreceding, 0)
@@ -294,7 +300,7 @@ def to_date(warehouse, names: Sequence[str] = CATALOG_NAMES) -> DataFrame:
     # Sums are wider than the daily values they add up; the day rows are brought to the same types.
     rows = [F.struct(F.lit("day").alias("horizon"), *[F.col(b).cast(types[f"mtd_{b}"]).alias(b) for b in bases])]
     rows += [F.struct(F.lit(h).alias("horizon"), *[F.col(f"{h}_{b}").alias(b) for b in bases]) for h in TO_DATE]
-    unfolded = daily.select("date_id", *constants, F.inline(F.array(*rows)))
+    unfolded = with_constants(warehouse, daily.select("date_id", F.inline(F.array(*rows))), wanted)
     return unfolded.select("date_id", "horizon", *[F.expr(e).alias(n) for n, e in expressions.items()])
 
 
@@ -328,7 +334,7 @@ def margin_change(warehouse) -> DataFrame:
 def catalog_table(spark: SparkSession) -> DataFrame:
     fields = ("name", "display_name", "description", "formula", "grain", "unit", "format", "filters", "limitations")
     rows = [tuple(getattr(m, f) for f in fields) for m in CATALOG]
-    return spark.createDataFrame(rows, ", ".join(f"{f} string" for f in fields))
+    return values_table(spark, rows, dict.fromkeys(fields, "string"))
 
 
 def describe(name: str) -> Metric | None:

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.literals import values_table
 from ledgerline.session import shared_folder
 from ledgerline.settings import Settings
 
@@ -198,14 +199,13 @@ PROFILES: dict[Callable[..., DataFrame], tuple[str, ...]] = {
 # Tables more than one profile reads; worth writing once before a full run.
 SHARED_TABLES = ("stg_orders", "stg_payments", "stg_refunds", "clean_order_items")
 
-_COUNTS = "check_id string, checked long, failed long, detail string, error string"
+_COUNTS = {"check_id": "string", "checked": "long", "failed": "long", "detail": "string", "error": "string"}
 
 
 def _definitions(spark: SparkSession) -> DataFrame:
     rows = [(i, c.check_id, c.check_name, c.dataset, c.severity, c.text) for i, c in enumerate(CHECKS)]
-    return spark.createDataFrame(
-        rows, "position int, check_id string, check_name string, dataset string, severity string, text string"
-    )
+    names = ("check_id", "check_name", "dataset", "severity", "text")
+    return values_table(spark, rows, {"position": "int", **dict.fromkeys(names, "string")})
 
 
 def verdicts(counts: DataFrame) -> DataFrame:
@@ -242,7 +242,7 @@ def verdicts(counts: DataFrame) -> DataFrame:
 
 def _error_rows(spark: SparkSession, ids: tuple[str, ...], error: Exception) -> DataFrame:
     text = str(error).splitlines()[0] if str(error) else type(error).__name__
-    return spark.createDataFrame([(i, 0, 0, "", text) for i in ids], _COUNTS)
+    return values_table(spark, [(i, 0, 0, "", text) for i in ids], _COUNTS)
 
 
 def check_counts(warehouse, ids: tuple[str, ...] | None = None, isolate: bool = False) -> DataFrame:
@@ -261,7 +261,7 @@ def check_counts(warehouse, ids: tuple[str, ...] | None = None, isolate: bool =
             part = warehouse.run(profile).where(F.col("check_id").isin(*wanted))
             part = part.withColumn("error", F.lit(None).cast("string"))
             if isolate:
-                part = warehouse.spark.createDataFrame(part.collect(), _COUNTS)
+                part = values_table(warehouse.spark, part.collect(), _COUNTS)
         except Exception as error:  # any failure of a check is a result, not the end of the run
             part = _error_rows(warehouse.spark, wanted, error)
         parts.append(part)

@@ -51,13 +51,13 @@ class Slice:
 
 
 def order_detail(
-    fct_orders: DataFrame, dim_channel: DataFrame, stg_customers: DataFrame, stg_orders: DataFrame, where: Slice
+    fct_orders: DataFrame, dim_channel: DataFrame, stg_customers: DataFrame, raw_orders: DataFrame, where: Slice
 ) -> DataFrame:
     """Drill-through to orders. Date and channel filters reach the orders before the customers are joined."""
     orders = where.apply(fct_orders.join(F.broadcast(dim_channel.select("channel_id", "channel_name")), "channel_id", "left"))
     customers = where.apply(stg_customers.select("customer_id", "customer_segment"))
     how = "left" if where.customer_segment is None else "inner"
-    return lookup(orders, customers, "customer_id", how, row_id="order_id", profile=stg_orders).select(
+    return lookup(orders, customers, "customer_id", how, row_id="order_id", profile=raw_orders).select(
         "order_id",
         "customer_id",
         "customer_segment",
@@ -382,7 +382,7 @@ QUERIES = {
     "rpt_status_by_platform": status_by_platform,
     "rpt_payout_table": payout_table,
     "rpt_refund_anomalies": refund_anomalies,
-    "rpt_order_detail": lambda fct_orders, dim_channel, stg_customers, stg_orders: order_detail(
-        fct_orders, dim_channel, stg_customers, stg_orders, SAMPLE_SLICE
+    "rpt_order_detail": lambda fct_orders, dim_channel, stg_customers, raw_orders: order_detail(
+        fct_orders, dim_channel, stg_customers, raw_orders, SAMPLE_SLICE
     ),
 }

@@ -202,6 +202,11 @@ def write_datasets(datasets: dict[str, DataFrame], folder: str, format: str = "p
             continue
         path = f"{folder.rstrip('/')}/{name}.{format}"
         writer = df.write.mode("overwrite")
-        writer.parquet(path) if format == "parquet" else writer.option("header", True).csv(path)
+        if format == "parquet":
+            writer.parquet(path)
+        else:
+            # Spark's CSV writer trims text unless told not to.
+            keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+            writer.options(header=True, **keep).csv(path)
         paths[name] = path
     return paths

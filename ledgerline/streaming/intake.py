@@ -127,32 +127,34 @@ def event_rows(requests: DataFrame) -> DataFrame:
 
 
 def first_per_id(requests: DataFrame) -> DataFrame:
-    """The earliest request of each id; requests without an id all stay.
+    """The earliest request of each id.
 
     A minimum per id is combined on the map side, so an id sent very often is one row per task in the shuffle.
     """
     others = [c for c in requests.columns if c not in ("event_id", "received_at")]
-    packed = F.struct("received_at", *others)
-    keyed = (
-        requests.where(F.col("event_id").isNotNull())
-        .groupBy("event_id")
-        .agg(F.min(packed).alias("_first"))
+    return (
+        requests.groupBy("event_id")
+        .agg(F.min(F.struct("received_at", *others)).alias("_first"))
         .select("event_id", "_first.*")
         .select(*requests.columns)
     )
-    return keyed.unionByName(requests.where(F.col("event_id").isNull()))
 
 
 def unseen(requests: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Requests whose id the ledger does not hold.
+    """Requests, one per id, whose id the ledger does not hold.
 
     The ledger is first cut down to the ids of this trigger, so what meets the requests is no larger than they.
     """
-    ids = requests.select("event_id").where(F.col("event_id").isNotNull()).distinct()
-    repeated = ledger.select("event_id").join(ids, "event_id", "left_semi").distinct()
+    repeated = ledger.select("event_id").join(requests.select("event_id"), "event_id", "left_semi").distinct()
     return requests.join(repeated, "event_id", "left_anti")
 
 
+def fresh(requests: DataFrame, ledger: DataFrame) -> DataFrame:
+    """What a trigger adds. Requests without an id are never repeats and take no part in any shuffle."""
+    named = requests.where(F.col("event_id").isNotNull())
+    return unseen(first_per_id(named), ledger).unionByName(requests.where(F.col("event_id").isNull()))
+
+
 # -- running ------------------------------------------------------------------------------------------------
 
 
@@ -171,8 +173,7 @@ def _ledger_writer(spark: SparkSession, folder: str, secret: str) -> Callable[[D
         routed = route(batch, secret).persist()
         try:
             ledger = _read(spark, f"{folder}/accepted", EVENT_COLUMNS, ", batch long").where(F.col("batch") < number)
-            fresh = event_rows(unseen(first_per_id(accepted(routed)), ledger))
-            fresh.write.mode("overwrite").parquet(f"{folder}/accepted/batch={number}")
+            event_rows(fresh(accepted(routed), ledger)).write.mode("overwrite").parquet(f"{folder}/accepted/batch={number}")
             rejected(routed).write.mode("overwrite").parquet(f"{folder}/rejected/batch={number}")
         finally:
             routed.unpersist()
@@ -201,12 +202,12 @@ def start(
     # Every request needs an id here: those without one get their own and so are never a repeat.
     rows = event_rows(taken)
     if repeats == "watermark":
-        fresh = rows.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["event_id"])
+        kept = rows.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["event_id"])
     elif repeats == "state":
-        fresh = rows.dropDuplicates(["event_id"])
+        kept = rows.dropDuplicates(["event_id"])
     else:
         raise ValueError(f"repeats must be ledger, state or watermark, not {repeats}")
-    outputs = {"accepted": fresh, "rejected": rejected(routed)}
+    outputs = {"accepted": kept, "rejected": rejected(routed)}
     return [
         df.writeStream.format("parquet")
         .option("path", f"{folder}/{name}")
@@ -222,4 +223,7 @@ def run(spark: SparkSession, requests: DataFrame, folder: str, checkpoint: str,
     """Run to the end and return the accepted and the rejected rows the folder holds now."""
     for query in start(spark, requests, folder, checkpoint, **options):
         query.awaitTermination()
-    return _read(spark, f"{folder}/accepted", EVENT_COLUMNS), _read(spark, f"{folder}/rejected", REJECTED_COLUMNS)
+    return tuple(
+        _shaped(_read(spark, f"{folder}/{name}", columns), columns)
+        for name, columns in (("accepted", EVENT_COLUMNS), ("rejected", REJECTED_COLUMNS))
+    )
