@@ -42,19 +42,27 @@ def lookup(
     return spread_join(left, right, key, how, row_id=row_id, profile=profile)
 
 
-def spread_join(
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", **options) -> DataFrame:
+    """Join that stays balanced when one key (or null) holds a large share of ``left``.
+
+    ``right`` has at most one row per key. For the options see :func:`salted_sides`.
+    """
+    spread, copies = salted_sides(left, right, key, **options)
+    return spread.join(copies, [key, "_salt"], how).drop("_salt")
+
+
+def salted_sides(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    how: str = "left",
     *,
     row_id: str,
     profile: DataFrame | None = None,
     buckets: int = BUCKETS,
     heavy_factor: int = HEAVY_FACTOR,
     rows_per_salt: int = ROWS_PER_SALT,
-) -> DataFrame:
-    """Join that stays balanced when one key (or null) holds a large share of ``left``.
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_salt`` column that splits the heavy keys of ``left``.
 
     A histogram counts the left rows per hash bucket of the key. It has at most ``buckets`` rows whatever the
     data size, so it can be broadcast. Buckets far above the mean are cut into salts by a hash of ``row_id``;
@@ -91,7 +99,7 @@ def spread_join(
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
         .drop("_bucket", "_salts")
     )
-    return spread.join(copies, [key, "_salt"], how).drop("_salt")
+    return spread, copies
 
 
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str, nulls_are_orphans: bool) -> DataFrame:

@@ -286,19 +286,23 @@ def results(warehouse) -> DataFrame:
     return run(warehouse).drop("position")
 
 
-def summary(table: DataFrame) -> DataFrame:
+def _figures() -> list[Column]:
     def having(status: str) -> Column:
         return F.count_if(F.col("status") == status)
 
     critical = F.col("status").isin("FAIL", "ERROR") & (F.col("severity") == "CRITICAL")
-    return table.agg(
+    return [
         F.count("*").alias("total_checks"),
         having("PASS").alias("passed"),
         having("WARN").alias("warned"),
         having("FAIL").alias("failed"),
         having("ERROR").alias("errored"),
         F.count_if(critical).alias("critical_issues"),
-    )
+    ]
+
+
+def summary(table: DataFrame) -> DataFrame:
+    return table.agg(*_figures())
 
 
 def gate(table: DataFrame) -> DataFrame:
@@ -314,15 +318,9 @@ def enforce(table: DataFrame) -> None:
 def report(table: DataFrame, run_at: str) -> DataFrame:
     """The run as one nested row: the summary figures and the list of checks in order."""
     fields = [c for c in table.columns if c != "position"]
-    checks = F.transform(
-        F.array_sort(F.collect_list(F.struct("position", F.struct(*fields).alias("check")))), lambda x: x["check"]
-    )
-    figures = summary(table)
-    return table.agg(checks.alias("checks")).select(
-        F.lit(run_at).alias("run_at"),
-        *[figures.select(c).scalar().alias(c) for c in figures.columns],
-        "checks",
-    )
+    in_order = F.array_sort(F.collect_list(F.struct("position", F.struct(*fields).alias("check"))))
+    whole = table.agg(F.lit(run_at).alias("run_at"), *_figures(), in_order.alias("_checks"))
+    return whole.withColumn("checks", F.col("_checks.check")).drop("_checks")
 
 
 # -- schema tests -------------------------------------------------------------------------------------------
