@@ -216,6 +216,14 @@ DRAWS_ON = {
     "gross_profit": ("sales", "returned"), "gross_margin_pct": ("sales", "returned"), "order_count": ("sales",),
     "aov": ("sales", "returned"), "new_customers": ("joiners",), "cac": ("joiners", "ads"), "roas": ("ads",),
     "refund_rate": ("sales", "returned"), "inventory_turnover": ("sales", "stock"),
+    "total_discounts": ("sales",), "total_refunds": ("returned",), "units_sold": ("sales",),
+    "total_ad_spend": ("ads",), "attributed_revenue": ("ads",), "total_conversions": ("ads",), "ctr": ("ads",),
+    "cvr": ("ads",), "refund_count": ("returned",), "over_refund_count": ("returned",),
+    "payment_exceptions": ("paid",), "payment_warnings": ("paid",), "total_inventory_value": ("stock",),
+    "out_of_stock_skus": ("stock",), "low_stock_skus": ("stock",), "shipment_count": ("shipped",),
+    "on_time_rate": ("shipped",), "avg_transit_days": ("shipped",), "late_shipments": ("shipped",),
+    "total_net_payout": ("paidout",), "total_payout_variance": ("paidout",), "recon_exceptions": ("paidout",),
+    "payout_delta": ("sales", "returned", "paidout"),
 }
 SQL.update(
     {
@@ -223,3 +231,4 @@ SQL.update(
         for n, sources in DRAWS_ON.items()
     }
 )
+SQL.update({f"met_{n}": query(f"select {outputs((n,))} from {PEOPLE}") for n in ("total_customers", "repeat_customers")})

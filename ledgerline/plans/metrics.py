@@ -230,6 +230,10 @@ def base_sums(warehouse, wanted: set[str], by: Sequence[str] = (), additive_only
             else:
                 raise ValueError(f"{facts.table} cannot be grouped by {dim}")
         parts.append(table.groupBy(*keys).agg(*aggregates) if keys else table.agg(*aggregates))
+    if not parts:
+        if by:
+            raise ValueError(f"customers have no date or channel to be grouped by: {sorted(wanted)}")
+        return _customer_sums(warehouse, wanted)
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part, allowMissingColumns=True)
@@ -239,14 +243,19 @@ def base_sums(warehouse, wanted: set[str], by: Sequence[str] = (), additive_only
     return with_constants(warehouse, result, wanted)
 
 
+def _customer_sums(warehouse, wanted: set[str]) -> DataFrame:
+    facts = next(f for f in FACTS if f.date is None)
+    sums = [F.expr(e).alias(n) for n, e in facts.sums.items() if n in wanted]
+    return warehouse[facts.table].agg(*sums)
+
+
 def with_constants(warehouse, df: DataFrame, wanted: set[str]) -> DataFrame:
     """Add the base sums that have no date, each the same on every row."""
-    for facts in FACTS:
-        sums = {n: e for n, e in facts.sums.items() if n in wanted and facts.date is None}
-        if sums:
-            one_row = _table(warehouse, facts.table).agg(*[F.expr(e).alias(n) for n, e in sums.items()])
-            df = df.withColumns({n: one_row.select(n).scalar() for n in sums})
-    return df
+    names = [n for f in FACTS if f.date is None for n in f.sums if n in wanted]
+    if not names:
+        return df
+    one_row = _customer_sums(warehouse, wanted)
+    return df.withColumns({n: one_row.select(n).scalar() for n in names})
 
 
 def evaluate(warehouse, names: Sequence[str] = CATALOG_NAMES, by: Sequence[str] = ()) -> DataFrame:
@@ -350,6 +359,14 @@ def catalog_values(warehouse) -> DataFrame:
 
 
 MONTHLY = tuple(m.name for m in MEASURES)
+UNDATED = ("total_customers", "repeat_customers")
+
+
+def _one(name: str):
+    """A single measure: per month, or in all where it has no date."""
+    return lambda warehouse: evaluate(warehouse, (name,), () if name in UNDATED else ("month",))
+
+
 CHANNEL = (
     "gross_revenue", "net_revenue", "cogs", "gross_profit", "gross_margin_pct", "order_count", "aov", "roas",
     "total_discounts", "total_refunds", "units_sold", "total_ad_spend", "attributed_revenue",
@@ -366,11 +383,7 @@ QUERIES = {
     "ti_compare_months": lambda warehouse: compare_months(warehouse),
     "ti_compare_months_by_channel": lambda warehouse: compare_months(warehouse, CHANNEL, ("channel_id",)),
     "ti_margin_change": margin_change,
-    **{
-        f"met_{n}": (lambda n: lambda warehouse: evaluate(warehouse, (n,), ("month",)))(n)
-        for n in CATALOG_NAMES
-        if n != "ltv"
-    },
+    **{f"met_{n}": _one(n) for n in MONTHLY if n != "ltv"},
     "met_ltv": lambda dim_customer: dim_customer.select(
         "customer_id", F.col("lifetime_revenue").alias("ltv")
     ),

@@ -122,6 +122,24 @@ class Warehouse:
             paths[name] = path
         return paths
 
+    def save_tables(
+        self, names: Iterable[str], database: str, folder: str, buckets: dict[str, tuple[str, int]] | None = None
+    ) -> None:
+        """Write models as catalog tables and read them from there afterwards.
+
+        ``buckets`` maps a table to its bucket column and count. Tables bucketed alike on a key, say orders, items,
+        payments and refunds on ``order_id``, are later joined and summed on it without a shuffle.
+        """
+        self.spark.sql(f"create database if not exists {database}")
+        for name in names:
+            table = f"{database}.{name}"
+            writer = self[name].write.mode("overwrite").format("parquet").option("path", f"{folder.rstrip('/')}/{name}")
+            if buckets and name in buckets:
+                column, count = buckets[name]
+                writer = writer.bucketBy(count, column).sortBy(column)
+            writer.saveAsTable(table)
+            self.replace(name, self.spark.table(table))
+
     def register_views(self, names: Iterable[str] | None = None) -> None:
         """Temp views for SQL over any layer."""
         for name in names or [n for layer in LAYERS.values() for n in layer]:

@@ -10,7 +10,8 @@ The per-row steps are the same for a batch and a stream. Repeats can be removed
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ ACCEPTED_EVENTS = (
     "shipment.delivered",
 )
 DEVELOPMENT_SECRET = "dev-secret-not-for-prod"
+REPEAT_SALTS = 32
 
 EVENT_COLUMNS = {
     "webhook_event_id": "string",
@@ -181,6 +183,33 @@ def _ledger_writer(spark: SparkSession, folder: str, secret: str) -> Callable[[D
     return write
 
 
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started in here keep their state in RocksDB: ids pile up, and the heap must not hold them."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def without_repeats(rows: DataFrame, repeats: str, delay: str) -> DataFrame:
+    """Streaming removal of repeated ids in two steps.
+
+    The first step works on id and a salt taken from the rest of the row, so the requests of an id that is sent
+    very often are spread over several tasks; the second has at most one request per id and salt left.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("received_at", "payload"), F.lit(REPEAT_SALTS)))
+    if repeats == "watermark":
+        late = salted.withWatermark("received_at", delay)
+        once = late.dropDuplicatesWithinWatermark(["event_id", "_salt"]).dropDuplicatesWithinWatermark(["event_id"])
+    else:
+        once = salted.dropDuplicates(["event_id", "_salt"]).dropDuplicates(["event_id"])
+    return once.drop("_salt")
+
+
 def start(
     spark: SparkSession,
     requests: DataFrame,
@@ -191,6 +220,8 @@ def start(
     delay: str = "7 days",
 ) -> list[StreamingQuery]:
     """Take in everything that is available, then stop. Call again with the same folders to go on."""
+    if repeats not in ("ledger", "state", "watermark"):
+        raise ValueError(f"repeats must be ledger, state or watermark, not {repeats}")
     if repeats == "ledger":
         # An empty first folder gives the ledger a schema before anything was accepted.
         schema_only = spark.createDataFrame([], _ddl(EVENT_COLUMNS))
@@ -198,25 +229,19 @@ def start(
         writer = requests.writeStream.foreachBatch(_ledger_writer(spark, folder, secret))
         return [writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()]
     routed = route(requests, secret)
-    taken = accepted(routed)
     # Every request needs an id here: those without one get their own and so are never a repeat.
-    rows = event_rows(taken)
-    if repeats == "watermark":
-        kept = rows.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["event_id"])
-    elif repeats == "state":
-        kept = rows.dropDuplicates(["event_id"])
-    else:
-        raise ValueError(f"repeats must be ledger, state or watermark, not {repeats}")
-    outputs = {"accepted": kept, "rejected": rejected(routed)}
-    return [
-        df.writeStream.format("parquet")
-        .option("path", f"{folder}/{name}")
-        .option("checkpointLocation", f"{checkpoint}/{name}")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-        for name, df in outputs.items()
-    ]
+    rows = event_rows(accepted(routed))
+    outputs = {"accepted": without_repeats(rows, repeats, delay), "rejected": rejected(routed)}
+    with _state_on_disk(spark):
+        return [
+            df.writeStream.format("parquet")
+            .option("path", f"{folder}/{name}")
+            .option("checkpointLocation", f"{checkpoint}/{name}")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+            for name, df in outputs.items()
+        ]
 
 
 def run(spark: SparkSession, requests: DataFrame, folder: str, checkpoint: str, **options) -> tuple[DataFrame, DataFrame]:

@@ -233,3 +233,23 @@ def test_written_layers_give_the_same_mart(small, tmp_path):
     paths = written.materialise(("stg_orders", "int_order_revenue", "mart_sales"), str(tmp_path))
     assert written["mart_sales"].collect() == lazily
     assert set(paths) == {"stg_orders", "int_order_revenue", "mart_sales"}
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark, small, tmp_path):
+    wh = small(
+        orders=[dict(order_id=f"O{i}") for i in range(20)],
+        order_items=[dict(order_id=f"O{i % 25}", revenue=float(i)) for i in range(60)],
+        refunds=[dict(order_id="O3")],
+    )
+    lazily = sorted(wh["int_order_revenue"].collect())
+    names = ("stg_orders", "clean_order_items", "completed_refunds")
+    wh.save_tables(names, "layer_test", str(tmp_path), {n: ("order_id", 4) for n in names})
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = wh["int_order_revenue"]._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2
+        assert sorted(wh["int_order_revenue"].collect()) == lazily
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql("drop database layer_test cascade")
