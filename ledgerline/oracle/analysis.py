@@ -67,11 +67,11 @@ SQL = {
     "ask_refunds_by_reason": query("""
         select reason, count(*) as refund_count, sum(amount)::double as total_amount from stg_refunds group by 1"""),
     "ask_top_products_by_margin": query("""
-        select product_id, product_name, category, realised_margin_pct as realised_margin_pct
+        select product_id, product_name, category, realised_margin_pct
         from dim_product order by dim_product.realised_margin_pct desc, product_id limit 20"""),
     "ask_campaigns_by_roas": query("""
         select year_month, campaign_name, channel, total_spend::double as total_spend,
-          total_attributed_revenue::double as total_attributed_revenue, roas as roas from mart_marketing"""),
+          total_attributed_revenue::double as total_attributed_revenue, roas from mart_marketing"""),
     "ask_order_sample": table_query("fct_orders") + " order by order_id limit 10",
     "dim_channel": query("""
         select d.*, n as orders

@@ -98,11 +98,6 @@ def based(grain: str | None, sources=tuple(SOURCES)) -> str:
     return f"(select * from {joined}) b cross join {PEOPLE} c"
 
 
-def _unpivot(names, refunds: str = "refunded", keys: str = "p") -> str:
-    made = formulas(refunds)
-    return ", ".join(f"('{n}', ({made[n]})::double)" for n in names)
-
-
 def _long(source: str, names, refunds: str = "refunded", keys: str = "p") -> str:
     made = formulas(refunds)
     return " union all ".join(
@@ -111,11 +106,10 @@ def _long(source: str, names, refunds: str = "refunded", keys: str = "p") -> str
 
 
 def _compared(long: str, month: str, keys: str = "") -> str:
-    extra = f"{keys}, " if keys else ""
     on = f" and a.{keys} = x.{keys}" if keys else ""
     on2 = f" and b.{keys} = x.{keys}" if keys else ""
     return f"""
-        select x.{month} as month, {f'x.{keys}, ' if keys else ''}x.metric, x.value as value,
+        select x.{month} as month, {f'x.{keys}, ' if keys else ''}x.metric, x.value,
           a.value as pm, b.value as py,
           ((ifnull(x.value, 0) - a.value) / nullif(a.value, 0)) as mom_pct,
           ((ifnull(x.value, 0) - b.value) / nullif(b.value, 0)) as yoy_pct

@@ -121,7 +121,7 @@ SQL = {
         select date_trunc('month', date_id)::date as month, (avg(transit_days)) as avg_transit_days
         from fct_shipments group by 1"""),
     "rpt_at_risk_products": query("""
-        select inventory_id, product_name, closing_qty, days_of_supply as days_of_supply, stock_status
+        select inventory_id, product_name, closing_qty, days_of_supply, stock_status
         from fct_inventory i left join stg_products p on p.product_id = i.product_id where stock_status <> 'in_stock'"""),
     "rpt_reconciliation_waterfall": query("""
         select 1 as step, 'net_revenue' as stage, sum(net_revenue)::double as amount from fct_orders

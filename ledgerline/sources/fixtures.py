@@ -156,15 +156,16 @@ class FixtureSource:
         discount = _dec(price * _dec("l_discount", 4))
         cost = _dec(price * _dec(F.lit("0.6"), 4))
         orphan = (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 300 == 5
+        prices = self.table("part").select("p_partkey", _dec("p_retailprice").alias("unit_price"))
         return _stamp(
             self.table("lineitem")
-            .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(prices, F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
                 F.when(orphan, F.lit(-1).cast("long")).otherwise(F.col("l_orderkey")).alias("order_id"),
                 F.col("l_partkey").alias("product_id"),
                 F.col("l_quantity").cast("int").alias("quantity"),
-                _dec("p_retailprice").alias("unit_price"),
+                "unit_price",
                 discount.alias("discount"),
                 cost.alias("cost"),
                 _dec(price - discount).alias("revenue"),

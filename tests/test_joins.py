@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from ledgerline.operators import joins
+from ledgerline.plans import catalog
+from ledgerline.plans.warehouse import Warehouse
+from ledgerline.sources.fixtures import FixtureSource
 
 
 @pytest.fixture(scope="module")
@@ -77,3 +81,20 @@ def test_orphans_are_counted_per_key_first(spark):
     parent = spark.createDataFrame([(1,)], "k long")
     assert joins.orphan_rows(child, parent, "k", nulls_are_orphans=False).first().orphans == 3
     assert joins.orphan_rows(child, parent, "k", nulls_are_orphans=True).first().orphans == 4
+
+
+@pytest.mark.parametrize("name", ["stg_order_items", "fct_order_items", "fct_payments", "fct_refunds"])
+def test_models_are_the_same_with_every_lookup_salted(spark, monkeypatch, name):
+    source = FixtureSource(spark, TESTDATA)
+    plain = Warehouse(spark, source, catalog.TEST_SETTINGS)[name]
+    want = sorted(map(str, plain.collect()))
+    monkeypatch.setitem(joins.salted_sides.__kwdefaults__, "rows_per_salt", 5)
+    monkeypatch.setitem(joins.salted_sides.__kwdefaults__, "buckets", 64)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted = Warehouse(spark, source, catalog.TEST_SETTINGS)[name]
+        assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(str, salted.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
