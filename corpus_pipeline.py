@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import mixing, pii, simhash
+from ledgerline.llm import mixing, packing, pii, quality, simhash
 from ledgerline.llm.common import staged, table, word_count
-from ledgerline.llm.registry import MIX_SEED
+from ledgerline.llm.registry import MIX_SEED, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the fixed rules and the trees trained on the labelled ones."""
+    return quality.kept(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return simhash.without_near_duplicates(docs)
@@ -29,10 +34,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs, word_count(F.col("text")), MIX_SEED)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and where they stand in sequences of 2 048 tokens."""
+    return packing.packed(docs, tokenizer_path())
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_rules),
     ("simhash", near_duplicates),
     ("pii", personal_data),
     ("mixing", mix),
+    ("packing", pack),
 ]
 # Trained models, SimHash and byte-pair encoding have no SQL form.
 ORACLE_SQL = None

@@ -4,19 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import mixing, pii, simhash
+from ledgerline.llm import fingerprints, mixing, packing, pii, quality, simhash
 from ledgerline.llm.common import staged, table, word_count
 
 MIX_SEED = 20240601
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the public tokenizer; executors have it at the same place."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), tokenizer_path())
+
+
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(table(spark, folder, "documents"))
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    return quality.judge(docs, model).select("row.doc_id", "judged.*")
+
+
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compared(table(spark, folder, "documents"))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -30,7 +50,10 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_pii": op2_pii,
+    "op3_quality": op3_quality,
+    "op6_fingerprints": op6_fingerprints,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
 }
