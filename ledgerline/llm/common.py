@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 import ledgerline.llm
 from ledgerline.session import prepare, shared_folder
 from pyspark import cloudpickle
@@ -49,6 +52,12 @@ def null_last(column: str | Column) -> Column:
     return F.coalesce(F.concat(F.lit("a"), column.cast("string")), F.lit("b"))
 
 
+def worker_memory() -> dict:
+    """What a Python worker keeps from one task to the next."""
+    name = "ledgerline_worker_memory"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
 def inner_name(taken: list[str], wanted: str) -> str:
     """A column name that the caller's frame does not use."""
     used = {name.lower() for name in taken}

@@ -12,8 +12,6 @@ counted in blocks by a hash, so that a length that many pieces share doesn't mee
 
 from __future__ import annotations
 
-import sys
-import types
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -28,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from tokenizers import Tokenizer
 
-from ledgerline.llm.common import staged
+from ledgerline.llm.common import staged, worker_memory
 
 CAPACITY = 2048
 END = 0
@@ -101,7 +99,7 @@ class WordEncoder:
 
 def worker_encoder(path: str) -> WordEncoder:
     """The encoder of this Python worker; it outlives the task, so that the words it has met stay known."""
-    kept = sys.modules.setdefault("ledgerline_worker_memory", types.ModuleType("ledgerline_worker_memory")).__dict__
+    kept = worker_memory()
     if path not in kept:
         kept[path] = WordEncoder(path)
     return kept[path]

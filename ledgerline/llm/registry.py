@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import fingerprints, mixing, packing, pii, quality, simhash
+from ledgerline.llm import fingerprints, langid, mixing, packing, pii, quality, simhash
 from ledgerline.llm.common import staged, table, word_count
 
 MIX_SEED = 20240601
@@ -33,6 +33,10 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs, model).select("row.doc_id", "judged.*")
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identified(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+
+
 def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compared(table(spark, folder, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_pii": op2_pii,
     "op3_quality": op3_quality,
+    "op5_language": op5_language,
     "op6_fingerprints": op6_fingerprints,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
