@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import fingerprints, langid, mixing, packing, pii, quality, simhash
+from ledgerline.llm import fingerprints, html, langid, lm, mixing, packing, pii, quality, simhash
 from ledgerline.llm.common import staged, table, word_count
 
 MIX_SEED = 20240601
@@ -33,6 +33,10 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs, model).select("row.doc_id", "judged.*")
 
 
+def op4_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extracted(table(spark, folder, "pages"))
+
+
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identified(table(spark, folder, "documents").select("doc_id", "text", "lang"))
 
@@ -41,6 +45,11 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compared(table(spark, folder, "documents"))
 
 
+def op7_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lm.scored(docs, langid.held_out(F.col("doc_id"), 7, 2))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -57,8 +66,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_pii": op2_pii,
     "op3_quality": op3_quality,
+    "op4_html": op4_html,
     "op5_language": op5_language,
     "op6_fingerprints": op6_fingerprints,
+    "op7_lm": op7_lm,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
 }
