@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import fingerprints, html, langid, lm, mixing, packing, pii, quality, simhash
+from ledgerline.llm import fingerprints, html, langid, lm, mixing, packing, pii, quality, secrets, simhash
 from ledgerline.llm.common import staged, table, word_count
 
 MIX_SEED = 20240601
@@ -62,6 +62,10 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", "size", "source_size", "target", taken)
 
 
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secrets_of(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_pii": op2_pii,
@@ -72,5 +76,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_lm": op7_lm,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
+    "op10_secrets": op10_secrets,
 }
 SQL = {"op9_mixing": mixing.SQL.format(offset=repr(mixing.offset(MIX_SEED)))}
