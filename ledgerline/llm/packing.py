@@ -12,9 +12,11 @@ counted in blocks by a hash, so that a length that many pieces share doesn't mee
 
 from __future__ import annotations
 
+import string
 import zlib
+from array import array
 from bisect import bisect_left, insort
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,66 +37,65 @@ BUCKETS = 256
 # --- tokens ------------------------------------------------------------------------------------------------------
 
 # Words kept with their ids in each Python worker, and the parts that words are split into.
-WORDS_KEPT, PARTS_KEPT = 1 << 19, 1 << 20
-# Fixed value: what the tokenizer's own pattern splits a word into, after lower-casing.
+WORDS_KEPT, PARTS_KEPT = 1 << 20, 1 << 20
+# Fixed value: the pattern by which the tokenizer splits lower-cased text into parts.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 
+class Kept(dict):
+    """A dictionary that fills itself and then keeps what it met first."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(self) < self.most:
+            self[key] = value
+        return value
+
+
 class WordEncoder:
     """Ids of whole texts, as little-endian 32-bit bytes, from the ids of their words.
 
-    The tokenizer never looks beyond white space, so each word is encoded once and kept. Words in Latin letters are split
-    into parts by the tokenizer's pattern, and new parts are encoded many at a time; a part ends with the token that
-    carries the end mark. Other words are left to the tokenizer as they are.
+    The tokenizer never looks beyond white space, so that words can be encoded one by one and kept. Words in Latin letters
+    are lower-cased and split into parts as the tokenizer's pattern does, and its model gives the ids of each part.
+    Words with other letters, control characters or what may be a special token are left to the whole tokenizer.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.model = self.tokenizer.model
         self.pattern = regex.compile(PARTS)
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        # The byte alphabet of the vocabulary: printable Latin-1 stands for itself, other bytes follow from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in plain]
+        self.alphabet = {**{b: b for b in plain}, **{b: 256 + i for i, b in enumerate(rest)}}
+        self.words = Kept(self._word, WORDS_KEPT)
+        self.parts = Kept(self._part, PARTS_KEPT)
 
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        if missing := set(words).difference(self.words):
-            if len(self.words) + len(missing) > WORDS_KEPT:
-                self.words.clear()
-                missing = set(words)
-            self._learn(missing)
-        return b"".join(map(self.words.__getitem__, words))
-
-    def _learn(self, words: Iterable[str]) -> None:
-        split, whole = {}, []
-        for word in words:
-            if "<|" in word or (not word.isascii() and max(word) > "ɏ"):
-                whole.append(word)
-            else:
-                low = word.lower() if word.isascii() else self.tokenizer.normalizer.normalize_str(word)
-                split[word] = self.pattern.findall(low)
-        if new := {p for parts in split.values() for p in parts}.difference(self.parts):
-            if len(self.parts) + len(new) > PARTS_KEPT:
-                self.parts.clear()
-                new = {p for parts in split.values() for p in parts}
-            self._learn_parts(sorted(new))
-        for word, parts in split.items():
-            self.words[word] = b"".join(map(self.parts.__getitem__, parts))
-        for word, found in zip(whole, self.tokenizer.encode_batch(whole, add_special_tokens=False), strict=True):
-            self.words[word] = np.array(found.ids, dtype="<u4").tobytes()
-
-    def _learn_parts(self, parts: list[str]) -> None:
-        for at in range(0, len(parts), 4096):
-            some = parts[at : at + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            last = np.flatnonzero(self.ends[ids])
-            if len(last) == len(some) and last[-1] + 1 == len(ids):
-                data, cuts = ids.tobytes(), [0, *((last + 1) * 4).tolist()]
-                self.parts.update((p, data[a:b]) for p, a, b in zip(some, cuts, cuts[1:], strict=False))
-            else:
-                found = self.tokenizer.encode_batch(some, add_special_tokens=False)
-                self.parts.update((p, np.array(f.ids, dtype="<u4").tobytes()) for p, f in zip(some, found, strict=True))
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+
+    def _word(self, word: str) -> bytes:
+        if word.isascii():
+            low = word.lower()
+        elif max(word) <= "ɏ":
+            low = self.tokenizer.normalizer.normalize_str(word)
+        else:
+            low = "<|"
+        stem = low.rstrip(string.punctuation)
+        if stem.isalpha():
+            return self.parts[stem] + self.parts[low[len(stem) :]] if len(stem) < len(low) else self.parts[low]
+        if "<|" in low or not word.isprintable():
+            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return b"".join(map(self.parts.__getitem__, self.pattern.findall(low)))
+
+    def _part(self, part: str) -> bytes:
+        if not part.isascii():
+            part = part.encode("utf-8").decode("latin-1").translate(self.alphabet)
+        return array("I", [token.id for token in self.model.tokenize(part)]).tobytes()
 
 
 def worker_encoder(path: str) -> WordEncoder:
