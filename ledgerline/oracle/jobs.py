@@ -212,6 +212,7 @@ SQL = {
         from checked where reason is not null"""),
     "wh_ids_state": _webhook_query("select event_id from taken"),
     "wh_ids_watermark": _webhook_query("select event_id from taken"),
+    "wh_ids_late": _webhook_query("select event_id from taken"),
     "ai_screened_questions": f"""
         select conv_id, turn, role, {_contains('q', BLOCKED_PHRASES)} as is_blocked, concat_ws(',', {_TAGS}) as metrics
         from (select *, lower(text) as q from conversations)""",

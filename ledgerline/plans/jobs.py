@@ -149,6 +149,19 @@ def _ids(repeats: str):
     return lambda warehouse: _comparable(_streamed(warehouse, repeats)[0]).select("event_id")
 
 
+def late_ids(warehouse) -> DataFrame:
+    """Ids taken in by two runs, of which the second brings the earlier half of the events."""
+    spark = warehouse.spark
+    inbox, out, checkpoint = (shared_folder(spark, f"events-{name}") for name in ("inbox", "late", "late-checkpoint"))
+    requests = warehouse.source.webhooks()
+    middle = F.lit("2024-01-15").cast("timestamp")
+    for half in (F.col("received_at") >= middle, F.col("received_at") < middle):
+        requests.where(half).write.mode("append").parquet(inbox)
+        feed = spark.readStream.schema(requests.schema).parquet(inbox)
+        kept, _ = intake.run(spark, feed, out, checkpoint, secret=FIXTURE_SECRET, repeats="watermark", delay="2 days")
+    return _comparable(kept).select("event_id")
+
+
 QUERIES = {
     "src_scan_orders": scanned_orders,
     "src_incremental_orders": incremental_orders,
@@ -174,4 +187,5 @@ QUERIES = {
     "wh_rejected": stream_rejected,
     "wh_ids_state": _ids("state"),
     "wh_ids_watermark": _ids("watermark"),
+    "wh_ids_late": late_ids,
 }

@@ -5,7 +5,9 @@ The per-row steps are the same for a batch and a stream. Repeats can be removed
 ``ledger``     every id ever accepted counts; ids are looked up in what the sink holds. Exact for ever, keeps no
                state, reads the ids of the sink once per trigger. The earliest request of a trigger wins.
 ``state``      every id ever accepted counts; ids live in the state store, and a trigger costs only its own rows.
-``watermark``  ids are forgotten after a delay, so the state stays bounded.
+``watermark``  ids are forgotten after a delay: requests are looked up in what was received since the watermark, the
+               latest time accepted so far less the delay. Requests that are older than that are few; they are
+               looked up in the whole ledger, so that a late event is neither lost nor taken twice.
 """
 
 from __future__ import annotations
@@ -103,7 +105,9 @@ def route(requests: DataFrame, secret: str = DEVELOPMENT_SECRET) -> DataFrame:
 
 
 def accepted(routed: DataFrame) -> DataFrame:
-    return routed.where(F.col("reason").isNull()).drop("reason", "status_code", "signature")
+    """Accepted requests; an empty id counts as none."""
+    taken = routed.where(F.col("reason").isNull()).drop("reason", "status_code", "signature")
+    return taken.withColumn("event_id", F.nullif("event_id", F.lit("")))
 
 
 def rejected(routed: DataFrame) -> DataFrame:
@@ -164,8 +168,27 @@ def _read(spark: SparkSession, path: str, columns: dict[str, str], extra: str =
     return spark.read.schema(_ddl(columns) + extra).parquet(path)
 
 
-def _ledger_writer(spark: SparkSession, folder: str, secret: str) -> Callable[[DataFrame, int], None]:
-    """Per trigger: one folder of accepted and one of rejected rows, named by the trigger.
+def fresh_within(requests: DataFrame, ledger: DataFrame, delay: str) -> DataFrame:
+    """What a trigger adds if ids are forgotten ``delay`` after they were received.
+
+    The watermark is a single time. Only requests before it, and those without a time, meet the older part of the
+    ledger; for the others a filter on the time keeps that part from being read.
+    """
+    named = first_per_id(requests.where(F.col("event_id").isNotNull()))
+    latest = ledger.agg((F.max("received_at") - F.expr(f"interval {delay}")).alias("t")).first()["t"]
+    anonymous = requests.where(F.col("event_id").isNull())
+    if latest is None:  # nothing was accepted so far, or nothing with a time
+        return unseen(named, ledger).unionByName(anonymous)
+    in_time = F.coalesce(F.col("received_at") >= F.lit(latest), F.lit(False))
+    recent = unseen(named.where(in_time), ledger.where(in_time))
+    return recent.unionByName(unseen(named.where(~in_time), ledger)).unionByName(anonymous)
+
+
+def _ledger_writer(
+    spark: SparkSession, folder: str, secret: str, delay: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Per trigger: one folder of accepted and one of rejected rows, named by the trigger. With a ``delay`` ids are
+    forgotten after it.
 
     A replayed trigger overwrites its own folder and does not see itself in the ledger, so it writes the same
     rows again.
@@ -175,7 +198,9 @@ def _ledger_writer(spark: SparkSession, folder: str, secret: str) -> Callable[[D
         routed = route(batch, secret).persist()
         try:
             ledger = _read(spark, f"{folder}/accepted", EVENT_COLUMNS, ", batch long").where(F.col("batch") < number)
-            event_rows(fresh(accepted(routed), ledger)).write.mode("overwrite").parquet(f"{folder}/accepted/batch={number}")
+            requests = accepted(routed)
+            added = fresh_within(requests, ledger, delay) if delay else fresh(requests, ledger)
+            event_rows(added).write.mode("overwrite").parquet(f"{folder}/accepted/batch={number}")
             rejected(routed).write.mode("overwrite").parquet(f"{folder}/rejected/batch={number}")
         finally:
             routed.unpersist()
@@ -195,19 +220,14 @@ def _state_on_disk(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def without_repeats(rows: DataFrame, repeats: str, delay: str) -> DataFrame:
+def without_repeats(rows: DataFrame) -> DataFrame:
     """Streaming removal of repeated ids in two steps.
 
     The first step works on id and a salt taken from the rest of the row, so the requests of an id that is sent
     very often are spread over several tasks; the second has at most one request per id and salt left.
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64("received_at", "payload"), F.lit(REPEAT_SALTS)))
-    if repeats == "watermark":
-        late = salted.withWatermark("received_at", delay)
-        once = late.dropDuplicatesWithinWatermark(["event_id", "_salt"]).dropDuplicatesWithinWatermark(["event_id"])
-    else:
-        once = salted.dropDuplicates(["event_id", "_salt"]).dropDuplicates(["event_id"])
-    return once.drop("_salt")
+    return salted.dropDuplicates(["event_id", "_salt"]).dropDuplicates(["event_id"]).drop("_salt")
 
 
 def start(
@@ -222,16 +242,17 @@ def start(
     """Take in everything that is available, then stop. Call again with the same folders to go on."""
     if repeats not in ("ledger", "state", "watermark"):
         raise ValueError(f"repeats must be ledger, state or watermark, not {repeats}")
-    if repeats == "ledger":
+    if repeats != "state":
         # An empty first folder gives the ledger a schema before anything was accepted.
         schema_only = spark.createDataFrame([], _ddl(EVENT_COLUMNS))
         schema_only.write.mode("ignore").parquet(f"{folder}/accepted/batch=-1")
-        writer = requests.writeStream.foreachBatch(_ledger_writer(spark, folder, secret))
+        writer = requests.writeStream.foreachBatch(_ledger_writer(spark, folder, secret, delay if repeats == "watermark" else None))
         return [writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()]
     routed = route(requests, secret)
-    # Every request needs an id here: those without one get their own and so are never a repeat.
-    rows = event_rows(accepted(routed))
-    outputs = {"accepted": without_repeats(rows, repeats, delay), "rejected": rejected(routed)}
+    taken = accepted(routed)
+    # Requests without an id are never repeats, so they leave nothing in the state.
+    named, anonymous = (event_rows(taken.where(c)) for c in ("event_id is not null", "event_id is null"))
+    outputs = {"accepted": without_repeats(named).unionByName(anonymous), "rejected": rejected(routed)}
     with _state_on_disk(spark):
         return [
             df.writeStream.format("parquet")

@@ -85,6 +85,42 @@ def test_each_id_is_taken_once_over_several_runs(spark, tmp_path, repeats):
     assert {r.processing_status for r in second.collect()} == {"pending"}
 
 
+@pytest.mark.parametrize("repeats", ["ledger", "state", "watermark"])
+def test_late_events_and_empty_ids_are_kept(spark, tmp_path, repeats):
+    feed = Feed(spark, tmp_path / "in")
+    order = {"event_type": "order.created"}
+    day = 24 * 60
+    folders = (str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    sent = 0
+    for rows in (
+        [request("a", order, 30 * day), request("", order, 1), request("", order, 1), request(None, order), request("x", "{")],
+        # b is older than any watermark, a is an old repeat of what is still remembered, c comes twice
+        [request("b", order, 0), request("c", order, 31 * day), request("c", order, 31 * day), request("a", order, 2), request("", order, 1)],
+        [request("b", order, 1), request("d", order, 40 * day)],
+    ):
+        feed.add(*rows)
+        sent += len(rows)
+        kept, refused = intake.run(spark, feed.stream(), *folders, repeats=repeats, delay="7 days")
+    ids = [r.event_id for r in kept.collect()]
+    assert sorted(i for i in ids if len(i) == 1) == ["a", "b", "c", "d"]
+    assert sum(len(i) > 1 for i in ids) == 4  # each request without an id has one of its own
+    repeated = 3
+    assert len(ids) + refused.count() + repeated == sent
+
+
+def test_ids_are_forgotten_after_the_delay(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in")
+    order, day = {"event_type": "order.created"}, 24 * 60
+    folders = (str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    for minute in (0, 30 * day):
+        feed.add(request("a", order, minute), request(f"n{minute}", order, minute + 1))
+        kept = intake.run(spark, feed.stream(), *folders, repeats="watermark", delay="7 days")[0]
+    assert kept.where("event_id = 'a'").count() == 1  # the watermark only moves with what was accepted before
+    feed.add(request("a", order, 31 * day), request("n0", order, 31 * day))
+    kept = intake.run(spark, feed.stream(), *folders, repeats="watermark", delay="7 days")[0]
+    assert sorted(r.event_id for r in kept.collect()) == ["a", "a", "n0", "n0", f"n{30 * day}"]
+
+
 def test_earliest_request_wins_and_a_replayed_trigger_changes_nothing(spark, tmp_path):
     order = {"event_type": "order.created"}
     batch = spark.createDataFrame(
