@@ -11,11 +11,13 @@ META = ("_ingested_at", "_batch_id", "_source", "_record_hash")
 def latest_by(df: DataFrame, key: str, newest_first: tuple[str, ...] = ("_ingested_at", "_batch_id")) -> DataFrame:
     """The newest row of each key; rows without a key are dropped first.
 
-    All remaining business columns break ties, so the order is total and the result does not depend on
-    partitioning. The ``row_number() = 1`` shape lets Catalyst put a group limit below the exchange: each map
+    The record hash breaks ties, so that a query reads no other column for the order; feeds without one fall back
+    on all remaining business columns. Either way the order is total up to equal rows and the result does not depend
+    on partitioning. The ``row_number() = 1`` shape lets Catalyst put a group limit below the exchange: each map
     task keeps one row per key, so a key that is repeated very often is thinned out before the shuffle.
     """
-    ties = [c for c in df.columns if c != key and c not in META]
+    hashed = "_record_hash" in df.columns
+    ties = ["_record_hash"] if hashed else [c for c in df.columns if c != key and c not in META]
     order = [F.col(c).desc_nulls_last() for c in (*newest_first, *ties)]
     window = Window.partitionBy(key).orderBy(*order)
     return (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,8 +18,13 @@ def planned_bytes(df: DataFrame) -> int:
 
 
 def _broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    return int(text) if text.lstrip("-").isdigit() else 10 * 1024 * 1024
+    return size_in_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+
+
+def size_in_bytes(text: str) -> int:
+    """A size as Spark's settings write it: a number of bytes, or one with a unit such as ``64MB`` or ``10m``."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)i?b?\s*", text.lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}[unit]
 
 
 def lookup(

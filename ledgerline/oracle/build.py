@@ -27,8 +27,11 @@ def query(select: str, extra: dict[str, str] | None = None) -> str:
 
     for name in _uses(select, ctes):
         visit(name)
+    # A table used more than once is worked out once.
+    texts = [ctes[n] for n in ordered] + [select]
+    shared = {n for n in ordered if sum(len(re.findall(rf"\b{n}\b", t)) for t in texts) > 2}
     # Views named like a model would shadow nothing: the driver's tables have other names.
-    body = ",\n".join(f"{n} as ({ctes[n].strip()})" for n in ordered)
+    body = ",\n".join(f"{n} as {'materialized ' if n in shared else ''}({ctes[n].strip()})" for n in ordered)
     return f"with {body}\n{select.strip()}" if body else select.strip()
 
 

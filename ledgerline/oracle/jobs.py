@@ -6,7 +6,7 @@ from ledgerline.functions.signing import pads
 from ledgerline.operators.defects import DATASETS, DEFECT_SHARE, RATES, SEED
 from ledgerline.oracle.build import query, table_query
 from ledgerline.plans.screening import BLOCKED_PHRASES, FORBIDDEN_WORDS, METRIC_KEYWORDS
-from ledgerline.sources.fixtures import FIXTURE_SECRET
+from ledgerline.sources.fixtures import FIXTURE_SECRET, QUESTIONS
 from ledgerline.sources.ingest import ENTITIES
 from ledgerline.streaming.intake import ACCEPTED_EVENTS
 
@@ -61,7 +61,8 @@ _DEFECT_CTES = {
 }
 _COUNTS = {
     "duplicate_orders": "select count(*) from copied_orders where c = 1",
-    "orphan_order_items": f"select count(*) from raw_order_items where {_picked('order_item_id', 'orphan_order_items')}",
+    "orphan_order_items": "select count(*) from raw_order_items where _batch_id = 1 and "
+    + _picked("order_item_id", "orphan_order_items"),
     "orphan_payments": "select count(*) from changed_payments where order_id = 'ORD-GHOST-0000'",
     "refund_exceeds_payment": f"select count(*) from raw_refunds where {_picked('refund_id', 'refund_exceeds_payment')}",
     "null_customer_email": "select count(*) from raw_customers where _batch_id = 1 and "
@@ -90,7 +91,8 @@ _TYPES = ", ".join(f"'{t}'" for t in ACCEPTED_EVENTS)
 _WEBHOOK_CTES = {
     "requests": """
         select event_id as k,
-          case when event_id%173=4 then null when event_id%50=0 and event_id>0 then event_id-1 else event_id end::varchar
+          case when event_id%179=6 then '' when event_id%173=4 then null
+               when event_id%50=0 and event_id>0 then (event_id-1)::varchar else event_id::varchar end
             as event_id,
           ts as received_at,
           case when event_id%211=1 then '{not json' when event_id%199=1 then '{"source":"x"}'
@@ -108,9 +110,9 @@ _WEBHOOK_CTES = {
                 null) as event_type,
                 if(json_valid(body), ifnull(body->>'$.source', 'unknown'), 'unknown') as source from requests)""",
     "taken": """
-        select * from checked where reason is null and event_id is not null
+        select * from checked where reason is null and event_id <> ''
         qualify row_number() over (partition by event_id order by received_at, body) = 1
-        union all select * from checked where reason is null and event_id is null""",
+        union all select * replace (null as event_id) from checked where reason is null and ifnull(event_id, '') = ''""",
 }
 _CODE = "case when reason is null then 202 when reason = 'bad_signature' then 401 when reason = 'invalid_json' then 400 else 422 end"
 _STAMP = "strftime(received_at, '%Y-%m-%d %H:%M:%S')"
@@ -129,6 +131,7 @@ def _contains(column: str, phrases) -> str:
 
 _TAGS = ", ".join(f"case when {_contains('q', words)} then '{key}' end" for key, words in METRIC_KEYWORDS.items())
 _WORDS = "|".join(FORBIDDEN_WORDS)
+_ASKED = ", ".join(f"'{q}'" for q in QUESTIONS)
 _QUERY_LOG = """
     select event_id, case event_id % 10
       when 0 then 'SELECT * FROM main_marts.fct_orders LIMIT ' || event_id
@@ -171,7 +174,7 @@ SQL = {
           as order_status from copied_orders"""),
     "inj_order_items": _defect_query(f"""
         select order_item_id, if({_picked('order_item_id', 'orphan_order_items')}, 'ORD-INVALID-9999', order_id::varchar)
-          as order_id from raw_order_items"""),
+          as order_id from raw_order_items where _batch_id = 1"""),
     "inj_payments": _defect_query("select payment_id, order_id, amount::double as amount from copied_payments"),
     "inj_refunds": _defect_query(f"""
         select refund_id, if({_picked('refund_id', 'refund_exceeds_payment')},
@@ -214,8 +217,9 @@ SQL = {
     "wh_ids_watermark": _webhook_query("select event_id from taken"),
     "wh_ids_late": _webhook_query("select event_id from taken"),
     "ai_screened_questions": f"""
-        select conv_id, turn, role, {_contains('q', BLOCKED_PHRASES)} as is_blocked, concat_ws(',', {_TAGS}) as metrics
-        from (select *, lower(text) as q from conversations)""",
+        select conv_id, turn, role, ifnull({_contains('q', BLOCKED_PHRASES)}, false) as is_blocked, concat_ws(',', {_TAGS}) as metrics
+        from (select *, if((conv_id + turn) % 10 = 0, null, lower(text || [{_ASKED}][((conv_id + turn) % {len(QUESTIONS)} + 1)::int])) as q
+              from conversations)""",
     "ai_screened_sql": query(
         f"""
         select event_id, sql, case when clean = '' then 'Empty SQL statement'

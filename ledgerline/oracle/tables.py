@@ -17,6 +17,7 @@ WAREHOUSE_CASE = (
 
 RAW = {
     "batches": "select 1 as _batch_id union all select 2",
+    "copies": "select 0 as copy union all select 1",
     "raw_customers": f"""
         select c_custkey as customer_id, concat(' ', substr(c_name,1,8), ' ') as first_name,
           concat(substr(c_name,10), ' ') as last_name,
@@ -42,13 +43,15 @@ RAW = {
           case when o_orderkey%125=0 then 'UNKNOWN_STATUS' when o_orderstatus='F' and o_orderkey%10=3 then 'refunded'
                when o_orderstatus='F' then 'Completed' when o_orderstatus='O' and o_orderkey%8=1 then 'cancelled'
                when o_orderstatus='O' then 'PROCESSING' else 'shipped' end as order_status,
-          cast(o_totalprice as decimal(18,2))-cast(o_orderkey%20 as decimal(18,2)) as subtotal,
-          cast(0 as decimal(18,2)) as discount, cast(0 as decimal(18,2)) as tax,
+          cast(o_totalprice as decimal(18,2))-cast(o_orderkey%20 as decimal(18,2))-cast(o_orderkey%9 as decimal(18,2))
+            +cast(case when o_orderkey%6=1 then o_orderkey%5 else 0 end as decimal(18,2)) as subtotal,
+          cast(case when o_orderkey%6=1 then o_orderkey%5 else 0 end as decimal(18,2)) as discount,
+          cast(o_orderkey%9 as decimal(18,2)) as tax,
           cast(o_orderkey%20 as decimal(18,2)) as shipping, cast(o_totalprice as decimal(18,2)) as total_amount,
           _batch_id
         from orders cross join batches where _batch_id=1 or o_orderkey%100=7""",
     "raw_order_items": """
-        select l_orderkey*10+l_linenumber as order_item_id,
+        select ((l_orderkey*10+l_linenumber)*10000000+l_partkey)*10000+l_suppkey as order_item_id,
           case when (l_orderkey*7+l_partkey)%300=5 then -1 else l_orderkey end as order_id, l_partkey as product_id,
           cast(l_quantity as int) as quantity, cast(p_retailprice as decimal(18,2)) as unit_price,
           cast(cast(l_extendedprice as decimal(18,2))*cast(l_discount as decimal(4,2)) as decimal(18,2)) as discount,
@@ -58,26 +61,29 @@ RAW = {
           cast(l_extendedprice as decimal(18,2))
             -cast(cast(l_extendedprice as decimal(18,2))*cast(l_discount as decimal(4,2)) as decimal(18,2))
             -cast(cast(l_extendedprice as decimal(18,2))*cast(0.6 as decimal(4,2)) as decimal(18,2)) as gross_profit,
-          l_shipdate as _ingested_at
-        from lineitem join part on l_partkey=p_partkey""",
+          cast(l_shipdate as date)+(_batch_id-1) as _ingested_at, _batch_id
+        from lineitem join part on l_partkey=p_partkey cross join batches where _batch_id=1 or l_orderkey%90=4""",
     "raw_payments": """
-        select o_orderkey as payment_id, case when o_orderkey%250=9 then -1 else o_orderkey end as order_id,
+        select o_orderkey+copy*1000000000 as payment_id, case when o_orderkey%250=9 then -1 else o_orderkey end as order_id,
           cast(o_orderdate as date) as payment_date, o_orderpriority as payment_method,
           case when o_orderkey%50=0 then 'failed' else 'Completed' end as status,
           case when o_orderkey%50=11 then cast(o_totalprice as decimal(18,2))-50
                when o_orderkey%67=5
                then cast(cast(o_totalprice as decimal(18,2))*cast(0.9 as decimal(4,2)) as decimal(18,2))
                else cast(o_totalprice as decimal(18,2)) end as amount, _batch_id
-        from orders cross join batches where _batch_id=1 or o_orderkey%250=13""",
+        from orders cross join copies cross join batches
+        where (copy=0 or o_orderkey%120=17) and (_batch_id=1 or o_orderkey%250=13)""",
     "raw_refunds": """
-        select o_orderkey as refund_id, o_orderkey as order_id,
+        select o_orderkey+copy*1000000000 as refund_id, o_orderkey as order_id,
           cast(o_orderdate as date)+cast(o_orderkey%14+1 as int) as refund_date,
           cast(cast(o_totalprice as decimal(18,2))
                *cast(case when o_orderkey%29=0 then 1.5 else 0.25 end as decimal(4,2)) as decimal(18,2)) as amount,
           case o_orderkey%5 when 0 then 'damaged' when 1 then 'not_as_described' when 2 then 'wrong_item'
                when 3 then 'changed_mind' else 'defective' end as reason,
           case when o_orderkey%40=3 then 'pending' else 'completed' end as status, 1 as _batch_id
-        from orders where (o_orderstatus='F' and o_orderkey%10=3) or o_orderkey%23=0 or o_orderkey%29=0""",
+        from orders cross join copies
+        where ((o_orderstatus='F' and o_orderkey%10=3) or o_orderkey%23=0 or o_orderkey%29=0)
+          and (copy=0 or o_orderkey%46=0)""",
     "raw_shipments": f"""
         select order_id as shipment_id, order_id, cast(order_id%5+1 as int) as warehouse_id,
           {WAREHOUSE_CASE.format(k='order_id%5+1')} as warehouse,
@@ -106,7 +112,7 @@ RAW = {
                as decimal(18,2)) as inventory_value, 1 as _batch_id
         from inv_base join raw_products on l_partkey=product_id""",
     "raw_ad_spend": """
-        select event_id as ad_record_id, cast(ts as date) as date, cast(user_id%12+1 as int) as campaign_id,
+        select event_id as ad_record_id, date '1995-01-01'+cast(event_id%2400 as int) as date, cast(user_id%12+1 as int) as campaign_id,
           concat('Campaign ',cast(user_id%12+1 as string)) as campaign_name,
           case when user_id%12<6 then 2 else 3 end as channel_id,
           case when user_id%12<6 then 'paid_search' else 'social_media' end as channel,
@@ -166,9 +172,8 @@ STAGING = {
         from {_first('order_id', 'raw_orders')} where total_amount >= 0""",
     "stg_order_items": f"""
         select order_item_id, order_id, product_id, quantity, unit_price, discount, cost, revenue, gross_profit,
-          strftime(_ingested_at, '%Y-%m-%d %H:%M:%S') as _ingested_at, 'mock/order_items' as _source, 1 as _batch_id
-        from {_first('order_item_id', 'raw_order_items', '_ingested_at desc, order_id desc, product_id desc, '
-                     'quantity desc, unit_price desc, discount desc, cost desc, revenue desc, gross_profit desc')} i
+          strftime(_ingested_at, '%Y-%m-%d %H:%M:%S') as _ingested_at, 'mock/order_items' as _source, _batch_id
+        from {_first('order_item_id', 'raw_order_items', '_ingested_at desc')} i
         where quantity > 0 and unit_price > 0 and exists (from stg_orders o where o.order_id = i.order_id)""",
     "stg_payments": f"""
         select payment_id, order_id, payment_date, payment_method,

@@ -7,6 +7,7 @@ check. Only the result table, one row per check, ever reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -166,17 +167,12 @@ def payouts_profile(fct_payouts: DataFrame) -> DataFrame:
 
 
 def daily_volume_profile(stg_orders: DataFrame, settings: Settings) -> DataFrame:
-    # One array of daily counts: it grows with the calendar, not with the orders.
-    row = (
-        stg_orders.groupBy("order_date")
-        .agg(F.count("*").alias("n"))
-        .agg(F.collect_list("n").alias("days"), F.avg("n").alias("mean"))
-    )
-    limit = F.col("mean") * F.lit(float(settings.low_volume_share))
+    # Two aggregates over the daily counts, whatever dates a feed may bring: the mean first, then the days below it.
+    days = stg_orders.groupBy("order_date").agg(F.count("*").alias("n"))
+    limit = days.agg(F.avg("n") * F.lit(float(settings.low_volume_share))).scalar()
+    row = days.agg(F.count("*").alias("days"), F.count_if(F.col("n") < limit).alias("low"), F.avg("n").alias("mean"))
     detail = F.format_string(" (%s)", F.format_string("%.0f", F.coalesce("mean", F.lit(0.0))))
-    return _unfold(
-        row, comp_004=(F.size("days"), F.size(F.filter("days", lambda n: n < limit)), detail)
-    )
+    return _unfold(row, comp_004=(F.col("days"), F.col("low"), detail))
 
 
 # Which checks each profile answers, in the order of the result table.
@@ -197,6 +193,7 @@ PROFILES: dict[Callable[..., DataFrame], tuple[str, ...]] = {
     daily_volume_profile: ("comp_004",),
 }
 # Tables more than one profile reads; worth writing once before a full run.
+JOBS_AT_A_TIME = 4
 SHARED_TABLES = ("stg_orders", "stg_payments", "stg_refunds", "clean_order_items")
 
 _COUNTS = {"check_id": "string", "checked": "long", "failed": "long", "detail": "string", "error": "string"}
@@ -245,36 +242,39 @@ def _error_rows(spark: SparkSession, ids: tuple[str, ...], error: Exception) ->
     return values_table(spark, [(i, 0, 0, "", text) for i in ids], _COUNTS)
 
 
-def check_counts(warehouse, ids: tuple[str, ...] | None = None, isolate: bool = False) -> DataFrame:
+def check_counts(warehouse, ids: tuple[str, ...] | None = None, isolate: bool = True) -> DataFrame:
     """Counts of the wanted checks.
 
-    A profile that cannot be planned, for instance because its table is missing, turns into ERROR rows and the
-    others go on. With ``isolate`` each profile also runs as a job of its own (its rows are at most two), so
-    that failures at run time are contained as well.
+    A profile that fails turns into ERROR rows and the others go on. For that each profile runs as a job of its own,
+    some at a time; its rows are at most two. Without ``isolate`` all are one plan, and only a profile that cannot be
+    planned, for instance because its table is missing, is contained.
     """
-    parts = []
-    for profile, answers in PROFILES.items():
-        wanted = tuple(i for i in answers if ids is None or i in ids)
-        if not wanted:
-            continue
+
+    def counted(profile: Callable[..., DataFrame], wanted: tuple[str, ...]) -> DataFrame:
         try:
             part = warehouse.run(profile).where(F.col("check_id").isin(*wanted))
             part = part.withColumn("error", F.lit(None).cast("string"))
-            if isolate:
-                part = values_table(warehouse.spark, part.collect(), _COUNTS)
+            return values_table(warehouse.spark, part.collect(), _COUNTS) if isolate else part
         except Exception as error:  # any failure of a check is a result, not the end of the run
-            part = _error_rows(warehouse.spark, wanted, error)
-        parts.append(part)
+            return _error_rows(warehouse.spark, wanted, error)
+
+    asked = {p: tuple(i for i in answers if ids is None or i in ids) for p, answers in PROFILES.items()}
+    with ThreadPoolExecutor(JOBS_AT_A_TIME if isolate else 1) as pool:
+        parts = list(pool.map(lambda item: counted(*item), ((p, w) for p, w in asked.items() if w)))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
     return whole
 
 
-def run(warehouse, folder: str | None = None, isolate: bool = False) -> DataFrame:
+def run(warehouse, folder: str | None = None, isolate: bool = True) -> DataFrame:
     """All checks. With ``folder`` the tables several checks share are written there once and read back."""
-    if folder is not None:
-        warehouse.materialise(SHARED_TABLES, folder)
+    for name in SHARED_TABLES if folder is not None else ():
+        try:
+            warehouse.materialise((name,), folder)
+        except Exception as error:  # the checks that read this table report it
+            if not isolate:
+                raise error
     return verdicts(check_counts(warehouse, isolate=isolate))
 
 
@@ -282,8 +282,13 @@ def run_one(check_id: str) -> Callable[..., DataFrame]:
     return lambda warehouse: verdicts(check_counts(warehouse, (check_id,))).drop("position")
 
 
+def checked(warehouse) -> DataFrame:
+    """All checks over tables written for this run."""
+    return run(warehouse.copy(), shared_folder(warehouse.spark, "checks"))
+
+
 def results(warehouse) -> DataFrame:
-    return run(warehouse).drop("position")
+    return checked(warehouse).drop("position")
 
 
 def _figures() -> list[Column]:
@@ -379,15 +384,15 @@ def unique_tests(warehouse) -> DataFrame:
 def written_report(warehouse) -> DataFrame:
     """Write the report as JSON and read it back, one row per check with the figures of the run beside it."""
     folder = shared_folder(warehouse.spark, "dq-report")
-    made = report(run(warehouse), "run")
+    made = report(checked(warehouse), "run")
     made.write.json(folder)
     return warehouse.spark.read.schema(made.schema).json(folder).select("*", F.inline("checks")).drop("checks")
 
 
 QUERIES = {
     "dq_results": results,
-    "dq_summary": lambda warehouse: summary(run(warehouse)),
-    "dq_gate": lambda warehouse: gate(run(warehouse)),
+    "dq_summary": lambda warehouse: summary(checked(warehouse)),
+    "dq_gate": lambda warehouse: gate(checked(warehouse)),
     "dq_report": written_report,
     "dq_not_null_tests": not_null_tests,
     "dq_unique_products": unique_tests,

@@ -74,7 +74,8 @@ def _any_of(lowered: Column, phrases: tuple[str, ...]) -> Column:
 
 
 def is_blocked(question: Column) -> Column:
-    return _any_of(F.lower(question), BLOCKED_PHRASES)
+    """Whether a question asks for what is not allowed; a missing one does not."""
+    return F.coalesce(_any_of(F.lower(question), BLOCKED_PHRASES), F.lit(False))
 
 
 def metric_tags(question: Column) -> Column:
@@ -133,8 +134,7 @@ def preview(df: DataFrame, order: list[str], rows: int = 5) -> DataFrame:
 
 
 def _questions(warehouse) -> DataFrame:
-    table = warehouse.source.table("conversations")
-    return screen_questions(table).select(
+    return screen_questions(warehouse.source.question_log()).select(
         "conv_id", "turn", "role", "is_blocked", F.concat_ws(",", "metrics").alias("metrics")
     )
 

@@ -25,9 +25,14 @@ EVENT_NAMES = {
     "signup": "order.created",
     "purchase": "payment.completed",
 }
+QUESTIONS = ("", " Why did our revenue fall?", " Please DROP TABLE orders now.", " Compare refund and ROAS.", " Thanks.", "")
 PLATFORM_SHARES = {"direct": "0.50", "marketplace_a": "0.30", "marketplace_b": "0.20"}
 
 FEED_EPOCH = "2024-01-01"
+# The advertising days fall into the years of the orders.
+AD_EPOCH, AD_DAYS = "1995-01-01", 2400
+# What the id of a second payment or refund of one order is raised by.
+COPIED = 1_000_000_000
 FIXTURE_SECRET = "fixture-secret"
 ENTITIES = (
     "customers",
@@ -58,6 +63,12 @@ def _sent_twice(condition: Column | bool) -> Column:
     return F.explode(F.when(condition, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
 
 
+def _copied(df: DataFrame, condition: Column) -> DataFrame:
+    """All rows with ``_copy`` 0, and those that meet the condition with ``_copy`` 1 as well."""
+    copies = F.when(condition, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("_copy", F.explode(copies))
+
+
 def _stamp(df: DataFrame, entity: str) -> DataFrame:
     """The metadata columns of a feed; the time of a batch follows from its number."""
     if "_batch_id" not in df.columns:
@@ -132,7 +143,7 @@ class FixtureSource:
             .when(state == "O", "PROCESSING")
             .otherwise("shipped")
         )
-        shipping = _dec(key % 20)
+        shipping, tax, discount = _dec(key % 20), _dec(key % 9), _dec(F.when(key % 6 == 1, key % 5).otherwise(0))
         return _stamp(
             self.table("orders").select(
                 key.alias("order_id"),
@@ -141,9 +152,9 @@ class FixtureSource:
                 (key % 7 + 1).cast("int").alias("channel_id"),
                 _pick(CHANNELS, key % 7).alias("channel"),
                 status.alias("order_status"),
-                _dec(_dec("o_totalprice") - shipping).alias("subtotal"),
-                _dec(F.lit(0)).alias("discount"),
-                _dec(F.lit(0)).alias("tax"),
+                _dec(_dec("o_totalprice") - shipping - tax + discount).alias("subtotal"),
+                discount.alias("discount"),
+                tax.alias("tax"),
                 shipping.alias("shipping"),
                 _dec("o_totalprice").alias("total_amount"),
                 _sent_twice(key % 100 == 7).alias("_batch_id"),
@@ -156,12 +167,15 @@ class FixtureSource:
         discount = _dec(price * _dec("l_discount", 4))
         cost = _dec(price * _dec(F.lit("0.6"), 4))
         orphan = (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 300 == 5
+        # Line numbers repeat within an order; part and supplier tell such lines apart.
+        line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+        item = (line * 10_000_000 + F.col("l_partkey")) * 10_000 + F.col("l_suppkey")
         prices = self.table("part").select("p_partkey", _dec("p_retailprice").alias("unit_price"))
         return _stamp(
             self.table("lineitem")
             .join(prices, F.col("l_partkey") == F.col("p_partkey"))
             .select(
-                (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
+                item.alias("order_item_id"),
                 F.when(orphan, F.lit(-1).cast("long")).otherwise(F.col("l_orderkey")).alias("order_id"),
                 F.col("l_partkey").alias("product_id"),
                 F.col("l_quantity").cast("int").alias("quantity"),
@@ -170,8 +184,11 @@ class FixtureSource:
                 cost.alias("cost"),
                 _dec(price - discount).alias("revenue"),
                 _dec(price - discount - cost).alias("gross_profit"),
-                F.col("l_shipdate").cast("timestamp").alias("_ingested_at"),
-            ),
+                "l_shipdate",
+                _sent_twice(F.col("l_orderkey") % 90 == 4).alias("_batch_id"),
+            )
+            .withColumn("_ingested_at", F.date_add(F.to_date("l_shipdate"), F.col("_batch_id") - 1).cast("timestamp"))
+            .drop("l_shipdate"),
             "order_items",
         )
 
@@ -183,8 +200,9 @@ class FixtureSource:
             .otherwise(total)
         )
         return _stamp(
-            self.table("orders").select(
-                key.alias("payment_id"),
+            _copied(self.table("orders"), key % 120 == 17)
+            .select(
+                (key + F.col("_copy") * COPIED).alias("payment_id"),
                 F.when(key % 250 == 9, F.lit(-1).cast("long")).otherwise(key).alias("order_id"),
                 F.to_date("o_orderdate").alias("payment_date"),
                 F.col("o_orderpriority").alias("payment_method"),
@@ -202,8 +220,9 @@ class FixtureSource:
         return _stamp(
             self.table("orders")
             .where(refunded | (key % 23 == 0) | (key % 29 == 0))
+            .transform(lambda orders: _copied(orders, key % 46 == 0))
             .select(
-                key.alias("refund_id"),
+                (key + F.col("_copy") * COPIED).alias("refund_id"),
                 key.alias("order_id"),
                 F.date_add(F.to_date("o_orderdate"), (key % 14 + 1).cast("int")).alias("refund_date"),
                 _dec(_dec("o_totalprice") * _dec(share, 4)).alias("amount"),
@@ -276,7 +295,7 @@ class FixtureSource:
         value = _dec("value")
         return self.table("events").select(
             key.alias("ad_record_id"),
-            F.to_date("ts").alias("date"),
+            F.date_add(F.lit(AD_EPOCH).cast("date"), (key % AD_DAYS).cast("int")).alias("date"),
             (campaign + 1).cast("int").alias("campaign_id"),
             F.concat(F.lit("Campaign "), (campaign + 1).cast("string")).alias("campaign_name"),
             F.when(campaign < 6, 2).otherwise(3).alias("channel_id"),
@@ -359,6 +378,13 @@ class FixtureSource:
         choice = F.element_at(F.array(*kinds), (key % len(kinds)).cast("int") + 1)
         return self.table("events").select(key, choice.alias("sql"))
 
+    def question_log(self) -> DataFrame:
+        """The questions of the conversations; some ask for what is not allowed, some name a metric."""
+        key = F.col("conv_id") + F.col("turn")
+        asked = F.element_at(F.array(*[F.lit(q) for q in QUESTIONS]), (key % len(QUESTIONS)).cast("int") + 1)
+        text = F.when(key % 10 == 0, F.lit(None).cast("string")).otherwise(F.concat("text", asked))
+        return self.table("conversations").select("conv_id", "turn", "role", text.alias("text"))
+
     def webhooks(self, stream: bool = False) -> DataFrame:
         """Signed event requests: duplicates, broken JSON, missing and foreign types, bad signatures."""
         if stream:
@@ -384,7 +410,7 @@ class FixtureSource:
         sent_id = F.when((key % 50 == 0) & (key > 0), key - 1).otherwise(key)
         signed = signature(F.col("body"), FIXTURE_SECRET)
         return events.select(
-            F.when(key % 173 != 4, sent_id.cast("string")).alias("event_id"),
+            F.when(key % 179 == 6, F.lit("")).when(key % 173 != 4, sent_id.cast("string")).alias("event_id"),
             F.col("ts").alias("received_at"),
             body.alias("body"),
             key.alias("_key"),
