@@ -7,18 +7,19 @@ others; within a family one machine per pair of languages votes.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ledgerline.llm.common import worker_memory
 
-# At most so many labelled documents are fitted, shared equally by the languages, those with the least hash of their id.
+# About so many labelled documents are fitted, at most twice as many, shared equally by the languages.
 SAMPLE = 6_000
 BITS = 12  # of a hashed n-gram
 ORDERS = 3
@@ -144,9 +145,11 @@ class Identifier:
 def fit(rows: np.ndarray, labels: list[str]) -> Identifier:
     """The model of labelled profiles. With one language it always predicts that, with none there is no prediction."""
     languages = sorted(set(labels))
+    if not languages:
+        return Identifier([])
     number = np.array([languages.index(x) for x in labels], dtype=np.int64)
-    means = np.array([rows[number == i].mean(axis=0) for i in range(len(languages))]).reshape(len(languages), -1)
-    model = Identifier(languages, families(means) if languages else [])
+    means = np.array([rows[number == i].mean(axis=0) for i in range(len(languages))])
+    model = Identifier(languages, families(means))
     if len(model.groups) > 1:
         inside = [np.isin(number, g) for g in model.groups]
         model.family = np.stack([svm(rows, np.where(i, 1, -1)) for i in inside])
@@ -161,20 +164,22 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Identifier:
     """A model fitted on a bounded sample of ``docs`` (doc_id, text, lang); rows without a language or letters are left
     out."""
     labelled = docs.where("lang is not null")
-    count = labelled.select("lang").distinct().count()
-    # Ids first: they are short and reduced before the exchange; then the texts of at most ``sample`` ids.
+    # A row for each language, as the model has. A document is chosen by the hash of its id alone, at the rate its
+    # language needs, so that no task sees all documents of a language.
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    each = sample / max(len(counts), 1)
+    rates = F.from_json(F.lit(json.dumps({k: int(min(1.0, each / n) * (1 << 30)) for k, n in counts.items()})), "map<string,int>")
     order = F.xxhash64("doc_id")
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    chosen = labelled.select("doc_id", "lang").withColumn("_place", place)
-    chosen = chosen.where(F.col("_place") <= max(1, sample // max(count, 1))).select("doc_id").distinct()
+    chosen = labelled.where(F.pmod(order, F.lit(1 << 30)) < F.try_element_at(rates, F.col("lang")))
 
     @pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
         found = [profile(t) for t in texts]
         return pd.Series([None if p is None else p.astype(np.float16).tobytes() for p in found], dtype=object)
 
-    rows = labelled.join(F.broadcast(chosen.limit(sample)), "doc_id").orderBy(order, F.xxhash64("text"), "lang").limit(sample)
-    fitted = [(r.lang, r.x) for r in rows.select("lang", packed("text").alias("x")).collect() if r.x is not None]
+    # Ids that repeat could bring more rows than wanted.
+    rows = chosen.select("lang", order.alias("_order"), packed("text").alias("x")).where("x is not null")
+    fitted = [(r.lang, r.x) for r in rows.orderBy("_order", F.xxhash64("x"), "lang").limit(2 * sample).collect()]
     matrix = np.array([np.frombuffer(x, dtype=np.float16) for _, x in fitted], dtype=np.float32)
     return fit(matrix.reshape(len(fitted), 1 << BITS), [lang for lang, _ in fitted])
 
