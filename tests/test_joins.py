@@ -98,3 +98,8 @@ def test_models_are_the_same_with_every_lookup_salted(spark, monkeypatch, name):
         assert sorted(map(str, salted.collect())) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+@pytest.mark.parametrize("text, size", [("10485760", 10485760), ("64MB", 64 << 20), ("10m", 10 << 20), ("1 g", 1 << 30), ("-1", -1), ("5KiB", 5 << 10)])
+def test_sizes_are_read_as_spark_writes_them(text, size):
+    assert joins.size_in_bytes(text) == size
