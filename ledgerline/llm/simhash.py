@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ledgerline.llm.common import inner_name, staged
+from ledgerline.llm.common import inner_name, null_last, staged
 
 BITS = 64
 SHINGLE_WORDS = 3
@@ -287,12 +287,13 @@ def without_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the smallest id, and of rows that share that id
     the first by fingerprint and text. Where all ids are null, the first by fingerprint and text."""
-    fp, row, place = (inner_name(docs.columns, name) for name in ("fp", "row", "place"))
+    fp, row, key, place = (inner_name(docs.columns, name) for name in ("fp", "row", "key", "place"))
     printed = staged(docs.select(F.struct("*").alias(row), "doc_id", fingerprints(F.col("text"), words).alias(fp)), "simhash")
     found = classes(printed.select("doc_id", F.col(fp).alias("fp")), distance, crowd)
     members = printed.select("doc_id", F.col(fp).alias("fp")).join(found, "fp")
     chosen = members.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id")
-    keep = chosen.agg(F.min("fp").alias("kept_fp")).select("kept_fp", F.col("component_id").alias("kept_id"))
-    joined = printed.join(keep, (F.col(fp) == F.col("kept_fp")) & F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    first = Window.partitionBy("kept_fp", "kept_id").orderBy(F.col(f"{row}.text"))
+    keep = chosen.agg(F.min("fp").alias(fp)).select(fp, null_last("component_id").alias(key))
+    # The join and the choice among rows of one id need the same partitioning, so the texts move once.
+    joined = printed.withColumn(key, null_last("doc_id")).join(keep, [fp, key])
+    first = Window.partitionBy(fp, key).orderBy(F.col(f"{row}.text"))
     return joined.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(f"{row}.*")
