@@ -126,7 +126,7 @@ def features(found: DataFrame, dictionary: list[str]) -> tuple[DataFrame, list[s
 def dictionary_of(docs: DataFrame) -> list[str]:
     """The most frequent words of a bounded sample of ``docs`` (doc_id, text); ties by the word."""
     some = docs.select("doc_id", "text").where("text is not null")
-    ids = some.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICTIONARY_DOCS)
+    ids = some.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICTIONARY_DOCS).distinct()
     # At most as many ids as the sample has documents.
     texts = some.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id", "text")).limit(DICTIONARY_DOCS)
     words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(f"(\\b[a-z]{{{WORD_LETTERS},}}\\b)"))).alias("w"))
@@ -143,7 +143,8 @@ def train(spark: SparkSession, dictionary: list[str], seed: int = 3) -> RandomFo
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol="_label", numTrees=TREES, maxDepth=DEPTH, minInstancesPerNode=2, seed=seed
     )
-    return forest.fit(rows.select("_features", "_label"))
+    # The copy leaves the training summary behind, which holds the session and must not travel to the executors.
+    return forest.fit(rows.select("_features", "_label")).copy()
 
 
 def kind(value: Column) -> Column:
