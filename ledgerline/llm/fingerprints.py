@@ -22,7 +22,7 @@ from ledgerline.llm.common import WORD, inner_name
 WINDOW = 8
 INNER = 2
 # Text that one block of neighbouring documents holds on average.
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 2 << 20
 # Blocks grow beyond this number; their bounds reach the driver, 8 bytes each.
 MOST_BLOCKS = 1 << 16
 
