@@ -162,6 +162,11 @@ SQL = {
         union all select 'raw_products', 2 * count(*) from raw_products
         union all select 'raw_orders', count(*) + count(*) filter (where order_date >= date '1999-01-01')
         from raw_orders"""),
+    "src_reload_counts": query("""
+        select 'raw_customers' as table_name, count(*) as row_count, count(*) as stamped from raw_customers
+        union all select 'raw_products', 2 * count(*), 2 * count(*) from raw_products
+        union all select 'raw_payments', count(*), count(*) from raw_payments
+        union all select 'raw_refunds', 0, 0"""),
     "src_csv_products": query("""
         select * exclude (_batch_id) replace (unit_cost::double as unit_cost, list_price::double as list_price)
         from raw_products"""),

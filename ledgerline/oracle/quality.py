@@ -80,6 +80,9 @@ def _test(kind: str, table: str, column: str, failures: str) -> str:
 SQL = {
     "dq_results": query(ALL_CHECKS),
     "dq_summary": query(_SUMMARY, {"dq_rows": ALL_CHECKS}),
+    "dq_broken_table": query(
+        f"select check_id, if(check_id in ('uniq_002', 'comp_001'), 'ERROR', status) as status from ({ALL_CHECKS})"
+    ),
     "dq_gate": query(
         f"select critical_issues, critical_issues > 0 as blocked from ({_SUMMARY})", {"dq_rows": ALL_CHECKS}
     ),

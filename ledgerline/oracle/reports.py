@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ledgerline.oracle.build import query
 from ledgerline.oracle.metrics import SPREAD, based, formulas, outputs
-from ledgerline.plans.reports import MONTH_NAMES, WAREHOUSE_CODES
+from ledgerline.plans.reports import CATEGORY, MONTH_NAMES, WAREHOUSE_CODES
 
 _F = formulas()
 
@@ -14,6 +14,7 @@ def _pivot(keys: str, value: str, column: str, names) -> str:
 
 
 _NET = _F["net_revenue"]
+_YEARS = "date_id between date '1997-01-01' and date '1998-12-31'"
 
 SQL = {
     "rpt_executive_kpis": query(
@@ -151,4 +152,25 @@ SQL = {
         from fct_orders o join dim_channel using (channel_id) join stg_customers c on c.customer_id = o.customer_id
         where date_id between date '1997-01-01' and date '1998-12-31' and channel_name = 'email'
           and customer_segment = 'BUILDING'"""),
+    "rpt_sliced_revenue_by_channel": query(f"""
+        select channel_id, channel_name, (sum(gross_revenue) filter (where order_status <> 'cancelled')
+          - sum(total_discount) - sum(total_refunds))::double as net_revenue
+        from fct_orders join dim_channel using (channel_id) where {_YEARS} group by all"""),
+    "rpt_sliced_channel_by_category": query(f"""
+        select channel_name, category, (sum(revenue) - sum(discount))::double as net_revenue
+        from fct_order_items join dim_channel using (channel_id)
+        where {_YEARS} and channel_name = 'email' and category = '{CATEGORY}' group by all"""),
+    "rpt_sliced_campaigns": query(f"""
+        select channel, campaign_name, sum(spend)::double as spend,
+          sum(attributed_revenue)::double as attributed_revenue,
+          (sum(attributed_revenue)::double / nullif(sum(spend), 0)::double) as roas,
+          (sum(clicks)::double / nullif(sum(impressions), 0)) as ctr,
+          (sum(conversions)::double / nullif(sum(clicks), 0)) as cvr
+        from fct_ad_spend where {_YEARS} and campaign_name = 'Campaign 3' and channel_id = 2 group by all"""),
+    "rpt_sliced_late_by_carrier": query(f"""
+        select carrier, count(*) filter (where days_late > 0) as late_shipments from fct_shipments
+        where {_YEARS} and warehouse_id = 2 and carrier = 'UPS' group by 1"""),
+    "rpt_sliced_status_by_platform": query(f"""
+        select platform, reconciliation_status, count(*) as payouts from fct_payouts
+        where {_YEARS} and platform = 'direct' and reconciliation_status = 'EXCEPTION' group by all"""),
 }

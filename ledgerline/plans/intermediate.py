@@ -72,10 +72,13 @@ def int_order_revenue(stg_orders: DataFrame, clean_order_items: DataFrame, compl
     )
 
 
-def int_customer_orders(stg_customers: DataFrame, int_order_revenue: DataFrame) -> DataFrame:
-    # order_id is unique here, so counting rows counts distinct orders; one customer with very many orders is
-    # summed before the shuffle and meets its customer row as a single row.
-    history = (
+def customer_history(int_order_revenue: DataFrame) -> DataFrame:
+    """Sums of each customer's sales.
+
+    order_id is unique here, so counting rows counts distinct orders; one customer with very many orders is summed
+    before the shuffle and meets its customer row as a single row.
+    """
+    return (
         int_order_revenue.where(is_sale())
         .groupBy("customer_id")
         .agg(
@@ -86,9 +89,13 @@ def int_customer_orders(stg_customers: DataFrame, int_order_revenue: DataFrame)
             F.sum("gross_profit").alias("lifetime_gross_profit"),
             F.sum("total_refunds").alias("lifetime_refunds"),
         )
+        .withColumn("avg_order_value", F.col("lifetime_revenue").cast("double") / F.col("order_count"))
     )
+
+
+def int_customer_orders(stg_customers: DataFrame, customer_history: DataFrame) -> DataFrame:
     repeat = zero_if_null("order_count") > 1
-    return stg_customers.join(history, "customer_id", "left").select(
+    return stg_customers.join(customer_history, "customer_id", "left").select(
         "customer_id",
         "customer_segment",
         "acquisition_channel",
@@ -101,7 +108,7 @@ def int_customer_orders(stg_customers: DataFrame, int_order_revenue: DataFrame)
         "lifetime_revenue",
         "lifetime_gross_profit",
         "lifetime_refunds",
-        (F.col("lifetime_revenue").cast("double") / F.col("order_count")).alias("avg_order_value"),
+        "avg_order_value",
         repeat.alias("is_repeat_customer"),
         F.when(repeat, days_between("first_order_date", "last_order_date")).otherwise(0).alias("active_days"),
     )

@@ -85,24 +85,14 @@ def dim_warehouse(spark: SparkSession) -> DataFrame:
     )
 
 
-def dim_customer(stg_customers: DataFrame, int_customer_orders: DataFrame, settings: Settings) -> DataFrame:
-    stats = int_customer_orders.select(
-        "customer_id",
-        "order_count",
-        "first_order_date",
-        "last_order_date",
-        "lifetime_revenue",
-        "lifetime_gross_profit",
-        "avg_order_value",
-        "is_repeat_customer",
-    )
+def dim_customer(stg_customers: DataFrame, customer_history: DataFrame, settings: Settings) -> DataFrame:
     revenue = zero_if_null("lifetime_revenue")
     tier = (
         F.when(revenue >= settings.high_value_from, "High")
         .when(revenue >= settings.medium_value_from, "Medium")
         .otherwise("Low")
     )
-    return stg_customers.join(stats, "customer_id", "left").select(
+    return stg_customers.join(customer_history, "customer_id", "left").select(
         "customer_id",
         "first_name",
         "last_name",
@@ -120,7 +110,7 @@ def dim_customer(stg_customers: DataFrame, int_customer_orders: DataFrame, setti
         revenue.alias("lifetime_revenue"),
         zero_if_null("lifetime_gross_profit").alias("lifetime_gross_profit"),
         F.coalesce("avg_order_value", F.lit(0.0)).alias("avg_order_value"),
-        F.coalesce("is_repeat_customer", F.lit(False)).alias("is_repeat_customer"),
+        (zero_if_null("order_count") > 1).alias("is_repeat_customer"),
         tier.alias("value_tier"),
     )
 
@@ -238,13 +228,14 @@ def fct_payments(
 def fct_refunds(
     stg_refunds: DataFrame, stg_orders: DataFrame, completed_payments: DataFrame, raw_refunds: DataFrame
 ) -> DataFrame:
-    # Orders and payment totals are matched first, one row per order each, so refunds are joined only once. A
+    # Orders and payment totals of refunded orders are matched first, so refunds are joined only once. A
     # refund of an unknown order may still have a payment total, hence the full join.
-    orders = stg_orders.select("order_id", "customer_id", "channel_id")
-    paid = completed_payments.select("order_id", "paid_amount")
+    refunded = stg_refunds.select("order_id").distinct()
+    orders = stg_orders.select("order_id", "customer_id", "channel_id").join(refunded, "order_id", "left_semi")
+    paid = completed_payments.select("order_id", "paid_amount").join(refunded, "order_id", "left_semi")
     context = orders.join(paid, "order_id", "full")
     total = zero_if_null("paid_amount")
-    joined = lookup(stg_refunds, context, "order_id", "left", row_id="refund_id", profile=raw_refunds, sized_by=orders)
+    joined = lookup(stg_refunds, context, "order_id", "left", row_id="refund_id", profile=raw_refunds, sized_by=stg_orders)
     return joined.select(
         "refund_id",
         "order_id",

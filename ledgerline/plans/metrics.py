@@ -8,7 +8,7 @@ therefore never touch fact rows: their windows work on days or months, whose num
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -214,10 +214,16 @@ def _words(expression: str) -> set[str]:
 def base_sums(warehouse, wanted: set[str], by: Sequence[str] = (), additive_only: bool = False) -> DataFrame:
     """Base sums per group: each fact is aggregated on its own, the small results are stacked and merged."""
     parts = []
+    # Facts of one table are summed in one pass over it.
+    tables: dict[str, Facts] = {}
     for facts in FACTS:
         sums = {n: e for n, e in facts.sums.items() if n in wanted}
         if not sums or facts.date is None or (additive_only and not facts.additive):
             continue
+        known = tables.get(facts.table)
+        tables[facts.table] = replace(facts, sums=(known.sums if known else {}) | sums)
+    for facts in tables.values():
+        sums = facts.sums
         table = _table(warehouse, facts.table)
         aggregates = [F.expr(e).alias(n) for n, e in sums.items()]
         keys = []

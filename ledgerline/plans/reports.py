@@ -50,6 +50,37 @@ class Slice:
         return df
 
 
+# Models a page reads, and the columns of small tables by which their rows are sliced as well.
+SLICED = ("fct_orders", "sold_lines", "fct_refunds", "fct_payments", "fct_ad_spend", "fct_inventory", "fct_shipments",
+          "fct_payouts", "dim_customer")
+
+
+def sliced(warehouse, where: Slice):
+    """A warehouse whose facts hold only the rows of a slice, so that any report on it is filtered before it sums.
+
+    Names of channels, warehouses and categories become semi joins on their keys; the rest are plain filters.
+    """
+    named = {
+        "channel_id": ("dim_channel", "channel_name"),
+        "warehouse_id": ("dim_warehouse", "warehouse_code"),
+        "product_id": ("stg_products", "category"),
+    }
+    found = warehouse.copy()
+    for model in SLICED:
+        df = where.apply(warehouse[model])
+        for key, (table, column) in named.items():
+            value = getattr(where, column)
+            if value is not None and key in df.columns and column not in df.columns:
+                df = df.join(warehouse[table].where(F.col(column) == value).select(key), key, "left_semi")
+        found.replace(model, df.select(*warehouse[model].columns))
+    return found
+
+
+def on_slice(report, **where):
+    """A report over the rows of a slice."""
+    return lambda warehouse: sliced(warehouse, Slice(**where)).run(report)
+
+
 def order_detail(
     fct_orders: DataFrame, dim_channel: DataFrame, stg_customers: DataFrame, raw_orders: DataFrame, where: Slice
 ) -> DataFrame:
@@ -349,9 +380,9 @@ def refund_anomalies(fct_refunds: DataFrame) -> DataFrame:
 
 
 # The slice the registered drill-through shows.
-SAMPLE_SLICE = Slice(
-    date_from=date(1997, 1, 1), date_to=date(1998, 12, 31), channel_name="email", customer_segment="BUILDING"
-)
+CATEGORY = "PROMO"
+YEARS = {"date_from": date(1997, 1, 1), "date_to": date(1998, 12, 31)}
+SAMPLE_SLICE = Slice(channel_name="email", customer_segment="BUILDING", **YEARS)
 
 QUERIES = {
     "rpt_executive_kpis": executive_kpis,
@@ -382,6 +413,14 @@ QUERIES = {
     "rpt_status_by_platform": status_by_platform,
     "rpt_payout_table": payout_table,
     "rpt_refund_anomalies": refund_anomalies,
+    # One slice for each page.
+    "rpt_sliced_revenue_by_channel": on_slice(revenue_by_channel, **YEARS),
+    "rpt_sliced_channel_by_category": on_slice(channel_by_category, channel_name="email", category=CATEGORY, **YEARS),
+    "rpt_sliced_campaigns": on_slice(campaign_table, campaign_name="Campaign 3", channel_name="paid_search", **YEARS),
+    "rpt_sliced_late_by_carrier": on_slice(late_by_carrier, warehouse_code="WH-WEST", carrier="UPS", **YEARS),
+    "rpt_sliced_status_by_platform": on_slice(
+        status_by_platform, platform="direct", reconciliation_status="EXCEPTION", **YEARS
+    ),
     "rpt_order_detail": lambda fct_orders, dim_channel, stg_customers, raw_orders: order_detail(
         fct_orders, dim_channel, stg_customers, raw_orders, SAMPLE_SLICE
     ),

@@ -54,7 +54,7 @@ LAYERS = {
     ),
 }
 # Shared sub-results that are not tables of their own.
-HELPERS = ("clean_order_items", "completed_refunds", "completed_payments", "sold_lines")
+HELPERS = ("customer_history", "clean_order_items", "completed_refunds", "completed_payments", "sold_lines")
 
 
 def _functions() -> dict[str, Callable[..., DataFrame]]:

@@ -47,11 +47,11 @@ def test_a_failing_check_is_an_error_and_the_others_go_on(small):
     assert quality.gate(quality.run(wh)).first().blocked  # uniq_004 is critical
 
 
-def test_errors_at_run_time_are_contained_when_isolated(small):
+def test_errors_at_run_time_are_contained(small):
     wh = small(orders=[dict(order_id="O1")], customers=[dict(customer_id="C1")])
     broken = wh["stg_customers"].selectExpr("raise_error('gone') as email", "customer_id")
     wh.replace("stg_customers", broken)
-    rows = by_key(quality.run(wh, isolate=True), "check_id")
+    rows = by_key(quality.run(wh), "check_id")
     assert rows["comp_001"].status == "ERROR"
     assert rows["uniq_001"].status == "PASS"
 

@@ -26,7 +26,7 @@ SOME = (
 ).split()
 CHOSEN = sorted(QUERIES) if os.environ.get("LEDGERLINE_ALL_QUERIES") else SOME
 # Planning these runs jobs.
-EAGER = ("wh_accepted", "wh_rejected", "wh_ids", "src_pipeline", "src_loaded", "src_materialised", "src_csv", "dq_report")
+EAGER = ("wh_accepted", "wh_rejected", "wh_ids", "src_pipeline", "src_loaded", "src_materialised", "src_csv", "src_reload", "dq_")
 
 
 @pytest.fixture(scope="module")
