@@ -203,6 +203,11 @@ def parse(html: str | None) -> Tree:
     return tree
 
 
+# Kinds of nodes with potentials of their own: elements that hold others, elements that hold prose, runs of text.
+BOX, TEXT, PROSE = 0, 1, 2
+PROSE_TAGS = frozenset(FEATURES[f"tag:{t}"] for t in "p h1 h2 h3 h4 h5 h6 li dt dd td th tr pre blockquote figcaption".split())
+
+
 @dataclass
 class Forest:
     """Many trees side by side, parents before children, as arrays; ``levels`` lists the nodes of each depth but the
@@ -224,7 +229,7 @@ def forest(trees: list[Tree]) -> Forest:
         for i, (p, leaf, features) in enumerate(zip(tree.parent, tree.leaf, tree.features, strict=True)):
             parent.append(p + first if p >= 0 else -1)
             depth.append(depth[p + first] + 1 if p >= 0 else 0)
-            kind.append(int(leaf))
+            kind.append(TEXT if leaf else PROSE if any(f in PROSE_TAGS for f in features) else BOX)
             rows += [first + i] * len(features)
             columns += features
     deep = np.array(depth, dtype=np.int64)
@@ -235,7 +240,7 @@ def forest(trees: list[Tree]) -> Forest:
 
 @dataclass
 class Model:
-    """Weights of the features (for content against not) and, for elements and texts, potentials [kind, parent, child]."""
+    """Weights of the features (for content against not) and, for each kind of node, potentials [kind, parent, child]."""
 
     weight: np.ndarray
     pair: np.ndarray
@@ -264,14 +269,14 @@ class Model:
         return 1 / (1 + np.exp(np.clip(belief[:, 0] - belief[:, 1], -50, 50)))
 
 
-def fit(pages: list[str], steps: int = 150, rate: float = 0.15, damping: float = 0.002) -> Model:
+def fit(pages: list[str], steps: int = 500, rate: float = 0.15, damping: float = 0.001) -> Model:
     """Weights that make the labels of the pages likely, by gradient steps (Adam) on their log-likelihood."""
     parsed = [parse(p) for p in pages]
     trees = forest(parsed)
     label = np.array([y for t in parsed for y in t.label])
-    model = Model(np.zeros(len(FEATURES)), np.zeros((2, 2, 2)))
+    model = Model(np.zeros(len(FEATURES)), np.zeros((3, 2, 2)))
     child = np.flatnonzero(trees.parent >= 0)
-    seen = np.zeros((2, 2, 2))
+    seen = np.zeros((3, 2, 2))
     np.add.at(seen, (trees.kind[child], label[trees.parent[child]], label[child]), 1)
     observed = np.bincount(trees.columns, label[trees.rows], len(FEATURES))
     moment = [[np.zeros_like(x), np.zeros_like(x)] for x in (model.weight, model.pair)]
@@ -282,7 +287,7 @@ def fit(pages: list[str], steps: int = 150, rate: float = 0.15, damping: float =
         both = (belief[trees.parent[child]] - sent[child])[:, :, None] + model.pair[trees.kind[child]] + up[child][:, None, :]
         both = np.exp(both - both.max(axis=(1, 2), keepdims=True))
         both /= both.sum(axis=(1, 2), keepdims=True)
-        pairs = np.stack([both[trees.kind[child] == k].sum(axis=0) for k in (0, 1)])
+        pairs = np.stack([both[trees.kind[child] == k].sum(axis=0) for k in (BOX, TEXT, PROSE)])
         slopes = ((observed - expected) / len(pages) - damping * model.weight, (seen - pairs) / len(pages) - damping * model.pair)
         for x, slope, (first, second) in zip((model.weight, model.pair), slopes, moment, strict=True):
             first += 0.1 * (slope - first)

@@ -45,11 +45,36 @@ SKELETONS = (
     '<body y="0"><div class="promo sponsored"><p>{p}</p></div><div class="main-content" y="1"><h1>{w}</h1><div class="text"><p>{p}</p>'
     '<p>{s} <a href="#">{w}</a> {s}</p><dl><dt>{w}</dt><dd>{s}</dd></dl></div></div><div class="author-bio"><p>{s}</p></div>'
     '<div class="subscribe popup"><p>{s}</p></div><div class="copyright">{s}</div></body>',
+    '<body y="1"><h1>{w}</h1><p>{p}</p><p>{p}</p><p>{s}</p></body>',
+    '<body y="1"><p>{p}</p><p>{p}</p><p>{s}</p><div class="footer" y="0"><p>{w}</p></div></body>',
+    '<body y="0"><header><nav><a href="/">{w}</a><a href="/">{w}</a></nav></header><div class="cookie"><p>{s} {s}</p><button>{w}</button></div>'
+    '<main y="1"><p>{p}</p><div class="ad" y="0">{s}</div><p>{w}.</p><p>{p}</p><form action="/s" y="0"><input><label>{w}</label>'
+    '<button>{w}</button></form></main><section class="comments"><p>{p}</p><p>{s}</p></section><footer>{s} {s}</footer></body>',
+    '<body y="0"><header><a href="/">{w}</a></header><main y="1"><h1>{s}</h1><p>{s}</p><section><h2>{w}</h2><p>{p}</p></section>'
+    '<nav y="0"><a href="#">{w}</a><a href="#">{w}</a></nav><section><h2>{w}</h2><p>{p}</p><p>{w}</p></section>'
+    '<aside y="0"><p>{p}</p></aside></main><footer><p>{s}</p><p>{s}</p></footer></body>',
+    '<body y="0"><nav><a href="/">{w}</a></nav><article y="1"><header><h1>{w}</h1><p>{w}</p></header><p>{p}</p><p>{p}</p><footer y="0">{w}: {w}, {w}'
+    '</footer></article><div class="notice"><p>{s}</p></div><section id="comments"><h2>{w}</h2><article class="comment"><p>{p}</p></article>'
+    '<article class="comment"><p>{s}</p></article></section></body>',
+    '<body y="0"><div class="header"><h1>{w}</h1><p>{s}</p></div><div class="main"><div class="article" y="1"><h2>{s}</h2><p>{s}</p><p>{s}</p>'
+    '<p>{p}</p><div class="share" y="0"><a href="#">{w}</a></div><p>{s}</p></div><div class="sidebar"><p>{p}</p><form><p>{s}</p><input></form>'
+    '</div></div><div class="popup modal"><p>{s}</p><p>{s}</p></div></body>',
+    '<body y="0"><article y="1"><h1>{w}</h1><div><p>{p}</p></div><div><p>{p}</p><p>{w}</p></div><aside y="0"><h3>{w}</h3><p>{p}</p></aside>'
+    '<form y="0"><p>{s}</p><select><option>{w}</option><option>{w}</option></select></form><div><p>{s}</p></div></article>'
+    '<footer><p>{p}</p></footer></body>',
+    '<body y="0"><div class="alert"><p>{p}</p></div><div class="banner ad"><p>{p}</p></div><article y="1"><p>{s}</p><p>{w}</p></article>'
+    '<div class="consent notice">{s}</div><footer>{w}</footer></body>',
+    '<html><body y="1"><p>{p}</p><p>{p}</p></body></html>',
+    '<html><body y="1"><h1>{s}</h1><p>{p}</p><ul><li>{s}</li><li>{w}</li></ul><p>{p}</p><table><tr><td>{w}</td><td>{w}</td></tr></table></body></html>',
+    '<html><body y="0"><div id="page"><div id="masthead"><h1>{w}</h1><p>{w}</p></div><div class="entry-content" y="1"><h2>{w}</h2><p>{p}</p>'
+    '<table><tr><th>{w}</th></tr><tr><td>{w}</td></tr></table><p>{s}</p></div><div class="widget"><h3>{w}</h3><p>{s}</p></div></div></body></html>',
+    '<html><body y="0"><div class="masthead"><h1>{w}</h1><p>{s}</p></div><article y="1"><section><h2>{w}</h2><p>{p}</p><table><tr><td>{w}</td>'
+    '<td>{w}</td></tr></table><pre>{s}</pre></section></article><div class="footer"><p>{s}</p></div></body></html>',
 )
 CLASSES = re.compile(r' (?:class|id|role)="[^"]*"')
 
 
-def labelled_pages(copies: int = 16, seed: int = 11) -> list[str]:
+def labelled_pages(copies: int = 12, seed: int = 11) -> list[str]:
     """Filled skeletons, the same on each call."""
     pick = random.Random(seed)
 

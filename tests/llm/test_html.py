@@ -20,7 +20,7 @@ def small_tree() -> html.Forest:
 def test_messages_give_exact_chances():
     rng = np.random.default_rng(3)
     trees = small_tree()
-    model = html.Model(rng.normal(size=len(html.FEATURES)), rng.normal(size=(2, 2, 2)))
+    model = html.Model(rng.normal(size=len(html.FEATURES)), rng.normal(size=(3, 2, 2)))
     weights = np.zeros((32, 5))
     total = np.zeros(32)
     for state in range(32):
