@@ -154,6 +154,7 @@ def _first(key: str, table: str, order: str = "_batch_id desc") -> str:
     )
 
 
+# Fixed values below: the states that staging lets through.
 STAGING = {
     "stg_customers": f"""
         select customer_id, trim(first_name) as first_name, trim(last_name) as last_name, lower(trim(email)) as email,
@@ -166,7 +167,7 @@ STAGING = {
         from raw_products where sku is not null and 0 < unit_cost and unit_cost < list_price""",
     "stg_orders": f"""
         select order_id, customer_id, order_date, channel_id, channel,
-          case when lower(order_status) similar to 'completed|processing|shipped|refunded|cancelled'
+          case when lower(order_status) in ('completed', 'processing', 'shipped', 'refunded', 'cancelled')
                then lower(order_status) else 'unknown' end as order_status,
           subtotal, discount, tax, shipping, total_amount, {_meta('orders')}
         from {_first('order_id', 'raw_orders')} where total_amount >= 0""",
@@ -177,18 +178,18 @@ STAGING = {
         where quantity > 0 and unit_price > 0 and exists (from stg_orders o where o.order_id = i.order_id)""",
     "stg_payments": f"""
         select payment_id, order_id, payment_date, payment_method,
-          case when lower(status) similar to 'completed|failed|pending|refunded' then lower(status)
+          case when lower(status) in ('completed', 'failed', 'pending', 'refunded') then lower(status)
                else 'unknown' end as status, amount, {_meta('payments')}
         from {_first('payment_id', 'raw_payments')} where amount > 0""",
     "stg_refunds": f"""
         select refund_id, order_id, refund_date, amount, reason,
-          case when lower(status) similar to 'completed|pending|failed' then lower(status)
+          case when lower(status) in ('completed', 'pending', 'failed') then lower(status)
                else 'unknown' end as status, {_meta('refunds')}
         from {_first('refund_id', 'raw_refunds')} where amount > 0""",
     "stg_shipments": f"""
         select shipment_id, order_id, warehouse_id, warehouse, carrier, shipped_date, estimated_delivery_date,
           delivered_date,
-          case when lower(shipment_status) similar to 'delivered|delivered_late|in_transit|lost|returned'
+          case when lower(shipment_status) in ('delivered', 'delivered_late', 'in_transit', 'lost', 'returned')
                then lower(shipment_status) else 'unknown' end as shipment_status,
           ifnull(delivered_date <= estimated_delivery_date, false) as is_on_time, {_meta('shipments')}
         from raw_shipments""",

@@ -90,7 +90,7 @@ def screen_questions(questions: DataFrame, text: str = "text") -> DataFrame:
 
 
 def screen_sql(log: DataFrame, text: str = "sql") -> DataFrame:
-    """Verdict per logged statement: must be non-empty, start as a read, and name no forbidden word anywhere."""
+    """The three reasons are fixed values. Verdict per logged statement: must be non-empty, start as a read, and name no forbidden word anywhere."""
     cleaned = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), _EDGES, "")
     return (
         log.withColumn("_clean", cleaned)

@@ -46,7 +46,7 @@ ENTITIES = {
 }
 METADATA = ("_ingested_at", "_source", "_batch_id", "_record_hash")
 
-# The connectors of a run and the entities each delivers. Both ad providers fill the same table.
+# The connectors of a run and the entities each delivers. Both ad providers fill the same table.
 CONNECTORS = (
     ("commerce", ("customers", "products", "orders", "order_items")),
     ("payments", ("payments", "refunds")),
@@ -113,9 +113,23 @@ class RawLayer:
         """Append (or replace) and return the rows written, counted while they are written."""
         seen = Observation(f"load_{table}")
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite" if replace else "append").parquet(self.path(table))
+        if replace:
+            # The table in place stays readable, and stays if the job fails, until the new one is complete.
+            counted.write.mode("overwrite").parquet(f"{self.path(table)}__new")
+            self._swap(table)
+        else:
+            counted.write.mode("append").parquet(self.path(table))
         return int(seen.get["rows"])
 
+    def _swap(self, table: str) -> None:
+        """Put the newly written table in the place of the old one."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        old, new = hadoop.Path(self.path(table)), hadoop.Path(f"{self.path(table)}__new")
+        files = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.delete(old, True)
+        if not files.rename(new, old):
+            raise OSError(f"{new} could not be moved to {old}")
+
     def table(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 

@@ -101,3 +101,14 @@ def test_datasets_are_written_unless_empty(spark, source, tmp_path):
         assert list(paths) == ["products"]
     back = spark.read.schema(products.schema).option("header", True).csv(paths["products"])
     assert sorted(map(str, back.collect())) == sorted(map(str, products.collect()))
+
+
+def test_failed_reload_leaves_the_table(spark, source, tmp_path):
+    layer = RawLayer(spark, str(tmp_path))
+    made = source.feed("payouts")
+    n = layer.load(made, "raw_payouts")
+    broken = made.withColumn("platform", F.raise_error(F.lit("feed broke off")).cast("string"))
+    with pytest.raises(Exception, match="feed broke off"):
+        layer.load(broken, "raw_payouts", replace=True)
+    assert layer.count("raw_payouts") == n
+    assert layer.load(made.limit(3), "raw_payouts", replace=True) == 3 == layer.count("raw_payouts")
