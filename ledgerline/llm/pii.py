@@ -1,8 +1,8 @@
 """Personal data: patterns propose spans, checksums confirm them, words nearby adjust a score.
 
-Base kinds (email, ip, card, phone) are defined by their pattern and check alone and always stay. Further kinds (iban,
-national id, birth date) and card numbers that stand inside a longer run of digits need a checksum, or a score of at
-least ``THRESHOLD`` that the context words before them can raise or lower.
+Base kinds (email, ip, card, phone) are defined by their pattern and check alone and always stay, and so does an iban
+that passes its check. Further kinds (national id, birth date) and card numbers that stand inside a longer run of digits
+need a score of at least ``THRESHOLD`` that the context words before them can raise or lower.
 
 Every pattern is written, or guarded, so that a search takes time in proportion to the text.
 """
@@ -34,11 +34,28 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # The method's own kinds.
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=[ ]?[A-Z0-9]{4})")  # where one can begin
 NATIONAL_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 BIRTH_DATE = re.compile(r"(?<![0-9./-])(?:[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2})(?![0-9])")
 
-# Score of a span that is only proposed or also confirmed, and what context words add or take.
+# Characters of an account number by its country.
+IBAN_LENGTH = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+# By length: groups of four, then what is left, up to the end of a word.
+IBAN_OF = {
+    n: re.compile(rf"[A-Z]{{2}}[0-9]{{2}}(?:[ ]?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf"[ ]?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + r"(?![A-Za-z0-9])")
+    for n in range(34, 14, -1)
+}
+
+# Score of a span that is proposed, what its checksum adds, and what context words add or take.
 PROPOSED = {"email": 0.9, "ip": 0.7, "card": 0.8, "phone": 0.7, "iban": 0.1, "national_id": 0.3, "birth_date": 0.1}
 CONFIRMED = {"iban": 0.8}
 RAISE, LOWER = 0.3, 0.3
@@ -108,6 +125,20 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers that pass their check: of their country's length, or else of the greatest that passes."""
+    free = 0
+    for start in IBAN.finditer(text):
+        if start.start() < free:
+            continue
+        for n in dict.fromkeys([IBAN_LENGTH.get(start.group()[:2], 34), *IBAN_OF]):
+            m = IBAN_OF[n].match(text, start.start())
+            if m and mod97(m.group().replace(" ", "")):
+                free = m.end()
+                yield m.start(), free
+                break
+
+
 def _context(text: str, kind: str, start: int) -> float:
     before = text[max(0, start - CONTEXT) : start].lower()
     good, bad = NEARBY[kind]
@@ -115,22 +146,22 @@ def _context(text: str, kind: str, start: int) -> float:
 
 
 def spans(text: str | None, threshold: float = THRESHOLD) -> list[Span]:
-    """All spans of a text, by kind and start; null and empty texts have none. Base spans stay whatever their score."""
+    """All spans of a text, by kind and start; null and empty texts have none. Base spans and account numbers, which
+    their checks confirm, stay whatever their score."""
     if not text:
         return []
     found = [
         Span(kind, a, b, round(min(1.0, max(0.0, PROPOSED[kind] + _context(text, kind, a))), 3))
         for kind, a, b in base_spans(text)
     ]
-    more = [("iban", m) for m in IBAN.finditer(text)]
+    more = [("iban", a, b) for a, b in ibans(text)]
     if "-" in text:
-        more += [("national_id", m) for m in NATIONAL_ID.finditer(text)]
-    more += [("birth_date", m) for m in BIRTH_DATE.finditer(text)]
-    for kind, m in more:
-        sure = mod97(m.group().replace(" ", "")) if kind == "iban" else False
-        score = PROPOSED[kind] + (CONFIRMED.get(kind, 0.0) if sure else 0.0) + 2 * _context(text, kind, m.start())
-        if score >= threshold and (kind != "iban" or sure):
-            found.append(Span(kind, m.start(), m.end(), round(min(1.0, score), 3)))
+        more += [("national_id", *m.span()) for m in NATIONAL_ID.finditer(text)]
+    more += [("birth_date", *m.span()) for m in BIRTH_DATE.finditer(text)]
+    for kind, a, b in more:
+        score = PROPOSED[kind] + CONFIRMED.get(kind, 0.0) + 2 * _context(text, kind, a)
+        if score >= threshold or kind in CONFIRMED:
+            found.append(Span(kind, a, b, round(min(1.0, score), 3)))
     return sorted(found, key=lambda s: (KINDS.index(s.kind), s.start))
 
 

@@ -59,6 +59,22 @@ def test_checks_of_the_method():
     assert pii.spans(None) == pii.spans("") == []
 
 
+@pytest.mark.parametrize(
+    ("said", "want"),
+    [
+        ("ES91 2100 0418 4502 0005 1332 BIC ABC", ["ES91 2100 0418 4502 0005 1332"]),
+        ("ES9121000418450200051332 BIC", ["ES9121000418450200051332"]),
+        ("AT61 1904 3002 3457 3201 2024", ["AT61 1904 3002 3457 3201"]),
+        ("AT61 1904 3002 3457 3201 ES91 2100 0418 4502 0005 1332", ["AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332"]),
+        ("REF AB12 3456 7890 AT61 1904 3002 3457 3201 X", ["AT61 1904 3002 3457 3201"]),
+        ("order AT611904300234573201, isbn", ["AT611904300234573201"]),
+        ("AT61 1904 3002 3457 3202 2024 and AT6119043002345732012024", []),
+    ],
+)
+def test_account_numbers_end_where_their_check_does(said, want):
+    assert [said[s.start : s.end] for s in pii.spans(said) if s.kind == "iban"] == want
+
+
 def test_redaction():
     text = "Mail a@b.co or 1.2.3.4, card 4111 1111 1111 1111."
     assert pii.redact(text, pii.spans(text)) == "Mail [EMAIL] or [IP], card [CARD]."
