@@ -2,7 +2,8 @@
 
 Base kinds (email, ip, card, phone) are defined by their pattern and check alone and always stay, and so does an iban
 that passes its check. Further kinds (national id, birth date) and card numbers that stand inside a longer run of digits
-need a score of at least ``THRESHOLD`` that the context words before them can raise or lower.
+(whole groups of it that pass the checksum) need a score of at least ``THRESHOLD`` that the context words before them can
+raise or lower.
 
 Every pattern is written, or guarded, so that a search takes time in proportion to the text.
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pandas as pd
@@ -32,12 +34,19 @@ LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+GROUP = re.compile(r"[0-9]+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # The method's own kinds.
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=[ ]?[A-Z0-9]{4})")  # where one can begin
 NATIONAL_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 BIRTH_DATE = re.compile(r"(?<![0-9./-])(?:[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2})(?![0-9])")
 
+# How card numbers are grouped and begin.
+CARD_GROUPS = frozenset({*((n,) for n in range(13, 20)), *((4, 4, 4, n) for n in range(1, 5)), *((4, 4, 4, 4, n) for n in range(1, 4)), (4, 6, 4), (4, 6, 5)})
+ISSUER = re.compile(
+    r"4(?:\d{12}|\d{15}|\d{18})|(?:5[1-5]\d\d|222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720)\d{12}|3[47]\d{13}"
+    r"|(?:6011|64[4-9]\d|65\d\d)\d{12,15}|(?:62\d\d|35(?:2[89]|[3-8]\d))\d{12,15}|3(?:0[0-5]|[689]\d)\d{11}"
+)
 # Characters of an account number by its country.
 IBAN_LENGTH = {
     country: length
@@ -59,6 +68,8 @@ IBAN_OF = {
 PROPOSED = {"email": 0.9, "ip": 0.7, "card": 0.8, "phone": 0.7, "iban": 0.1, "national_id": 0.3, "birth_date": 0.1}
 CONFIRMED = {"iban": 0.8}
 RAISE, LOWER = 0.3, 0.3
+# Card numbers inside a longer run: score of the checksum, what the grouping and the issuer add.
+INSIDE, GROUPED, ISSUED = 0.1, 0.4, 0.3
 NEARBY = {
     "email": (("mail", "contact", "write"), ("example", "version")),
     "ip": (("ip", "address", "host", "server"), ("version", "section", "release")),
@@ -139,6 +150,38 @@ def ibans(text: str) -> Iterator[tuple[int, int]]:
                 break
 
 
+def inner_cards(text: str) -> Iterator[tuple[int, int, float]]:
+    """Card numbers inside runs of digits that are none as a whole: whole groups of a run, 13 to 19 digits together,
+    that pass the checksum, and their score. They may overlap."""
+    for run in CARD.finditer(text):
+        if run.end() - run.start() < 14:
+            continue
+        groups = [m.span() for m in GROUP.finditer(text, run.start(), run.end())]
+        digits = "".join(text[a:b] for a, b in groups)
+        if len(groups) < 2 or len(digits) < 14 or len(digits) <= 19 and luhn(digits):
+            continue
+        ends = list(accumulate(b - a for a, b in groups))
+        # Checksums of all beginnings of the run, with every other digit doubled: a difference checks any part.
+        sums = [[0], [0]]
+        for odd, total in enumerate(sums):
+            for i, c in enumerate(digits):
+                value = ord(c) - 48
+                total.append(total[-1] + (value * 2 - 9 * (value > 4) if i % 2 == odd else value))
+        for first, (start, _) in enumerate(groups):
+            low = ends[first - 1] if first else 0
+            for last in range(first, len(groups)):
+                high = ends[last]
+                if high - low > 19:
+                    break
+                total = sums[high % 2]
+                if high - low < 13 or high - low == len(digits) or (total[high] - total[low]) % 10:
+                    continue
+                score = INSIDE + ISSUED * bool(ISSUER.fullmatch(digits, low, high))
+                score += GROUPED * (tuple(b - a for a, b in groups[first : last + 1]) in CARD_GROUPS)
+                near = _context(text, "card", start)
+                yield start, groups[last][1], score + (2 * near if near > 0 else near)
+
+
 def _context(text: str, kind: str, start: int) -> float:
     before = text[max(0, start - CONTEXT) : start].lower()
     good, bad = NEARBY[kind]
@@ -148,21 +191,36 @@ def _context(text: str, kind: str, start: int) -> float:
 def spans(text: str | None, threshold: float = THRESHOLD) -> list[Span]:
     """All spans of a text, by kind and start; null and empty texts have none. Base spans and account numbers, which
     their checks confirm, stay whatever their score."""
-    if not text:
-        return []
-    found = [
+    base, more = _spans(text, threshold) if text else ([], [])
+    return sorted(base + more, key=lambda s: (KINDS.index(s.kind), s.start))
+
+
+def _spans(text: str, threshold: float) -> tuple[list[Span], list[Span]]:
+    """The base spans and the method's own."""
+    base = [
         Span(kind, a, b, round(min(1.0, max(0.0, PROPOSED[kind] + _context(text, kind, a))), 3))
         for kind, a, b in base_spans(text)
     ]
-    more = [("iban", a, b) for a, b in ibans(text)]
+    own = [("iban", a, b) for a, b in ibans(text)]
+    taken = [(a, b) for _, a, b in own] + [(s.start, s.end) for s in base]
     if "-" in text:
-        more += [("national_id", *m.span()) for m in NATIONAL_ID.finditer(text)]
-    more += [("birth_date", *m.span()) for m in BIRTH_DATE.finditer(text)]
-    for kind, a, b in more:
+        own += [("national_id", *m.span()) for m in NATIONAL_ID.finditer(text)]
+    own += [("birth_date", *m.span()) for m in BIRTH_DATE.finditer(text)]
+    found = []
+    for kind, a, b in own:
         score = PROPOSED[kind] + CONFIRMED.get(kind, 0.0) + 2 * _context(text, kind, a)
         if score >= threshold or kind in CONFIRMED:
             found.append(Span(kind, a, b, round(min(1.0, score), 3)))
-    return sorted(found, key=lambda s: (KINDS.index(s.kind), s.start))
+    # Of card numbers that overlap, the best stays, and none that another checksum or a base kind has already.
+    if cards := [c for c in inner_cards(text) if c[2] >= threshold]:
+        covered = bytearray(len(text))
+        for a, b in taken:
+            covered[a:b] = b"\1" * (b - a)
+        for a, b, score in sorted(cards, key=lambda c: (-c[2], c[0] - c[1], c[0])):
+            if not any(covered[a:b]):
+                covered[a:b] = b"\1" * (b - a)
+                found.append(Span("card", a, b, round(min(1.0, score), 3)))
+    return base, found
 
 
 def redact(text: str | None, found: list[Span]) -> str | None:
@@ -205,17 +263,20 @@ def redacted(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def digest(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, the number of spans of each base kind, the SHA-256 of the base spans and all spans as text."""
+    """doc_id, the number of spans of each base kind, the SHA-256 of the base spans and all spans as text. Card numbers
+    inside a longer run of digits are no base spans: they are only among all spans."""
 
     @pandas_udf("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
     def compute(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
-            found = spans(text, threshold)
-            said = [(s.kind, f"{s.kind}:{s.start}:{s.end}") for s in found]
-            base = ",".join(line for kind, line in said if kind in BASE)
-            counts = [sum(kind == k for kind, _ in said) for k in BASE]
-            rows.append((*counts, hashlib.sha256(base.encode()).hexdigest(), ",".join(line for _, line in said)))
+            base, more = _spans(text, threshold) if text else ([], [])
+            said = [
+                ",".join(f"{s.kind}:{s.start}:{s.end}" for s in sorted(some, key=lambda s: (KINDS.index(s.kind), s.start)))
+                for some in (base, base + more)
+            ]
+            counts = [sum(s.kind == k for s in base) for k in BASE]
+            rows.append((*counts, hashlib.sha256(said[0].encode()).hexdigest(), said[1]))
         return pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
 
     return docs.select("doc_id", compute("text").alias("found")).select("doc_id", "found.*")

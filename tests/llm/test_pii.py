@@ -75,6 +75,34 @@ def test_account_numbers_end_where_their_check_does(said, want):
     assert [said[s.start : s.end] for s in pii.spans(said) if s.kind == "iban"] == want
 
 
+@pytest.mark.parametrize(
+    ("said", "want"),
+    [
+        ("card 4111 1111 1111 1111 12/27", ["4111 1111 1111 1111"]),
+        ("4111 1111 1111 1111 123", ["4111 1111 1111 1111"]),
+        ("id 7 4111111111111111", ["4111111111111111"]),
+        ("4111 1111 1111 1111 5500 0000 0000 0004", ["4111 1111 1111 1111", "5500 0000 0000 0004"]),
+        ("order 3 4111-1111-1111-1111", ["4111-1111-1111-1111"]),
+        ("order 3 1234567890128", []),  # no issuer's, and not in the context of a card
+        ("41 11 11 11 11 11 11 11 5", []),  # a table of numbers
+        ("4111 1111 1111 1112 123", []),
+        ("ES91 2100 0418 4502 0005 1332 7", []),
+    ],
+)
+def test_card_numbers_inside_longer_runs(said, want):
+    assert not pii.base_spans(said)
+    assert [said[s.start : s.end] for s in pii.spans(said) if s.kind == "card"] == want
+
+
+def test_inner_cards_leave_the_base_figures(spark):
+    text = "card 4111 1111 1111 1111 12/27 a@b.co"
+    docs = spark.createDataFrame([(1, text, None)], "doc_id long, text string, n_chars long")
+    (row,) = pii.digest(docs).collect()
+    assert (row["n_card"], row["spans"]) == (0, "email:31:37,card:5:24")
+    assert row["base_sha256"] == hashlib.sha256(b"email:31:37").hexdigest()
+    assert pii.redacted(docs).first()["text"] == "card [CARD] 12/27 [EMAIL]"
+
+
 def test_redaction():
     text = "Mail a@b.co or 1.2.3.4, card 4111 1111 1111 1111."
     assert pii.redact(text, pii.spans(text)) == "Mail [EMAIL] or [IP], card [CARD]."
