@@ -31,6 +31,12 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style template noscript iframe object svg math head title".split())  # never text of a page
 RAW = frozenset("script style title textarea noscript iframe".split())  # read up to their end tag
+HEAD = frozenset("base link meta title style script noscript template".split())  # what may stand in a head
+DRAWN = frozenset("svg math".split())  # blocks of a page end them, but not inside these:
+EMBEDS = frozenset("foreignobject annotation-xml desc".split())
+HEAD = frozenset("base link meta title style script noscript template".split())  # what may stand in a head
+DRAWN = frozenset("svg math".split())  # blocks of a page end them, but not inside these:
+EMBEDS = frozenset("foreignobject annotation-xml desc".split())
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
     "option": ("option",), "tbody": ("tr", "td", "th", "thead"), "tfoot": ("tr", "td", "th", "tbody"),
@@ -53,6 +59,10 @@ TOKEN = re.compile(
 )
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
+NEXT, REST = re.compile(r"(?=<)|\Z"), re.compile(r"\Z")
+BODY = re.compile(r"(?=</head\b|<body\b)|\Z", re.IGNORECASE)
+NEXT, REST = re.compile(r"(?=<)|\Z"), re.compile(r"\Z")
+BODY = re.compile(r"(?=</head\b|<body\b)|\Z", re.IGNORECASE)
 MARK = re.compile(r'\by="([01])"')
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -107,9 +117,21 @@ def _leaf_features(text: str, linked: int, tag: str) -> list[int]:
 
 
 def parse(html: str | None) -> Tree:
-    """The tree of a page. Unclosed, unopened and wrongly nested tags are taken as browsers would, roughly."""
+    """The tree of a page. Unclosed, unopened and wrongly nested tags are taken as browsers would, roughly. A head ends
+    at the first thing that may not stand in it; a silent element that is still open where the page ends, such as a
+    template without end tag, does not silence what follows it."""
+    tree, unclosed = _parse(html or "", frozenset())
+    return _parse(html, unclosed)[0] if unclosed else tree
+
+
+def _parse(html: str, heard: frozenset[int]) -> tuple[Tree, frozenset[int]]:
+    """The tree of a page, and where its unclosed silent elements begin; those that begin at ``heard`` are not silent."""
     tree = Tree()
     stack: list[tuple[str, int, bool, int]] = []  # tag, node, whether its text is silent, label
+    opened: list[int] = []  # where the silent elements on the stack begin
+    endless: set[str] = set()  # tags of raw text that have no end tag any more
+    opened: list[tuple[str, int, int]] = []  # of the silent elements on the stack: tag, depth, where they begin
+    endless: set[str] = set()  # tags of raw text that have no end tag any more
     pieces: list[str] = []
     linked = links = 0
 
@@ -130,8 +152,19 @@ def parse(html: str | None) -> Tree:
             pieces.clear()
         linked = 0
 
+    def cut(depth: int) -> None:
+        while opened and opened[-1][1] >= depth:
+            opened.pop()
+        del stack[depth:]
+
+    def leave_head() -> None:
+        if stack[-1][0] == "head":
+            cut(len(stack) - 1)
+
     def add(data: str) -> None:
         nonlocal linked
+        if stack[-1][0] == "head" and data.strip():
+            leave_head()
         if data and not stack[-1][2]:
             data = unescape(data)
             pieces.append(data)
@@ -139,7 +172,6 @@ def parse(html: str | None) -> Tree:
                 linked += len(data.strip())
 
     stack.append(("", node(-1, False, [FEATURES["element"]], 0), False, 0))
-    html = html or ""
     at, size = 0, len(html)
     while at < size:
         match = TOKEN.search(html, at)
@@ -151,6 +183,10 @@ def parse(html: str | None) -> Tree:
         tag = (match.group(2) or "").lower()
         if not tag:
             continue
+        if stack[-1][0] == "head" and tag not in HEAD and (not match.group(1) or tag in ("body", "html", "br")) and tag != "head":
+            leave_head()
+        if stack[-1][0] == "head" and tag not in HEAD and (not match.group(1) or tag in ("body", "html", "br")) and tag != "head":
+            leave_head()
         if tag in INLINE:
             if tag == "br":
                 add(" ")
@@ -160,21 +196,23 @@ def parse(html: str | None) -> Tree:
         if match.group(1):  # an end tag closes up to its start, if there is one
             if any(entry[0] == tag for entry in stack):
                 flush()
-                while stack[-1][0] != tag:
-                    stack.pop()
-                stack.pop()
+                cut(max(depth for depth, entry in enumerate(stack) if entry[0] == tag))
                 links = 0
             continue
         flush()
-        if tag in VOID:
+        if tag in VOID or tag == "head" and stack[-1][0] not in ("", "html"):
             continue
         links = 0
+        if opened and tag == "body" and opened[0][0] == "head":  # ends it, whatever is open in it
+            cut(opened[0][1])
+        elif opened and opened[-1][0] in DRAWN and f"tag:{tag}" in FEATURES:
+            cut(opened[-1][1])
         # A block ends an open paragraph; items, cells and the like end their predecessors.
         while stack[-1][0] == "p":
             stack.pop()
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] in CLOSES.get(tag, ()):
-                del stack[depth:]
+        for depth in range(len(stack) - 1, 0, -1) if tag in CLOSES else ():
+            if stack[depth][0] in CLOSES[tag]:
+                cut(depth)
                 break
             if stack[depth][0] in SCOPES:
                 break
@@ -182,7 +220,7 @@ def parse(html: str | None) -> Tree:
         attributes = match.group(3)
         if found := MARK.search(attributes):
             label = int(found.group(1))
-        silent = silent or tag in SILENT
+        silent = silent or tag in SILENT and match.start() not in heard
         if not silent:
             features = [FEATURES["element"], FEATURES.get(f"tag:{tag}", FEATURES["other_tag"])]
             if attributes:
@@ -191,7 +229,11 @@ def parse(html: str | None) -> Tree:
                     features.append(FEATURES["hidden"])
             parent = node(parent, False, features, label)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>|\Z", re.IGNORECASE).search(html, at)
+            end = None if tag in endless else re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(html, at)
+            if not end:
+                # Without an end tag a title ends at the next tag, other silent text where the body begins.
+                endless.add(tag)
+                end = (NEXT if tag == "title" else REST if tag == "textarea" else BODY).search(html, at)
             stack.append((tag, parent, silent, label))
             add(html[at : end.start()])
             flush()
@@ -199,8 +241,10 @@ def parse(html: str | None) -> Tree:
             at = end.end()
         elif not attributes.endswith("/"):
             stack.append((tag, parent, silent, label))
+            if tag in SILENT or tag in EMBEDS:
+                opened.append((tag, len(stack) - 1, match.start()))
     flush()
-    return tree
+    return tree, frozenset(start for tag, _, start in opened if tag in SILENT) - heard
 
 
 # Kinds of nodes with potentials of their own: elements that hold others, elements that hold prose, runs of text.

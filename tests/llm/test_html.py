@@ -60,6 +60,68 @@ def test_broken_pages(model, page):
     assert isinstance(html.extract([page], model)[0], str)
 
 
+PROSE = "A first sentence that is long enough to be prose, and goes on for a while. Then a second one follows it."
+ARTICLE = f"<article><h1>A title of the page</h1><p>{PROSE}</p><p>More: {PROSE}</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>T</title><body>{ARTICLE}</body></html>",
+        f"<html><head><title>T</title><meta charset=x>{ARTICLE}",
+        f"<html><head><title>T</title><template><b>x</b><body>{ARTICLE}",
+        f"<html><head><title>T</title></head><head><body><head>{ARTICLE}",
+        f"<html><head><title>T<body>{ARTICLE}",
+        f"<html><head><style>p {{}}<body>{ARTICLE}",
+        f"<body><template>{ARTICLE}",
+        f"<body><div><object data=x></div>{ARTICLE}",
+        f"<body><object data=x>{ARTICLE}",
+        f"<body><object><object></object>{ARTICLE}",
+        f"<body><svg><path d=x><text>label</text>{ARTICLE}",
+        f"<body><math><mi>x</mi>{ARTICLE}",
+        f"<body><svg><foreignObject><p>drawn</p></foreignObject></svg><template><p>{PROSE}</p></template>{ARTICLE}",
+    ],
+)
+def test_silent_elements_without_end_tag(model, page):
+    assert html.extract([page], model) == [f"A title of the page\n\n{PROSE}\n\nMore: {PROSE}"]
+
+
+def test_text_ends_a_head():
+    for page in ("<head><title>T</title>bare text", "<head><title>T</title><span>bare text</span>", "<head>\n<link href=x> bare text</head>"):
+        assert list(html.parse(page).text.values()) == ["bare text"]
+
+
+PROSE = "A first sentence that is long enough to be prose, and goes on for a while. Then a second one follows it."
+ARTICLE = f"<article><h1>A title of the page</h1><p>{PROSE}</p><p>More: {PROSE}</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>T</title><body>{ARTICLE}</body></html>",
+        f"<html><head><title>T</title><meta charset=x>{ARTICLE}",
+        f"<html><head><title>T</title><template><b>x</b><body>{ARTICLE}",
+        f"<html><head><title>T</title></head><head><body><head>{ARTICLE}",
+        f"<html><head><title>T<body>{ARTICLE}",
+        f"<html><head><style>p {{}}<body>{ARTICLE}",
+        f"<body><template>{ARTICLE}",
+        f"<body><div><object data=x></div>{ARTICLE}",
+        f"<body><object data=x>{ARTICLE}",
+        f"<body><object><object></object>{ARTICLE}",
+        f"<body><svg><path d=x><text>label</text>{ARTICLE}",
+        f"<body><math><mi>x</mi>{ARTICLE}",
+        f"<body><svg><foreignObject><p>drawn</p></foreignObject></svg><template><p>{PROSE}</p></template>{ARTICLE}",
+    ],
+)
+def test_silent_elements_without_end_tag(model, page):
+    assert html.extract([page], model) == [f"A title of the page\n\n{PROSE}\n\nMore: {PROSE}"]
+
+
+def test_text_ends_a_head():
+    for page in ("<head><title>T</title>bare text", "<head><title>T</title><span>bare text</span>", "<head>\n<link href=x> bare text</head>"):
+        assert list(html.parse(page).text.values()) == ["bare text"]
+
+
 def test_tables_and_edges(spark, model):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "", "y")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
