@@ -34,8 +34,9 @@ def _shift(values: Column, by: int) -> Column:
 
 def with_anchors(frame: DataFrame, text: str, anchors: str) -> DataFrame:
     """``frame`` with the array column ``anchors``, one long for each anchor of column ``text`` in the order of their
-    positions: 32 bits of its hash, then 32 bits of its position in words. Texts with fewer words than a window have each word as an anchor; null and
-    texts without words have none."""
+    positions: 32 bits of its hash, then 32 bits of its position in words. Texts with fewer words than a window have each
+    word as an anchor; longer ones in which no window is chosen, which takes fewer than 13 words, have all their windows.
+    Null and texts without words have none."""
     names = {n: inner_name([*frame.columns, anchors], f"_{anchors}_{n}") for n in ("w", "s", "m2", "m4", "m", "n")}
     w, s, m2, m4, m, n = (names[k] for k in ("w", "s", "m2", "m4", "m", "n"))
     steps = WINDOW - INNER  # positions of the inner pieces, less one
@@ -58,9 +59,16 @@ def with_anchors(frame: DataFrame, text: str, anchors: str) -> DataFrame:
         F.slice(middle, F.lit(1), F.col(n)),
         lambda e, c: F.when((e.a == e.x) | (e.b == e.x), F.xxhash64(e.a, c, e.b)),
     )
-    found = F.when(F.col(n) > 0, windows).otherwise(F.col(w))
-    placed = F.transform(found, lambda h, i: F.shiftleft(F.shiftright(h, 32), 32).bitwiseOR(i.cast("long")))
-    return out.withColumn(anchors, F.array_compact(placed)).drop(*names.values())
+    # Closed on no side: a few windows of a short text, whose hashes only need the pieces again.
+    every = F.zip_with(
+        F.slice(ends, F.lit(1), F.col(n)), F.slice(middle, F.lit(1), F.col(n)), lambda e, c: F.xxhash64(e.a, c, e.b)
+    )
+    place = lambda found: F.array_compact(
+        F.transform(found, lambda h, i: F.shiftleft(F.shiftright(h, 32), 32).bitwiseOR(i.cast("long")))
+    )
+    out = out.withColumn(anchors, place(F.when(F.col(n) > 0, windows).otherwise(F.col(w))))
+    bare = (F.col(n) > 0) & (F.size(anchors) == 0)
+    return out.withColumn(anchors, F.when(bare, place(every)).otherwise(F.col(anchors))).drop(*names.values())
 
 
 def printed(anchors: Column) -> Column:

@@ -57,6 +57,20 @@ def test_against_brute_force(spark, block, monkeypatch):
                 assert shown.split() == want
 
 
+@pytest.mark.parametrize("n", range(8, 15))
+def test_texts_with_words_have_anchors(spark, n):
+    texts = [" ".join(f"w{n}x{i}y{j}" for j in range(n)) for i in range(40)] + ["", " \n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["fingerprint"].split() for r in fp.fingerprinted(docs).collect()}
+    assert not got[40] and not got[41]
+    pairs, windows, _ = plain_compare(spark, list(enumerate(texts)))
+    for doc, text, *_ in pairs:
+        chosen = [i for i, _ in windows(text)[1]]
+        assert [int(a.split("@")[1]) for a in got[doc]] == (chosen or list(range(max(0, len(text.split()) - 7))))
+    for r in fp.compared(docs.where("doc_id < 40")).collect():
+        assert r["near_next"] == 0.0  # no two of them share a word
+
+
 def test_likeness_counts_shared_anchors(spark):
     text = " ".join(f"w{i}" for i in range(400))
     moved = "x y z " + text
