@@ -41,8 +41,8 @@ GOOD_WORDS = r"(?i)(token|key|secret|passw|pwd|auth|bearer|credential|login)"
 BAD_WORDS = r"(?i)(sha[0-9]|md5|checksum|commit|hash|uuid|isbn|version|digest|image|color|serial|order|id )"
 PLACEHOLDER = r"(?i)(your|example|sample|here|xxxx|0000|1234|change|dummy|placeholder)"
 NEAR = 40  # characters beside a candidate that are looked at
-# The dictionary: the most frequent words of a bounded sample of documents, those with the least hash.
-DICTIONARY_DOCS, DICTIONARY_WORDS, WORD_LETTERS = 1_000, 2_000, 3
+# The dictionary: the words that stand in most documents.
+DICTIONARY_WORDS, WORD_LETTERS = 2_000, 3
 KEEP_FROM = 0.5
 TREES, DEPTH = 40, 8
 
@@ -124,12 +124,9 @@ def features(found: DataFrame, dictionary: list[str]) -> tuple[DataFrame, list[s
 
 
 def dictionary_of(docs: DataFrame) -> list[str]:
-    """The most frequent words of a bounded sample of ``docs`` (doc_id, text); ties by the word."""
-    some = docs.select("doc_id", "text").where("text is not null")
-    ids = some.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICTIONARY_DOCS).distinct()
-    # At most as many ids as the sample has documents.
-    texts = some.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id", "text")).limit(DICTIONARY_DOCS)
-    words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(f"(\\b[a-z]{{{WORD_LETTERS},}}\\b)"))).alias("w"))
+    """The words that stand in most rows of ``docs`` (text), counted over all of them; ties by the word."""
+    found = F.regexp_extract_all(F.lower("text"), F.lit(f"(\\b[a-z]{{{WORD_LETTERS},}}\\b)"))
+    words = docs.where("text is not null").select(F.explode(F.array_distinct(found)).alias("w"))
     top = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(DICTIONARY_WORDS)
     return sorted(r["w"] for r in top.collect())
 

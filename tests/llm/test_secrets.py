@@ -16,6 +16,17 @@ def trained(spark):
     return secrets.train(spark, words), words
 
 
+def test_dictionary_counts_all_documents(spark):
+    # A word of each of many documents, and one repeated id whose rows all say the same thing.
+    rows = [(0, "filler filler filler")] * 3000 + [(i, f"common w{'abcdefghij'[i % 10]}x") for i in range(1, 4001)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    words = docs.selectExpr("doc_id", "case when doc_id = 0 then text else concat(text, ' ', repeat('rare ', 50)) end text")
+    assert secrets.dictionary_of(words) == sorted(["common", "filler", "rare", *(f"w{c}x" for c in "abcdefghij")])
+    many = spark.range(3000).selectExpr("id doc_id", "concat('shared word', translate(cast(id as string), '0123456789', 'abcdefghij')) text")
+    top = secrets.dictionary_of(many.unionAll(spark.range(2).selectExpr("0L", "'zzz'")))
+    assert len(top) == secrets.DICTIONARY_WORDS and "shared" in top and "zzz" in top
+
+
 def test_places_of_candidates(spark):
     texts = ["é😀 token = \"abc123def456\" x", "a1b2c3d4e5f6a7b8c9 " * 700, None, "", "no candidate here", "password:hunter2hunter2,then 1234567890123456"]
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], SCHEMA)
