@@ -27,14 +27,23 @@ def labelled_findings(copies: int = 60, seed: int = 5) -> list[tuple[str, int]]:
         return " ".join(word() for _ in range(pick.randint(1, 6)))
 
     def key() -> str:
-        return pick.choice(["token", "api_key", "secret", "password", "access_key", "auth_token", "client_secret", "TOKEN", "API_KEY"])
+        return pick.choice(["token", "api_key", "secret", "password", "access_key", "auth_token", "client_secret", "TOKEN", "API_KEY", "DB_PASS", "passphrase"])
 
     def assign(value: str) -> str:
-        return key() + pick.choice([" = ", "=", ": ", ":"]) + pick.choice(['"{}"', "'{}'", "{}"]).format(value)
+        quote = pick.choice(["", "", "'", '"'])
+        return quote + key() + quote + pick.choice([" = ", "=", ": ", ":", " => ", " := ", "      = "]) + pick.choice(['"{}"', "'{}'", "{}"]).format(value)
 
     def plain() -> str:
         return pick.choice([some(HEX, 40), some(HEX, 32), some(HEX.upper(), 40), some(LETTERS + DIGITS, 32), some(LETTERS + DIGITS + "+/", 40)])
 
+    def human() -> str:
+        """A password as people make them: a word, changed, with digits and marks."""
+        start = word().title() + some(DIGITS, pick.randint(1, 3)) + word()
+        return (start + pick.choice("&!%-_$#") + some(LETTERS + DIGITS, pick.randint(1, 4))).ljust(8, "7")
+
+    def address(value: str) -> str:
+        return f"{pick.choice(['postgres', 'https', 'mysql', 'amqp', 'redis'])}://{pick.choice([word(), 'admin', 'root', ''])}:{value}@{word()}{pick.choice(['', '.com', ':5432'])}/{word()}"
+
     def uuid() -> str:
         return "-".join(some(HEX, n) for n in (8, 4, 4, 4, 12))
 
@@ -51,6 +60,10 @@ def labelled_findings(copies: int = 60, seed: int = 5) -> list[tuple[str, int]]:
             "eyJ" + some(LETTERS + DIGITS, 30) + ".eyJ" + some(LETTERS + DIGITS, 60) + "." + some(LETTERS + DIGITS + "-_", 43),
             "Authorization: Bearer " + some(LETTERS + DIGITS + "-_", 40),
             f"credential {some(LETTERS + DIGITS, 40)}",
+            assign(human()),
+            address(pick.choice([human(), some(LETTERS + DIGITS, pick.randint(8, 24))])),
+            some(LETTERS, pick.randint(32, 44)),
+            f"key {some(LETTERS, pick.randint(24, 40))}",
         ]
         others = [
             some(DIGITS, pick.randint(16, 20)),
@@ -73,6 +86,10 @@ def labelled_findings(copies: int = 60, seed: int = 5) -> list[tuple[str, int]]:
             f"{pick.randint(1900, 2030)}-{pick.randint(10, 12)}-{pick.randint(10, 28)}T{pick.randint(10, 23)}-{pick.randint(10, 59)}",
             f"{word().title()}{word().title()}{word().title()}{pick.randint(1, 99)}",
             f"isbn {some(DIGITS, 13)}-{some(DIGITS, 4)}",
+            address(pick.choice(["password", "your_password", "xxxxxxxx", "example", "changeme"])),
+            f"{word()}{''.join(word().title() for _ in range(pick.randint(3, 6)))}()",
+            "/".join(word().title() for _ in range(pick.randint(4, 6))),
+            "-".join(word().title() for _ in range(pick.randint(4, 6))),
         ]
         rows += [(f"{words()} {s} {words()}", 1) for s in secrets] + [(f"{words()} {s} {words()}", 0) for s in others]
     return rows

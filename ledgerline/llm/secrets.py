@@ -1,7 +1,7 @@
 """Secrets in texts: patterns propose candidates, a random forest takes away the false ones.
 
-A candidate is the value given to something called token, key, password or the like, a long word with a digit in it, or
-a private key block. The forest sees its length, its changes between kinds of characters, how much of it is made of
+A candidate is the value given to something called token, key, password or the like, the password in an address, a long
+word with a digit or in mixed case, or a private key block. The forest sees its length, its changes between kinds of characters, how much of it is made of
 dictionary words, whether it looks like part of a path or host name, and the words beside it. It is trained on labelled
 findings whose features come from the same expressions.
 
@@ -22,11 +22,17 @@ from ledgerline.llm.common import inner_name
 from ledgerline.llm.labelled_findings import labelled_findings
 
 # How candidates look. Long words are entered at their beginning only, so that a search stays linear.
-NAMES = r"(?i:api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|password|passwd|pwd|secret|token)"
-GIVEN = NAMES + r"[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?[^\s\"']{6,}"
-LONG = r"(?<![A-Za-z0-9_+/=.\-])(?=[A-Za-z_+/=.\-]*+[0-9])[A-Za-z0-9_+/=.\-]{16,}"
+NAMES = r"(?i:api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret|passphrase|password|passwd|pass|pwd|secret|token)"
+GIVES = r"[ \t]*+(?:=>|:=|==|[:=])[ \t]*+[\"']?"
+# A name may end a longer one, which is entered where a long word would be.
+HEAD = r"(?:(?<![A-Za-z0-9_+/=.\-])[A-Za-z0-9_.\-]{0,40}?)?" + NAMES + r"[\"']?" + GIVES
+GIVEN = HEAD + r"[^\s\"']{6,}"
+ADDRESS = r"://[^\s/:@\"'<>]{0,64}:"
+INSIDE = ADDRESS + r"[^\s/@\"'<>]{3,}+(?=@)"
+MIXED = r"(?=[A-Z0-9_+/=.\-]*+[a-z][a-z0-9_+/=.\-]*+[A-Z])"
+LONG = r"(?<![A-Za-z0-9_+/=.\-])(?:(?=[A-Za-z_+/=.\-]*+[0-9])|" + MIXED + r")[A-Za-z0-9_+/=.\-]{16,}"
 BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?"
-CANDIDATE = f"{BLOCK}|{GIVEN}|{LONG}"
+CANDIDATE = f"{BLOCK}|{GIVEN}|{INSIDE}|{LONG}"
 # Forms of known issuers, which name the kind of a finding.
 KINDS = {
     "private_key": r"^-----BEGIN ",
@@ -37,7 +43,7 @@ KINDS = {
     "web_token": r"^eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.",
     "hex": r"^[0-9A-Fa-f]{24,}$",
 }
-GOOD_WORDS = r"(?i)(token|key|secret|passw|pwd|auth|bearer|credential|login)"
+GOOD_WORDS = r"(?i)(token|key|secret|passw|passphrase|pass[\"']?\s*[:=]|pwd|auth|bearer|credential|login)"
 BAD_WORDS = r"(?i)(sha[0-9]|md5|checksum|commit|hash|uuid|isbn|version|digest|image|color|serial|order|id )"
 PLACEHOLDER = r"(?i)(your|example|sample|here|xxxx|0000|1234|change|dummy|placeholder)"
 NEAR = 40  # characters beside a candidate that are looked at
@@ -75,7 +81,8 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
     )
     spread = cut.select(F.col(row).alias("row"), F.explode(matches).alias("_m")).select("row", "_m.*")
-    value = F.when(F.col("match").rlike(f"^{GIVEN}"), F.regexp_extract("match", r"[:=][ \t]{0,3}[\"']?([^\s\"']+)$", 1))
+    value = F.when(F.col("match").rlike(f"^{GIVEN}"), F.regexp_extract("match", f"^{HEAD}([^\\s\"']+)$", 1))
+    value = value.when(F.col("match").startswith("://"), F.regexp_extract("match", f"^{ADDRESS}(.+)$", 1))
     spread = spread.withColumn("value", F.coalesce(F.when(value != "", value), F.col("match")))
     named = F.expr("substring(match, 1, length(match) - length(value))")
     start = F.col("end") - F.length("value")
@@ -113,7 +120,8 @@ def features(found: DataFrame, dictionary: list[str]) -> tuple[DataFrame, list[s
         "dots": F.length(F.regexp_replace(value, "[^.]", "")),
         "path": (value.rlike(r"^/|\.[a-z]{2,4}$") | before.rlike(r"(://|/|www\.)\S*$")).cast("double"),
         "host": (value.rlike(r"^[A-Za-z0-9.-]+\.[a-z]{2,6}$") | before.rlike("@$")).cast("double"),
-        "given": before.rlike(r"[:=][ \t]{0,3}[\"']?$").cast("double"),
+        "given": before.rlike(f"{GIVES}$").cast("double"),
+        "address": before.rlike(f"{ADDRESS}$").cast("double"),
         "quoted": before.rlike("[\"']$").cast("double"),
         "good_word": before.rlike(GOOD_WORDS).cast("double"),
         "bad_word": before.rlike(BAD_WORDS).cast("double"),

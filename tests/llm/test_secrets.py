@@ -40,6 +40,26 @@ def test_places_of_candidates(spark):
     assert [r["value"] for r in found if r["row"]["doc_id"] == 0] == ["abc123def456"]
 
 
+FORMS = {
+    "'password' => 'Tr0ub4dor&3x'": "Tr0ub4dor&3x",
+    'password := "Tr0ub4dor&3x"': "Tr0ub4dor&3x",
+    "password         = Tr0ub4dor&3x": "Tr0ub4dor&3x",
+    "DB_PASS=Tr0ub4dor&3x": "Tr0ub4dor&3x",
+    "passphrase: Tr0ub4dor&3x": "Tr0ub4dor&3x",
+    "postgres://admin:Tr0ub4dor3x@db/x": "Tr0ub4dor3x",
+    "aws_secret_access_key => wJalrXUtnFEMIbKMDENGbPxRfiCYzQpLmNvBcX": "wJalrXUtnFEMIbKMDENGbPxRfiCYzQpLmNvBcX",
+    "use wJalrXUtnFEMIbKMDENGbPxRfiCYzQpLmNvBcX now": "wJalrXUtnFEMIbKMDENGbPxRfiCYzQpLmNvBcX",
+}
+
+
+def test_common_forms_are_found(spark, trained):
+    docs = spark.createDataFrame(list(FORMS.items()), "text string, want string")
+    kept = docs.withColumn("said", docs["text"])
+    proposed = {(r["row"]["said"], r["value"]) for r in secrets.candidates(kept).collect()}
+    assert proposed >= set(FORMS.items())
+    assert {(r["row"]["said"], r["value"]) for r in secrets.scan(kept, *trained).collect()} == set(FORMS.items())
+
+
 def test_forest_on_new_findings(spark, trained):
     lines = labelled_findings(12, seed=99)
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(lines)], "doc_id long, text string")
