@@ -8,15 +8,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import fingerprints, html, langid, lm, mixing, packing, pii, quality, secrets, simhash
+from ledgerline.llm import (
+    counting,
+    fingerprints,
+    html,
+    infill,
+    langid,
+    lm,
+    mixing,
+    packing,
+    pii,
+    quality,
+    search,
+    secrets,
+    simhash,
+)
 from ledgerline.llm.common import staged, table, word_count
 
 MIX_SEED = 20240601
+INFILL_SEED = 1
+TOKEN_LIMIT = 1024
+HITS = 20
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file of the public tokenizer; executors have it at the same place."""
-    return public_tokenizers.path("word_bpe_49k.json")
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The vocabulary file of a public tokenizer; executors have it at the same place."""
+    return public_tokenizers.path(name)
 
 
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,6 +83,18 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets_of(table(spark, folder, "documents"))
 
 
+def op11_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return counting.counted(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
+
+
+def op12_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), HITS)
+
+
+def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.digest(table(spark, folder, "documents"), INFILL_SEED)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_pii": op2_pii,
@@ -77,5 +106,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_secrets": op10_secrets,
+    "op11_tokens": op11_tokens,
+    "op12_search": op12_search,
+    "op13_infill": op13_infill,
+}
+SQL = {
+    "op9_mixing": mixing.SQL.format(offset=repr(mixing.offset(MIX_SEED))),
+    "op12_search": search.sql(HITS),
+    "op13_infill": infill.SQL.format(seed=INFILL_SEED),
 }
-SQL = {"op9_mixing": mixing.SQL.format(offset=repr(mixing.offset(MIX_SEED)))}
