@@ -6,16 +6,19 @@ program finds the patterns that are worth most under the current weights of the
 and the pieces left over are packed best fit decreasing, many equal bins at a time. The histogram has at most as many
 entries as a sequence has tokens, whatever the corpus holds.
 
-Each piece is then ranked among those of its length, and its rank gives its sequence and its place in it. Ranks are
-counted in blocks by a hash, so that a length that many pieces share doesn't meet in one task.
+Each piece has a rank among those of its length, which gives its sequence and its place in it. Tasks number their pieces
+by length while they cut them, in blocks of bounded size, and only the sizes of the blocks are summed up. So no length, id
+or text that many pieces share meets in one task.
 """
 
 from __future__ import annotations
 
 import string
+import sys
 import zlib
 from array import array
 from bisect import bisect_left, insort
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -23,6 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -32,26 +36,31 @@ from ledgerline.llm.common import staged, worker_memory
 
 CAPACITY = 2048
 END = 0
-BUCKETS = 256
+# Pieces that are numbered together.
+BLOCK_PIECES = 1 << 16
 
 # --- tokens ------------------------------------------------------------------------------------------------------
 
-# Words kept with their ids in each Python worker, and the parts that words are split into.
-WORDS_KEPT, PARTS_KEPT = 1 << 20, 1 << 20
+# Bytes that the words kept with their ids may take in a Python worker, and the parts that words are split into; what is
+# longer than LONGEST_KEPT is not kept.
+WORD_BYTES, PART_BYTES, LONGEST_KEPT = 48 << 20, 16 << 20, 64
+# What an entry of a dictionary takes beside key and value.
+ENTRY_BYTES = 104
 # Fixed value: the pattern by which the tokenizer splits lower-cased text into parts.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 
 class Kept(dict):
-    """A dictionary that fills itself and then keeps what it met first."""
+    """A dictionary that fills itself and keeps what it met first, up to so many bytes."""
 
     def __init__(self, make: Callable[[str], bytes], most: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.left = make, most
 
     def __missing__(self, key: str) -> bytes:
         value = self.make(key)
-        if len(self) < self.most:
+        if self.left > 0 and len(key) <= LONGEST_KEPT:
+            self.left -= sys.getsizeof(key) + sys.getsizeof(value) + ENTRY_BYTES
             self[key] = value
         return value
 
@@ -72,8 +81,8 @@ class WordEncoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in plain]
         self.alphabet = {**{b: b for b in plain}, **{b: 256 + i for i, b in enumerate(rest)}}
-        self.words = Kept(self._word, WORDS_KEPT)
-        self.parts = Kept(self._part, PARTS_KEPT)
+        self.words = Kept(self._word, WORD_BYTES)
+        self.parts = Kept(self._part, PART_BYTES)
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
@@ -107,14 +116,19 @@ def worker_encoder(path: str) -> WordEncoder:
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """The pieces of each row of ``docs`` (doc_id, text): doc_id, piece, start, length, ids_crc32 and, if asked for,
-    ``ids`` (binary, little-endian unsigned 32-bit). Null and empty texts have one piece, the end token."""
+    """The pieces of each row of ``docs`` (doc_id, text, more): doc_id, piece, start, length, ids_crc32, and block and rank,
+    the piece's number from 0 among those of its length in its block; if asked for, ``ids`` (binary, little-endian
+    unsigned 32-bit). Null and empty texts have one piece, the end token. Null ids are kept, repeated rows cut each, other
+    columns left behind; no rows, no pieces. Blocks are numbered by task, so write the pieces before they are used."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer_path)
         end, step = END.to_bytes(4, "little"), 4 * capacity
+        block, held, ranks = TaskContext.get().partitionId() << 32, 0, defaultdict(int)
         for batch in batches:
-            doc, piece, length, check, ids = [], [], [], [], []
+            if held >= BLOCK_PIECES:
+                block, held, ranks = block + 1, 0, defaultdict(int)
+            doc, piece, length, rank, check, ids = [], [], [], [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
                 data = (encoder.encode(text) if text else b"") + end
                 for number, at in enumerate(range(0, len(data), step)):
@@ -122,6 +136,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                     doc.append(row)
                     piece.append(number)
                     length.append(len(part) // 4)
+                    rank.append(ranks[length[-1]])
+                    ranks[length[-1]] += 1
                     check.append(zlib.crc32(part))
                     if with_ids:
                         ids.append(part)
@@ -132,12 +148,15 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                 "length": pa.array(length, pa.int64()),
                 "ids_crc32": pa.array(check, pa.int64()),
             }
+            held += len(doc)
+            columns |= {"block": pa.array([block] * len(doc), pa.int64()), "rank": pa.array(rank, pa.int64())}
             if with_ids:
                 columns["ids"] = pa.array(ids, pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, block long, rank long"
+    schema += ", ids binary" * with_ids
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 
@@ -255,7 +274,14 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
 
 
 def solve(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
-    """Patterns and their numbers of bins that hold exactly the pieces counted."""
+    """Patterns and their numbers of bins that hold exactly the pieces counted: those of the linear program, rounded and
+    filled up, or, where these take more bins, those of best fit decreasing."""
+    ways = rounded(counts, capacity), best_fit({length: n for length, n in counts.items() if n}, capacity)
+    return min(ways, key=lambda patterns: sum(many for _, many in patterns))
+
+
+def rounded(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
+    """The linear program's patterns, rounded down, and best fit decreasing for the pieces left over."""
     left = {length: n for length, n in counts.items() if n}
     chosen: list[tuple[Pattern, int]] = []
     for pattern, times in fractional(left, capacity).items() if left else ():
@@ -299,30 +325,29 @@ def slots(patterns: list[tuple[Pattern, int]]) -> Slots:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (doc_id, piece, length from 1 to ``capacity``, more) with ``sequence_id`` and ``offset``.
+    """``pieces`` (length from 1 to ``capacity``, block, rank, more) with ``sequence_id`` and ``offset`` instead of block
+    and rank, which are those of :func:`token_pieces`.
 
-    It reads ``pieces`` three times, so hand it a written table. Equal pieces may change places. No pieces, no rows.
+    It reads ``pieces`` twice, so hand it a written table. A column of the caller's named sequence_id or offset is
+    replaced. No pieces, no rows.
     """
-    bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(BUCKETS))
-    dealt = pieces.withColumn("_bucket", bucket)
-    blocks = dealt.groupBy("length", "_bucket").agg(F.count("*").alias("_rows"))
+    carried = [c for c in pieces.columns if c.lower() not in ("block", "rank", "sequence_id", "offset")]
+    blocks = pieces.groupBy("length", "block").agg(F.count("*").alias("n"))
     # At most one row for each length.
-    counts = {r["length"]: r["n"] for r in blocks.groupBy("length").agg(F.sum("_rows").alias("n")).collect()}
+    counts = {r["length"]: r["n"] for r in blocks.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = slots(solve(counts, capacity))
-    before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
-    within = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece")
-    ranked = dealt.withColumn("_rank", F.row_number().over(within) - 1).join(starts, ["length", "_bucket"])
+    before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("length", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
 
     @pandas_udf("sequence_id long, offset long")
     def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
         sequence, offset = plan.place(length.to_numpy(dtype=np.int64), rank.to_numpy(dtype=np.int64))
         return pd.DataFrame({"sequence_id": sequence, "offset": offset})
 
-    found = ranked.withColumn("_at", place("length", F.col("_start") + F.col("_rank")))
-    return found.select(*pieces.columns, "_at.sequence_id", "_at.offset")
+    found = pieces.select("length", "block", "rank", F.struct(*carried).alias("piece")).join(starts, ["length", "block"])
+    return found.select("piece", place("length", F.col("first") + F.col("rank")).alias("at")).select("piece.*", "at.*")
 
 
 def packed(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """The pieces of all documents with their sequences. A null id is kept; repeated rows are packed each."""
+    """The pieces of all documents with their sequences; see :func:`token_pieces` and :func:`pack`."""
     return pack(staged(token_pieces(docs, tokenizer_path, capacity, with_ids), "pieces"), capacity)

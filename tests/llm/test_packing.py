@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -29,8 +31,31 @@ def test_words_give_the_ids_of_whole_texts():
 
 
 def test_memory_is_bounded():
-    kept = packing.Kept(lambda k: k.encode(), 3)
+    each = packing.ENTRY_BYTES + sys.getsizeof("a") + sys.getsizeof(b"a")
+    kept = packing.Kept(lambda k: k.encode(), 3 * each - 1)
     assert [kept[k] for k in "abcdea"] == [b"a", b"b", b"c", b"d", b"e", b"a"] and list(kept) == ["a", "b", "c"]
+    long = "x" * (packing.LONGEST_KEPT + 1)
+    assert packing.Kept(lambda k: k.encode(), 10**6)[long] == long.encode()
+
+
+def test_a_worker_stays_within_its_bytes():
+    """Half a million different words and some very long ones: the process grows by the bytes allowed and little more."""
+    code = f"""
+import resource, sys
+sys.path[:0] = {sys.path!r}
+from ledgerline.llm import packing
+encoder = packing.WordEncoder({PATH!r})
+encoder.encode("one")
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for i in range(500):
+    encoder.encode(" ".join(f"w{{i}}q{{j}}ab{{j * 7}}" for j in range(1000)))
+assert encoder.words.left <= 0
+for i in range(3):
+    encoder.encode("ab" * 50_000 + str(i))
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    grown = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert grown < (packing.WORD_BYTES + packing.PART_BYTES >> 20) + 40
 
 
 def lengths(seed: int, number: int, capacity: int) -> dict[int, int]:
@@ -52,6 +77,13 @@ def test_patterns_hold_exactly_the_pieces(capacity, number):
     assert sum(m for _, m in patterns) <= least * 1.01 + 1
 
 
+def test_never_more_bins_than_best_fit():
+    total = lambda patterns: sum(many for _, many in patterns)
+    for counts in ({n: 1000 for n in range(1, 257)}, {85: 700, 86: 700, 87: 700}, lengths(1, 5000, 256), {256: 3}, {}):
+        plain, program = packing.best_fit(counts, 256), packing.rounded(counts, 256)
+        assert total(packing.solve(counts, 256)) == min(total(plain), total(program))
+
+
 def test_linear_program_takes_part():
     used = packing.fractional(lengths(9, 200_000, 256), 256)
     assert used and sum(used.values()) > 10_000
@@ -97,6 +129,21 @@ def test_packed_documents(spark):
     assert bins <= -(-total // 2048) + 1
 
 
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_one_id_and_length_many_times(spark, monkeypatch, partitions):
+    """Pieces that share id, number and length are told apart by the block and rank they were given."""
+    monkeypatch.setattr(packing, "BLOCK_PIECES", 10)
+    rows = [(None, "the cat", None, None)] * 300 + [(1, "a dog ran", None, None)] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string, length string, sequence_id string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = packing.packed(docs.repartition(partitions), PATH, 16, with_ids=True).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    assert check(found, rows, 16) <= -(-(300 * 3 + 200 * 4) // 16) + 5
+    assert len({(r["sequence_id"], r["offset"]) for r in found}) == 500
+
+
 def test_small_sequences_and_empty_table(spark):
     rows = [(i, "the cat " * (i % 9), None, None) for i in range(60)]
     check(packed(spark, rows, 8), rows, 8)
