@@ -43,7 +43,7 @@ BLOCK_PIECES = 1 << 16
 
 # Bytes that the words kept with their ids may take in a Python worker, and the parts that words are split into; what is
 # longer than LONGEST_KEPT is not kept.
-WORD_BYTES, PART_BYTES, LONGEST_KEPT = 48 << 20, 16 << 20, 64
+WORD_BYTES, PART_BYTES, LONGEST_KEPT = 96 << 20, 32 << 20, 64
 # What an entry of a dictionary takes beside key and value.
 ENTRY_BYTES = 104
 # Fixed value: the pattern by which the tokenizer splits lower-cased text into parts.
