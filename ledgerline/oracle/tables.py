@@ -6,6 +6,7 @@ Each entry is the body of one common table expression. Money is exact decimal in
 
 from __future__ import annotations
 
+# The names of channels and warehouses, in the order of their ids.
 CHANNEL_CASE = (
     "case {k}%7+1 when 1 then 'organic_search' when 2 then 'paid_search' when 3 then 'social_media' "
     "when 4 then 'email' when 5 then 'direct' when 6 then 'affiliate' else 'referral' end"
@@ -51,7 +52,7 @@ RAW = {
           _batch_id
         from orders cross join batches where _batch_id=1 or o_orderkey%100=7""",
     "raw_order_items": """
-        select ((l_orderkey*10+l_linenumber)*10000000+l_partkey)*10000+l_suppkey as order_item_id,
+        select concat_ws('-',l_orderkey,l_linenumber,l_partkey,l_suppkey) as order_item_id,
           case when (l_orderkey*7+l_partkey)%300=5 then -1 else l_orderkey end as order_id, l_partkey as product_id,
           cast(l_quantity as int) as quantity, cast(p_retailprice as decimal(18,2)) as unit_price,
           cast(cast(l_extendedprice as decimal(18,2))*cast(l_discount as decimal(4,2)) as decimal(18,2)) as discount,
@@ -64,7 +65,7 @@ RAW = {
           cast(l_shipdate as date)+(_batch_id-1) as _ingested_at, _batch_id
         from lineitem join part on l_partkey=p_partkey cross join batches where _batch_id=1 or l_orderkey%90=4""",
     "raw_payments": """
-        select o_orderkey+copy*1000000000 as payment_id, case when o_orderkey%250=9 then -1 else o_orderkey end as order_id,
+        select if(copy=1,-o_orderkey,o_orderkey) as payment_id, case when o_orderkey%250=9 then -1 else o_orderkey end as order_id,
           cast(o_orderdate as date) as payment_date, o_orderpriority as payment_method,
           case when o_orderkey%50=0 then 'failed' else 'Completed' end as status,
           case when o_orderkey%50=11 then cast(o_totalprice as decimal(18,2))-50
@@ -74,7 +75,7 @@ RAW = {
         from orders cross join copies cross join batches
         where (copy=0 or o_orderkey%120=17) and (_batch_id=1 or o_orderkey%250=13)""",
     "raw_refunds": """
-        select o_orderkey+copy*1000000000 as refund_id, o_orderkey as order_id,
+        select if(copy=1,-o_orderkey,o_orderkey) as refund_id, case when o_orderkey%290=0 then -1 else o_orderkey end as order_id,
           cast(o_orderdate as date)+cast(o_orderkey%14+1 as int) as refund_date,
           cast(cast(o_totalprice as decimal(18,2))
                *cast(case when o_orderkey%29=0 then 1.5 else 0.25 end as decimal(4,2)) as decimal(18,2)) as amount,
@@ -85,16 +86,17 @@ RAW = {
         where ((o_orderstatus='F' and o_orderkey%10=3) or o_orderkey%23=0 or o_orderkey%29=0)
           and (copy=0 or o_orderkey%46=0)""",
     "raw_shipments": f"""
-        select order_id as shipment_id, order_id, cast(order_id%5+1 as int) as warehouse_id,
-          {WAREHOUSE_CASE.format(k='order_id%5+1')} as warehouse,
-          case order_id%3 when 0 then 'UPS' when 1 then 'FedEx' else 'USPS' end as carrier,
-          order_date+cast(order_id%3+1 as int) as shipped_date,
-          order_date+cast(order_id%3+1+order_id%8+2 as int) as estimated_delivery_date,
-          case when order_id%40=0 then null
-               else order_date+cast(order_id%3+1+order_id%11 as int) end as delivered_date,
-          case when order_id%40=0 then 'in_transit' when order_id%333=1 then 'misplaced'
+        select order_id as shipment_id, case when o.order_id%350=2 then -o.order_id else o.order_id end as order_id,
+          cast(o.order_id%5+1 as int) as warehouse_id,
+          {WAREHOUSE_CASE.format(k='o.order_id%5+1')} as warehouse,
+          case o.order_id%3 when 0 then 'UPS' when 1 then 'FedEx' else 'USPS' end as carrier,
+          order_date+cast(o.order_id%3+1 as int) as shipped_date,
+          order_date+cast(o.order_id%3+1+o.order_id%8+2 as int) as estimated_delivery_date,
+          case when o.order_id%40=0 then null
+               else order_date+cast(o.order_id%3+1+o.order_id%11 as int) end as delivered_date,
+          case when o.order_id%40=0 then 'in_transit' when o.order_id%333=1 then 'misplaced'
                else 'Delivered' end as shipment_status, 1 as _batch_id
-        from raw_orders where _batch_id=1 and lower(order_status) in ('completed','shipped','refunded')""",
+        from raw_orders o where _batch_id=1 and lower(order_status) in ('completed','shipped','refunded')""",
     "inv_base": """
         select l_partkey, l_suppkey%5+1 as wh, cast(date_trunc('month', l_shipdate) as date) as dt,
           cast(sum(cast(l_quantity as int)) as int) as sold

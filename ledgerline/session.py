@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
 
@@ -44,16 +46,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for written tables and stream checkpoints.
+# The temporary folders of local sessions, by application; the setting itself can't be changed on a live session.
+_local: dict[str, str] = {}
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    It lies below ``spark.checkpoint.dir``, which a cluster points at storage all executors see. Only a
-    local session, where driver and executors are one process, may fall back to a temporary folder.
+    Where it is unset, a local session, in which driver and executors are one process, has a temporary folder; a cluster
+    has none, and what needs one fails.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="ledgerline-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    if root:
+        return root.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    application = spark.sparkContext.applicationId
+    if not os.path.isdir(_local.get(application, "")):
+        _local[application] = tempfile.mkdtemp(prefix="ledgerline-")
+    return _local[application]
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder for written tables and stream checkpoints, below :func:`shared_root`."""
+    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"

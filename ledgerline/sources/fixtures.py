@@ -31,8 +31,6 @@ PLATFORM_SHARES = {"direct": "0.50", "marketplace_a": "0.30", "marketplace_b": "
 FEED_EPOCH = "2024-01-01"
 # The advertising days fall into the years of the orders.
 AD_EPOCH, AD_DAYS = "1995-01-01", 2400
-# What the id of a second payment or refund of one order is raised by.
-COPIED = 1_000_000_000
 FIXTURE_SECRET = "fixture-secret"
 ENTITIES = (
     "customers",
@@ -69,6 +67,11 @@ def _copied(df: DataFrame, condition: Column) -> DataFrame:
     return df.withColumn("_copy", F.explode(copies))
 
 
+def _second(key: Column) -> Column:
+    """The id of a copy: the negative of the first one's, so that it meets no other id."""
+    return F.when(F.col("_copy") == 1, -key).otherwise(key)
+
+
 def _stamp(df: DataFrame, entity: str) -> DataFrame:
     """The metadata columns of a feed; the time of a batch follows from its number."""
     if "_batch_id" not in df.columns:
@@ -167,9 +170,8 @@ class FixtureSource:
         discount = _dec(price * _dec("l_discount", 4))
         cost = _dec(price * _dec(F.lit("0.6"), 4))
         orphan = (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 300 == 5
-        # Line numbers repeat within an order; part and supplier tell such lines apart.
-        line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-        item = (line * 10_000_000 + F.col("l_partkey")) * 10_000 + F.col("l_suppkey")
+        # Line numbers repeat within an order; part and supplier tell such lines apart. A text holds keys of any size.
+        item = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
         prices = self.table("part").select("p_partkey", _dec("p_retailprice").alias("unit_price"))
         return _stamp(
             self.table("lineitem")
@@ -202,7 +204,7 @@ class FixtureSource:
         return _stamp(
             _copied(self.table("orders"), key % 120 == 17)
             .select(
-                (key + F.col("_copy") * COPIED).alias("payment_id"),
+                _second(key).alias("payment_id"),
                 F.when(key % 250 == 9, F.lit(-1).cast("long")).otherwise(key).alias("order_id"),
                 F.to_date("o_orderdate").alias("payment_date"),
                 F.col("o_orderpriority").alias("payment_method"),
@@ -222,8 +224,8 @@ class FixtureSource:
             .where(refunded | (key % 23 == 0) | (key % 29 == 0))
             .transform(lambda orders: _copied(orders, key % 46 == 0))
             .select(
-                (key + F.col("_copy") * COPIED).alias("refund_id"),
-                key.alias("order_id"),
+                _second(key).alias("refund_id"),
+                F.when(key % 290 == 0, F.lit(-1).cast("long")).otherwise(key).alias("order_id"),
                 F.date_add(F.to_date("o_orderdate"), (key % 14 + 1).cast("int")).alias("refund_date"),
                 _dec(_dec("o_totalprice") * _dec(share, 4)).alias("amount"),
                 _pick(REFUND_REASONS, key % 5).alias("reason"),
@@ -244,7 +246,7 @@ class FixtureSource:
             .where((F.col("_batch_id") == 1) & sent)
             .select(
                 key.alias("shipment_id"),
-                key,
+                F.when(key % 350 == 2, -key).otherwise(key).alias("order_id"),
                 (key % 5 + 1).cast("int").alias("warehouse_id"),
                 _pick(WAREHOUSES, key % 5).alias("warehouse"),
                 _pick(CARRIERS, key % 3).alias("carrier"),
