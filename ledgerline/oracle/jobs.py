@@ -167,6 +167,33 @@ SQL = {
         union all select 'raw_products', 2 * count(*), 2 * count(*) from raw_products
         union all select 'raw_payments', count(*), count(*) from raw_payments
         union all select 'raw_refunds', 0, 0"""),
+    "src_resumed_commits": query("""
+        select 1::bigint as version, 'append' as mode, count(*) as rows, min(order_date)::varchar as low,
+          max(order_date)::varchar as high from marked where early
+        union all select 2, 'append', count(*), min(order_date)::varchar, max(order_date)::varchar from marked where late
+        union all select 3, 'append', 0, null, null""", {"marked": """
+        select *, order_date < date '1999-01-01' as early,
+            order_date > max(if(order_date < date '1999-01-01', order_date, null)) over () as late from raw_orders"""}),
+    "src_resumed_months": query("""
+        select cast(date_trunc('month', order_date) as date) as month, count(*) as row_count from raw_orders
+        where order_date >= date '2001-03-15' group by 1"""),
+    "src_new_files": query("""
+        select cast(order_id % 3 + 1 as bigint) as version, count(*) as rows from raw_orders group by 1"""),
+    "src_changes": query("""
+        select order_id, if(old, 'update', 'insert') as change,
+          case when old then 'processing' end as order_status_before, order_status as order_status_after
+        from known where changed or not old
+        union all select -order_id, 'delete', order_status, null from known where old and order_id % 4000 = 9""", {"known": """
+        select distinct order_id, order_date, order_status, order_date < date '2001-03-15' as old,
+          year(order_date) = 1998 and order_id % 50 = 3 as changed from raw_orders"""}),
+    "src_versions": query("""
+        select 1 as version, old + gone as row_count from counted union all select 2, new from counted
+        union all select 3, new + old + gone from counted""", {"counted": """
+        select count(*) filter (order_date < date '2001-03-15') as old, count(*) as new,
+          count(*) filter (order_date < date '2001-03-15' and order_id % 4000 = 9) as gone from raw_orders"""}),
+    "inc_order_revenue": table_query("int_order_revenue"),
+    "inc_mart_sales": table_query("mart_sales"),
+    "inc_mart_finance": table_query("mart_finance"),
     "src_csv_products": query("""
         select * exclude (_batch_id) replace (unit_cost::double as unit_cost, list_price::double as list_price)
         from raw_products"""),

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timezone
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.signing import signature
 from ledgerline.operators import defects
+from ledgerline.operators.changes import changes
+from ledgerline.plans.incremental import MonthlyMarts
 from ledgerline.session import shared_folder
 from ledgerline.sources import ingest
 from ledgerline.sources.fixtures import FIXTURE_SECRET
@@ -17,6 +20,7 @@ from ledgerline.sources.schemas import ORDERS_FILE
 from ledgerline.streaming import intake
 
 SINCE = date(1999, 1, 1)
+RECENT = date(2001, 3, 15)
 BATCH = "20240101T000000Z"
 INGESTED = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -97,6 +101,117 @@ def reload_counts(warehouse) -> DataFrame:
     return rows
 
 
+class _Until:
+    """The feeds as they were before a day, by the dates incremental reads filter on."""
+
+    def __init__(self, source, end: date) -> None:
+        self.source, self.end = source, end
+
+    def feed(self, entity: str) -> DataFrame:
+        rows = self.source.feed(entity)
+        column = ENTITIES[entity].since_column
+        return rows.where(F.col(column) < F.lit(self.end)) if column else rows
+
+
+@cache
+def _resumed(warehouse) -> RawLayer:
+    """Orders loaded up to a day, then resumed twice; the last run finds nothing new."""
+    layer = RawLayer(warehouse.spark, shared_folder(warehouse.spark, "raw"))
+    for feed in (_Until(warehouse.source, SINCE), warehouse.source, warehouse.source):
+        ingest.run_connector(feed, "commerce", ("orders",), layer, resume=True, batch=BATCH)
+    return layer
+
+
+def resumed_commits(warehouse) -> DataFrame:
+    return _resumed(warehouse).commits("raw_orders").select("version", "mode", "rows", "low", "high")
+
+
+def resumed_months(warehouse) -> DataFrame:
+    """Rows per month of the last year and a half, read with a partition filter."""
+    rows = _resumed(warehouse).table("raw_orders", since=RECENT)
+    return rows.groupBy(F.trunc("order_date", "MM").alias("month")).agg(F.count("*").alias("row_count"))
+
+
+def new_files(warehouse) -> DataFrame:
+    """Rows of each load when files arrive one after the other and every run takes only those it does not know."""
+    spark = warehouse.spark
+    layer, inbox = RawLayer(spark, shared_folder(spark, "raw")), shared_folder(spark, "inbox")
+    orders = warehouse.source.feed("orders")
+    for number in range(3):
+        orders.where(F.col("order_id") % 3 == number).write.mode("append").parquet(inbox)
+        ingest.load_new_files(layer, inbox, "orders", orders.schema)
+        ingest.load_new_files(layer, inbox, "orders", orders.schema)
+    return layer.commits("raw_orders").select("version", "rows")
+
+
+class _Earlier:
+    """The feeds as they were before the present ones: recent orders and payments are not there yet, some rows are
+    different, some are missing and some are there that will be withdrawn."""
+
+    def __init__(self, source) -> None:
+        self.source = source
+
+    def feed(self, entity: str) -> DataFrame:
+        rows = self.source.feed(entity)
+        if entity == "orders":
+            known = rows.where(F.col("order_date") < F.lit(RECENT))
+            changed = (F.year("order_date") == 1998) & (F.col("order_id") % 50 == 3)
+            old = known.withColumn("order_status", F.when(changed, F.lit("processing")).otherwise(F.col("order_status")))
+            old = old.withColumn("channel_id", F.when(changed, F.lit(1)).otherwise(F.col("channel_id")))
+            old = old.withColumn("shipping", F.when(changed, F.col("shipping") + 1).otherwise(F.col("shipping")).cast("decimal(18,2)"))
+            gone = known.where("order_id % 4000 = 9").withColumn("order_id", -F.col("order_id"))
+            return old.unionByName(gone)
+        if entity == "order_items":
+            wrong = (F.col("order_id") % 3000 == 7) & (F.col("quantity") > 10)
+            return rows.withColumn("quantity", F.when(wrong, 1).otherwise(F.col("quantity"))).where("order_id % 3000 <> 8")
+        if entity == "refunds":
+            return rows.where("refund_id % 1000 <> 0")
+        if entity == "payments":
+            doubled = F.when(F.col("payment_id") % 3000 == 1, F.col("amount") * 2).otherwise(F.col("amount"))
+            return rows.where(F.col("payment_date") < F.lit(RECENT)).withColumn("amount", doubled.cast("decimal(18,2)"))
+        if entity == "payouts":
+            return rows.where((F.col("platform") != "direct") | (F.year("period_start") != 1997))
+        return rows
+
+
+MONTHLY = ("orders", "order_items", "refunds", "payments", "payouts")
+
+
+def order_changes(warehouse) -> DataFrame:
+    """What a reload of the orders changed."""
+    layer = RawLayer(warehouse.spark, shared_folder(warehouse.spark, "raw"))
+    for feed in (_Earlier(warehouse.source), warehouse.source):
+        ingest.run_connector(feed, "commerce", ("orders",), layer, replace=("raw_orders",))
+    return changes(layer.table("raw_orders", 1), layer.table("raw_orders"), "order_id", ("order_status",))
+
+
+def version_counts(warehouse) -> DataFrame:
+    """Rows of the orders in each version, of which the first was reloaded and the second added to."""
+    layer = RawLayer(warehouse.spark, shared_folder(warehouse.spark, "raw"))
+    earlier = _Earlier(warehouse.source)
+    for feed, replace in ((earlier, ()), (warehouse.source, ("raw_orders",)), (earlier, ())):
+        ingest.run_connector(feed, "commerce", ("orders",), layer, replace=replace)
+    whole = None
+    for version in (1, 2, 3):
+        part = layer.table("raw_orders", version).agg(F.count("*").alias("row_count"))
+        part = part.select(F.lit(version).alias("version"), "row_count")
+        whole = part if whole is None else whole.unionByName(part)
+    return whole
+
+
+@cache
+def _followed(warehouse) -> MonthlyMarts:
+    """Tables kept by month, after the raw tables under them were reloaded."""
+    spark = warehouse.spark
+    layer = RawLayer(spark, shared_folder(spark, "raw"))
+    marts = MonthlyMarts(layer, shared_folder(spark, "marts"), warehouse.settings)
+    tables = tuple(ENTITIES[entity].table for entity in MONTHLY)
+    for feed in (_Earlier(warehouse.source), warehouse.source):
+        ingest.run_connector(feed, "all", MONTHLY, layer, replace=tables)
+        marts.refresh()
+    return marts
+
+
 def csv_products(warehouse) -> DataFrame:
     folder = shared_folder(warehouse.spark, "csv")
     made = warehouse.source.feed("products")
@@ -204,6 +319,14 @@ QUERIES = {
     "src_pipeline_totals": pipeline_totals,
     "src_loaded_counts": loaded_counts,
     "src_reload_counts": reload_counts,
+    "src_resumed_commits": resumed_commits,
+    "src_resumed_months": resumed_months,
+    "src_new_files": new_files,
+    "src_changes": order_changes,
+    "src_versions": version_counts,
+    "inc_order_revenue": lambda warehouse: _followed(warehouse).table("int_order_revenue"),
+    "inc_mart_sales": lambda warehouse: _followed(warehouse).table("mart_sales"),
+    "inc_mart_finance": lambda warehouse: _followed(warehouse).table("mart_finance"),
     "src_csv_products": csv_products,
     "src_sql_read": sql_over_layers,
     "src_materialised_sales": materialised_sales,

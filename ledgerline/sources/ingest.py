@@ -5,13 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ledgerline.functions.columns import record_hash
+from ledgerline.sources.layer import RawLayer
 from ledgerline.sources.schemas import RAW_SCHEMAS
 
 log = logging.getLogger(__name__)
@@ -83,6 +84,12 @@ def since(df: DataFrame, entity: str, start: date | None) -> DataFrame:
     return df.where(F.col(column) >= F.lit(start))
 
 
+def dated_by(entity: str, df: DataFrame) -> str | None:
+    """The column an entity's raw table is cut by: the one that incremental reads filter on."""
+    column = ENTITIES[entity].since_column
+    return column if column in df.columns else None
+
+
 def batch_id(now: datetime | None = None) -> str:
     return (now or datetime.now(timezone.utc)).strftime("%Y%m%dT%H%M%SZ")
 
@@ -100,54 +107,6 @@ def with_metadata(df: DataFrame, entity: str, batch: str, ingested_at: datetime)
     )
 
 
-class RawLayer:
-    """Raw tables as Parquet folders below one shared folder."""
-
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder.rstrip("/")
-
-    def path(self, table: str) -> str:
-        return f"{self.folder}/{table}"
-
-    def load(self, df: DataFrame, table: str, replace: bool = False) -> int:
-        """Append (or replace) and return the rows written, counted while they are written."""
-        seen = Observation(f"load_{table}")
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        if replace:
-            # The table in place stays readable, and stays if the job fails, until the new one is complete.
-            counted.write.mode("overwrite").parquet(f"{self.path(table)}__new")
-            self._swap(table)
-        else:
-            counted.write.mode("append").parquet(self.path(table))
-        return int(seen.get["rows"])
-
-    def _swap(self, table: str) -> None:
-        """Put the newly written table in the place of the old one."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        old, new = hadoop.Path(self.path(table)), hadoop.Path(f"{self.path(table)}__new")
-        files = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        files.delete(old, True)
-        if not files.rename(new, old):
-            raise OSError(f"{new} could not be moved to {old}")
-
-    def table(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
-
-    def raw(self, entity: str) -> DataFrame:
-        """The raw table of an entity, for a warehouse on top of this layer."""
-        return self.table(f"raw_{entity}")
-
-    def exists(self, table: str) -> bool:
-        try:
-            self.table(table)
-        except AnalysisException:
-            return False
-        return True
-
-    def count(self, table: str) -> int:
-        return self.table(table).count() if self.exists(table) else 0
-
-
 TOTALS = "connector string, entity string, table_name string, rows_loaded long, status string"
 
 
@@ -159,16 +118,28 @@ def run_connector(
     start: date | None = None,
     replace: Sequence[str] = (),
     batch: str | None = None,
+    resume: bool = False,
+    overlap: int = 0,
+    marks: dict[str, date | None] | None = None,
 ) -> list[tuple]:
-    """Load a connector's entities. One that fails is reported and the others go on."""
+    """Load a connector's entities. One that fails is reported and the others go on.
+
+    With ``resume`` an entity is read from the day after the latest date its table has, or ``overlap`` days earlier
+    where feeds deliver late rows; what is read twice is one row in staging. Entities without a date are read whole.
+    ``marks`` may give the latest dates of the tables instead.
+    """
     now = datetime.now(timezone.utc)
+    batch = batch or batch_id(now)
     outcome = []
     for name in entities:
         table = ENTITIES[name].table
         try:
-            rows = since(feed.feed(name), name, start)
-            made = with_metadata(rows, name, batch or batch_id(now), now)
-            outcome.append((connector, name, table, layer.load(made, table, table in replace), "loaded"))
+            first = start
+            if resume and (mark := layer.high_water(table) if marks is None else marks.get(table)):
+                first = max(filter(None, (start, mark + timedelta(days=1 - overlap))))
+            made = with_metadata(since(feed.feed(name), name, first), name, batch, now)
+            loaded = layer.load(made, table, table in replace, dated_by=dated_by(name, made), batch=batch)
+            outcome.append((connector, name, table, loaded, "loaded"))
         except Exception as error:
             log.error("%s.%s failed: %s", connector, name, error)
             outcome.append((connector, name, table, 0, "failed"))
@@ -182,22 +153,56 @@ def run_pipeline(
     full_reload: bool = True,
     disabled: Sequence[str] = (),
     connectors=CONNECTORS,
+    resume: bool = False,
 ) -> DataFrame:
     """Load all enabled connectors; returns one row per connector and entity.
 
-    A full reload replaces each table the first time the run writes it and appends after that.
+    A full reload replaces each table the first time the run writes it and appends after that. With ``resume`` each
+    table is continued after its latest date (see :func:`run_connector`); that excludes a full reload. Where two
+    connectors fill one table both are read from the mark it had before the run.
     """
+    if resume and full_reload:
+        raise ValueError("a run either resumes or reloads")
     outcome, written = [], set()
+    marks = {e.table: layer.high_water(e.table) for e in ENTITIES.values()} if resume else None
     for connector, entities in connectors:
         if connector in disabled:
             continue
         tables = {ENTITIES[e].table for e in entities}
         replace = tables - written if full_reload else ()
-        outcome += run_connector(feed, connector, entities, layer, start, tuple(replace))
+        outcome += run_connector(feed, connector, entities, layer, start, tuple(replace), resume=resume, marks=marks)
         written |= tables
     return layer.spark.createDataFrame(outcome, TOTALS)
 
 
+def listed(spark: SparkSession, folder: str) -> DataFrame:
+    """The Parquet files below a folder: path, modificationTime and length. Their contents are not read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+    try:
+        return found.load(folder).select("path", "modificationTime", "length")
+    except AnalysisException as error:
+        raise ConnectorError(f"no data at {folder}") from error
+
+
+def load_new_files(layer: RawLayer, folder: str, entity: str, schema, now: datetime | None = None) -> int:
+    """Append the files below ``folder`` that are not in the entity's raw table yet; returns the rows loaded.
+
+    A file is known by path, time and size, and counts as loaded once its load is committed: a run that ends early reads
+    it again, and no file is read twice. Late rows are no problem, since dates don't matter. The paths of the new files
+    pass through the driver, as they do in any read.
+    """
+    now = now or datetime.now(timezone.utc)
+    table, spark = ENTITIES[entity].table, layer.spark
+    known = layer.files(table).select("path", "modificationTime", "length")
+    new = listed(spark, folder).join(known, known.columns, "left_anti").collect()
+    if not new:
+        return 0
+    rows = spark.read.schema(schema).parquet(*[row.path for row in new])
+    made = with_metadata(rows, entity, batch_id(now), now)
+    noted = spark.createDataFrame(new)
+    return layer.load(made, table, dated_by=dated_by(entity, made), batch=batch_id(now), files=noted)
+
+
 def totals(outcome: DataFrame) -> DataFrame:
     """Rows per entity over all connectors that loaded it."""
     return (
