@@ -2,8 +2,9 @@
 
 The per-row steps are the same for a batch and a stream. Repeats can be removed in three ways:
 
-``ledger``     every id ever accepted counts; ids are looked up in what the sink holds. Exact for ever, keeps no
-               state, reads the ids of the sink once per trigger. The earliest request of a trigger wins.
+``ledger``     every id ever accepted counts; ids are looked up in a ledger bucketed by hash, of which a trigger reads
+               the Bloom filters and the buckets that may hold its ids. Exact for ever, keeps no state. The
+               earliest request of a trigger wins.
 ``state``      every id ever accepted counts; ids live in the state store, and a trigger costs only its own rows.
 ``watermark``  ids are forgotten after a delay: requests are looked up in what was received since the watermark, the
                latest time accepted so far less the delay. Requests that are older than that are few; they are
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.functions.signing import signed_by
+from ledgerline.streaming.ledger import Ledger
 
 # Accepted event types and the secret that switches the signature check off.
 ACCEPTED_EVENTS = (
@@ -155,10 +157,11 @@ def unseen(requests: DataFrame, ledger: DataFrame) -> DataFrame:
     return requests.join(repeated, "event_id", "left_anti")
 
 
-def fresh(requests: DataFrame, ledger: DataFrame) -> DataFrame:
+def fresh(requests: DataFrame, ledger: Ledger, number: int) -> DataFrame:
     """What a trigger adds. Requests without an id are never repeats and take no part in any shuffle."""
-    named = requests.where(F.col("event_id").isNotNull())
-    return unseen(first_per_id(named), ledger).unionByName(requests.where(F.col("event_id").isNull()))
+    named = first_per_id(requests.where(F.col("event_id").isNotNull()))
+    added = named.join(ledger.repeated(named.select("event_id"), number), "event_id", "left_anti")
+    return added.unionByName(requests.where(F.col("event_id").isNull()))
 
 
 # -- running ------------------------------------------------------------------------------------------------
@@ -185,22 +188,31 @@ def fresh_within(requests: DataFrame, ledger: DataFrame, delay: str) -> DataFram
 
 
 def _ledger_writer(
-    spark: SparkSession, folder: str, secret: str, delay: str | None = None
+    spark: SparkSession, folder: str, secret: str, delay: str | None = None, **sizes: int
 ) -> Callable[[DataFrame, int], None]:
     """Per trigger: one folder of accepted and one of rejected rows, named by the trigger. With a ``delay`` ids are
-    forgotten after it.
+    forgotten after it; without one they are also noted in a :class:`Ledger`, of which a trigger reads no more than the
+    buckets that may hold its ids.
 
-    A replayed trigger overwrites its own folder and does not see itself in the ledger, so it writes the same
+    A replayed trigger overwrites its own folders and does not see itself in the ledger, so it writes the same
     rows again.
     """
+    noted = Ledger(spark, f"{folder}/ledger", **sizes)
 
     def write(batch: DataFrame, number: int) -> None:
         routed = route(batch, secret).persist()
         try:
             ledger = _read(spark, f"{folder}/accepted", EVENT_COLUMNS, ", batch long").where(F.col("batch") < number)
             requests = accepted(routed)
-            added = fresh_within(requests, ledger, delay) if delay else fresh(requests, ledger)
+            if delay:
+                added = fresh_within(requests, ledger, delay)
+            else:
+                if noted.empty() and not ledger.isEmpty():  # accepted before there was one
+                    noted.add(ledger.select("event_id"), number - 1)
+                added = fresh(requests, noted, number)
             event_rows(added).write.mode("overwrite").parquet(f"{folder}/accepted/batch={number}")
+            if not delay:
+                noted.add(_read(spark, f"{folder}/accepted/batch={number}", EVENT_COLUMNS), number)
             rejected(routed).write.mode("overwrite").parquet(f"{folder}/rejected/batch={number}")
         finally:
             routed.unpersist()
@@ -238,15 +250,21 @@ def start(
     secret: str = DEVELOPMENT_SECRET,
     repeats: str = "ledger",
     delay: str = "7 days",
+    **sizes: int,
 ) -> list[StreamingQuery]:
-    """Take in everything that is available, then stop. Call again with the same folders to go on."""
+    """Take in everything that is available, then stop. Call again with the same folders to go on.
+
+    ``sizes`` are those of the :class:`Ledger`. In ``state`` mode any of the requests of an id may be the one that is
+    kept; the other two keep the earliest.
+    """
     if repeats not in ("ledger", "state", "watermark"):
         raise ValueError(f"repeats must be ledger, state or watermark, not {repeats}")
     if repeats != "state":
         # An empty first folder gives the ledger a schema before anything was accepted.
         schema_only = spark.createDataFrame([], _ddl(EVENT_COLUMNS))
         schema_only.write.mode("ignore").parquet(f"{folder}/accepted/batch=-1")
-        writer = requests.writeStream.foreachBatch(_ledger_writer(spark, folder, secret, delay if repeats == "watermark" else None))
+        write = _ledger_writer(spark, folder, secret, delay if repeats == "watermark" else None, **sizes)
+        writer = requests.writeStream.foreachBatch(write)
         return [writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()]
     routed = route(requests, secret)
     taken = accepted(routed)
