@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.functions.columns import present
 from ledgerline.oracle import analysis as analysis_sql
+from ledgerline.oracle import cubes as cubes_sql
 from ledgerline.oracle import jobs as jobs_sql
 from ledgerline.oracle import metrics as metrics_sql
 from ledgerline.oracle import quality as quality_sql
 from ledgerline.oracle import reports as reports_sql
 from ledgerline.oracle.build import table_query
 from ledgerline.oracle.tables import OUTPUT
-from ledgerline.plans import analysis, jobs, metrics, quality, reports, screening
+from ledgerline.plans import analysis, cubes, jobs, metrics, quality, reports, screening
 from ledgerline.plans.warehouse import LAYERS, Warehouse
 from ledgerline.settings import Settings
 from ledgerline.sources.fixtures import FixtureSource
@@ -56,6 +57,7 @@ def models() -> dict[str, Model]:
         **quality.QUERIES,
         **metrics.QUERIES,
         **reports.QUERIES,
+        **cubes.QUERIES,
         **screening.QUERIES,
         **jobs.QUERIES,
     }
@@ -69,5 +71,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    parts = (analysis_sql, quality_sql, metrics_sql, reports_sql, jobs_sql)
+    parts = (analysis_sql, quality_sql, metrics_sql, reports_sql, cubes_sql, jobs_sql)
     return {n: table_query(n) for n in OUTPUT} | {n: sql for part in parts for n, sql in part.SQL.items()}
