@@ -1,12 +1,13 @@
 """Deliberate defects for exercising the quality checks.
 
-Rows are picked by a hash of their key, so the choice does not depend on partitioning, repeats on a re-run and
-needs no counts up front. The share of picked rows is therefore near the wanted rate, not exact.
+Rows are picked by a hash of their key, so the choice does not depend on partitioning and repeats on a re-run. By default
+the hash has to be below the wanted rate, which needs no counts up front and comes near it. With :func:`exact_picks` as
+many rows as wanted are picked: those with the least hashes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Key of the orphans, status of broken orders, share of defects and the seed.
@@ -43,6 +44,17 @@ DATASETS = {
     "late_shipment_date": ("shipments", "Shipped on the day of delivery"),
 }
 
+KEYS = {
+    "orders": "order_id",
+    "order_items": "order_item_id",
+    "payments": "payment_id",
+    "refunds": "refund_id",
+    "customers": "customer_id",
+    "products": "product_id",
+    "inventory": "inventory_id",
+    "shipments": "shipment_id",
+}
+
 
 def draw(key: Column, name: str, seed: int = SEED) -> Column:
     """A number from 0 to 2^32 - 1 that depends on the key, the defect and the seed only."""
@@ -54,6 +66,65 @@ def picked(key: Column, name: str, share: float = DEFECT_SHARE, seed: int = SEED
     return draw(key, name, seed) < F.lit(int(RATES[name] * share * 2**32))
 
 
+def key_of(name: str) -> Column:
+    """What the draw of a defect depends on."""
+    # Drawn per copy, after the copies were made, so the copies of one order can differ.
+    copies = F.concat_ws("#", F.col("order_id").cast("string"), F.col("_copy").cast("string"))
+    return copies if name == "invalid_order_status" else F.col(KEYS[DATASETS[name][0]])
+
+
+def _or_rate(pick: Column | None, name: str) -> Column:
+    return picked(key_of(name), name) if pick is None else pick
+
+
+def least_draws(rows: DataFrame, name: str, number: int, seed: int = SEED) -> Column:
+    """A condition that ``number`` of the rows meet, or all if there are fewer: those with the least draws, of equal ones
+    those with the least keys as text. Keys have to be unique.
+
+    The draws are counted by their upper 16 bits and, where the wanted number is reached, by the lower 16. So two
+    histograms of at most 65 536 rows find the last draw, and only the rows that have just that draw, about one in four
+    billion, are put in order. Rows without a key are never picked.
+    """
+    if number <= 0:
+        return F.lit(False)
+    drawn = rows.select(draw(key_of(name), name, seed).alias("d"), key_of(name).cast("string").alias("k")).where("k is not null")
+
+    def reached(part: DataFrame, bits: Column, wanted: int):
+        sizes = part.groupBy(bits.alias("bits")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.orderBy("bits"))
+        return sizes.withColumn("upto", upto).where(F.col("upto") >= wanted).orderBy("bits").first()
+
+    high = reached(drawn, F.shiftright("d", 16), number)
+    if high is None:
+        return key_of(name).isNotNull()
+    left = number - (high["upto"] - high["n"])
+    low = reached(drawn.where(F.shiftright("d", 16) == high["bits"]), F.col("d").bitwiseAND(F.lit(0xFFFF)), left)
+    left -= low["upto"] - low["n"]
+    last = (high["bits"] << 16) + low["bits"]
+    key = drawn.where(F.col("d") == last).orderBy("k").limit(left).agg(F.max("k")).first()[0]
+    mine = draw(key_of(name), name, seed)
+    return (mine < last) | ((mine == last) & (key_of(name).cast("string") <= key))
+
+
+def wanted(rows: int, name: str, share: float = DEFECT_SHARE) -> int:
+    """How many rows get a defect: the share, rounded down, but at least one."""
+    return max(1, int(rows * share * RATES[name]))
+
+
+def exact_picks(clean: dict[str, DataFrame], share: float = DEFECT_SHARE, seed: int = SEED) -> dict[str, Column]:
+    """For each defect a condition that exactly :func:`wanted` rows of its clean dataset meet; for the status those of the
+    orders with their copies, and for the late shipments those of the delivered ones."""
+    picks: dict[str, Column] = {}
+    for name, (dataset, _) in DATASETS.items():
+        rows = clean[dataset]
+        if name == "invalid_order_status":
+            rows = duplicate_orders(rows, picks["duplicate_orders"])
+        if name == "late_shipment_date":
+            rows = rows.where(F.col("delivered_date").isNotNull())
+        picks[name] = least_draws(rows, name, wanted(rows.count(), name, share), seed)
+    return picks
+
+
 def _scaled(amount: str, tenths_of_permille: Column) -> Column:
     factor = (tenths_of_permille.cast("decimal(6,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(6,4)")
     return (F.col(amount) * factor).cast("decimal(18,2)")
@@ -71,73 +142,98 @@ def _replace(df: DataFrame, column: str, pick: Column, value: Column) -> DataFra
     return df.withColumn(column, F.when(pick, value.cast(df.schema[column].dataType)).otherwise(kept))
 
 
-def duplicate_orders(orders: DataFrame) -> DataFrame:
-    return _twice(orders, picked(F.col("order_id"), "duplicate_orders"))
+def duplicate_orders(orders: DataFrame, pick: Column | None = None) -> DataFrame:
+    return _twice(orders, _or_rate(pick, "duplicate_orders"))
 
 
-def invalid_order_status(orders_with_copies: DataFrame) -> DataFrame:
+def invalid_order_status(orders_with_copies: DataFrame, pick: Column | None = None) -> DataFrame:
     # Drawn per copy, after the copies were made, so the copies of one order can differ.
-    key = F.concat_ws("#", F.col("order_id").cast("string"), F.col("_copy").cast("string"))
-    return _replace(orders_with_copies, "order_status", picked(key, "invalid_order_status"), F.lit(BAD_STATUS))
+    return _replace(orders_with_copies, "order_status", _or_rate(pick, "invalid_order_status"), F.lit(BAD_STATUS))
 
 
-def orphan_order_items(items: DataFrame) -> DataFrame:
+def orphan_order_items(items: DataFrame, pick: Column | None = None) -> DataFrame:
     keyed = items.withColumn("order_id", F.col("order_id").cast("string"))
-    return _replace(keyed, "order_id", picked(F.col("order_item_id"), "orphan_order_items"), F.lit(NO_ORDER_ITEM))
+    return _replace(keyed, "order_id", _or_rate(pick, "orphan_order_items"), F.lit(NO_ORDER_ITEM))
 
 
-def orphan_payments(payments: DataFrame) -> DataFrame:
+def orphan_payments(payments: DataFrame, pick: Column | None = None) -> DataFrame:
     keyed = payments.withColumn("order_id", F.col("order_id").cast("string"))
-    return _replace(keyed, "order_id", picked(F.col("payment_id"), "orphan_payments"), F.lit(NO_ORDER_PAYMENT))
+    return _replace(keyed, "order_id", _or_rate(pick, "orphan_payments"), F.lit(NO_ORDER_PAYMENT))
 
 
-def payment_amount_mismatch(payments: DataFrame) -> DataFrame:
-    key = F.col("payment_id")
-    factor = F.lit(8000) + draw(key, "payment_factor") % 1500  # 0.80 up to 0.95
-    return _replace(payments, "amount", picked(key, "payment_amount_mismatch"), _scaled("amount", factor))
+def payment_amount_mismatch(payments: DataFrame, pick: Column | None = None) -> DataFrame:
+    factor = F.lit(8000) + draw(F.col("payment_id"), "payment_factor") % 1500  # 0.80 up to 0.95
+    return _replace(payments, "amount", _or_rate(pick, "payment_amount_mismatch"), _scaled("amount", factor))
 
 
-def duplicate_payments(payments: DataFrame) -> DataFrame:
-    return _twice(payments, picked(F.col("payment_id"), "duplicate_payments"))
+def duplicate_payments(payments: DataFrame, pick: Column | None = None) -> DataFrame:
+    return _twice(payments, _or_rate(pick, "duplicate_payments"))
 
 
-def refund_exceeds_payment(refunds: DataFrame) -> DataFrame:
+def refund_exceeds_payment(refunds: DataFrame, pick: Column | None = None) -> DataFrame:
     factor = F.lit(11000) + draw(F.lit("all"), "refund_factor") % 9000  # one factor from 1.1 up to 2.0
-    return _replace(refunds, "amount", picked(F.col("refund_id"), "refund_exceeds_payment"), _scaled("amount", factor))
+    return _replace(refunds, "amount", _or_rate(pick, "refund_exceeds_payment"), _scaled("amount", factor))
 
 
-def null_customer_email(customers: DataFrame) -> DataFrame:
-    return _replace(customers, "email", picked(F.col("customer_id"), "null_customer_email"), F.lit(None))
+def null_customer_email(customers: DataFrame, pick: Column | None = None) -> DataFrame:
+    return _replace(customers, "email", _or_rate(pick, "null_customer_email"), F.lit(None))
 
 
-def null_product_sku(products: DataFrame) -> DataFrame:
-    return _replace(products, "sku", picked(F.col("product_id"), "null_product_sku"), F.lit(None))
+def null_product_sku(products: DataFrame, pick: Column | None = None) -> DataFrame:
+    return _replace(products, "sku", _or_rate(pick, "null_product_sku"), F.lit(None))
 
 
-def negative_inventory(inventory: DataFrame) -> DataFrame:
-    pick = picked(F.col("inventory_id"), "negative_inventory")
-    return _replace(inventory, "closing_qty", pick, -F.abs("closing_qty"))
+def negative_inventory(inventory: DataFrame, pick: Column | None = None) -> DataFrame:
+    return _replace(inventory, "closing_qty", _or_rate(pick, "negative_inventory"), -F.abs("closing_qty"))
 
 
-def late_shipment_date(shipments: DataFrame) -> DataFrame:
-    pick = picked(F.col("shipment_id"), "late_shipment_date") & F.col("delivered_date").isNotNull()
-    return _replace(shipments, "shipped_date", pick, F.col("delivered_date"))
+def late_shipment_date(shipments: DataFrame, pick: Column | None = None) -> DataFrame:
+    chosen = _or_rate(pick, "late_shipment_date") & F.col("delivered_date").isNotNull()
+    return _replace(shipments, "shipped_date", chosen, F.col("delivered_date"))
 
 
-def inject(clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All defects on a set of clean entities, keyed by entity name; entities without defects pass through."""
-    payments = duplicate_payments(payment_amount_mismatch(orphan_payments(clean["payments"]))).drop("_copy")
-    return {
-        **clean,
-        "orders": invalid_order_status(duplicate_orders(clean["orders"])).drop("_copy"),
-        "order_items": orphan_order_items(clean["order_items"]),
-        "payments": payments,
-        "refunds": refund_exceeds_payment(clean["refunds"]),
-        "customers": null_customer_email(clean["customers"]),
-        "products": null_product_sku(clean["products"]),
-        "inventory": negative_inventory(clean["inventory"]),
-        "shipments": late_shipment_date(clean["shipments"]),
-    }
+def inject(clean: dict[str, DataFrame], picks: dict[str, Column] | None = None) -> dict[str, DataFrame]:
+    """All defects on a set of clean entities, keyed by entity name; entities without defects pass through. ``picks`` may
+    say which rows get them, else it is the rate."""
+    made, pick = dict(clean), (picks or {}).get
+    for name, defect in DEFECTS.items():
+        dataset = DATASETS[name][0]
+        made[dataset] = defect(made[dataset], pick(name))
+    return {name: frame.drop("_copy") for name, frame in made.items()}
+
+
+# In the order in which they are made: copies last for payments, before the states for orders.
+DEFECTS = {
+    "duplicate_orders": duplicate_orders,
+    "invalid_order_status": invalid_order_status,
+    "orphan_order_items": orphan_order_items,
+    "orphan_payments": orphan_payments,
+    "payment_amount_mismatch": payment_amount_mismatch,
+    "duplicate_payments": duplicate_payments,
+    "refund_exceeds_payment": refund_exceeds_payment,
+    "null_customer_email": null_customer_email,
+    "null_product_sku": null_product_sku,
+    "negative_inventory": negative_inventory,
+    "late_shipment_date": late_shipment_date,
+}
+
+
+def affected(clean: dict[str, DataFrame], picks: dict[str, Column]) -> DataFrame:
+    """How many rows each defect was wanted for and how many it gets."""
+    parts = []
+    for name in DEFECTS:
+        rows = clean[DATASETS[name][0]]
+        if name == "invalid_order_status":
+            rows = duplicate_orders(rows, picks["duplicate_orders"])
+        if name == "late_shipment_date":
+            rows = rows.where(F.col("delivered_date").isNotNull())
+        share = F.floor(F.count("*") * F.lit(DEFECT_SHARE) * F.lit(RATES[name]))
+        wish = F.greatest(share, F.lit(1)).cast("long").alias("wanted")
+        parts.append(rows.agg(wish, F.count_if(picks[name]).alias("affected")).select(F.lit(name).alias("defect_type"), "*"))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 def defect_report(clean: dict[str, DataFrame]) -> DataFrame:

@@ -83,6 +83,34 @@ def _defect_query(sql: str) -> str:
     return query(sql, _DEFECT_CTES)
 
 
+def _least(key: str, name: str, table: str) -> str:
+    """The rows with the least draws, as many as wanted; ``wish`` and ``place`` say which."""
+    return f"""
+        select *, greatest(1, floor(count(*) over () * {DEFECT_SHARE}::double * {RATES[name]}::double))::bigint as wish,
+          row_number() over (order by {_draw(key, name)}, ({key})::varchar) as place from {table}"""
+
+
+_EXACT_CTES = {
+    "exact_copies": f"""
+        select o.* exclude (wish, place), c from ({_least('order_id', 'duplicate_orders', '(select * from raw_orders where _batch_id = 1)')}) o
+        cross join (values (0), (1)) t(c) where c = 0 or place <= wish""",
+    "exact_states": _least("order_id || '#' || c", "invalid_order_status", "exact_copies"),
+}
+_EXACT_TABLES = {
+    "duplicate_orders": "raw_orders where _batch_id = 1",
+    "invalid_order_status": "exact_copies",
+    "orphan_order_items": "(select distinct order_item_id from raw_order_items)",
+    "orphan_payments": "raw_payments where _batch_id = 1",
+    "payment_amount_mismatch": "raw_payments where _batch_id = 1",
+    "duplicate_payments": "raw_payments where _batch_id = 1",
+    "refund_exceeds_payment": "raw_refunds",
+    "null_customer_email": "raw_customers where _batch_id = 1",
+    "null_product_sku": "raw_products",
+    "negative_inventory": "raw_inventory",
+    "late_shipment_date": "raw_shipments where delivered_date is not null",
+}
+
+
 # -- event intake -------------------------------------------------------------------------------------------
 
 _INNER, _OUTER = pads(FIXTURE_SECRET)
@@ -230,6 +258,17 @@ SQL = {
             for n, sql in _COUNTS.items()
         )
     ),
+    "inj_exact_orders": query(
+        "select order_id, if(place <= wish, 'UNKNOWN_STATUS', order_status) as order_status from exact_states", _EXACT_CTES
+    ),
+    "inj_exact_counts": query(
+        " union all ".join(
+            f"select '{n}' as defect_type, greatest(1, floor(count(*) * {DEFECT_SHARE}::double * {RATES[n]}::double))::bigint"
+            f" as wanted, wanted as affected from {table}"
+            for n, table in _EXACT_TABLES.items()
+        ),
+        _EXACT_CTES,
+    ),
     "wh_signatures": _webhook_query(f"""
         select event_id, {_STAMP} as received_at, {_HMAC} as expected,
           case when k%131=7 then 'sha256=' || repeat('0', 64) when k%137=9 then null

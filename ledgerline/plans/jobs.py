@@ -248,6 +248,23 @@ def defect_report(warehouse) -> DataFrame:
     return defects.defect_report(warehouse.source.clean())
 
 
+@cache
+def _exact(warehouse) -> tuple[dict[str, DataFrame], dict]:
+    clean = warehouse.source.clean()
+    # Lines that repeat an id are told apart by nothing.
+    clean["order_items"] = clean["order_items"].dropDuplicates(["order_item_id"])
+    return clean, defects.exact_picks(clean)
+
+
+def exact_orders(warehouse) -> DataFrame:
+    """Orders with exactly the wanted numbers of copies and bad states."""
+    return defects.inject(*_exact(warehouse))["orders"].select("order_id", "order_status")
+
+
+def exact_counts(warehouse) -> DataFrame:
+    return defects.affected(*_exact(warehouse))
+
+
 # -- event intake -------------------------------------------------------------------------------------------
 
 
@@ -339,6 +356,8 @@ QUERIES = {
     "inj_inventory": _injected("inventory", "inventory_id", "closing_qty"),
     "inj_shipments": _injected("shipments", "shipment_id", "shipped_date", "delivered_date"),
     "inj_report": defect_report,
+    "inj_exact_orders": exact_orders,
+    "inj_exact_counts": exact_counts,
     "wh_signatures": signatures,
     "wh_routed": routed,
     "wh_accepted": stream_accepted,

@@ -50,3 +50,32 @@ def test_untouched_columns_keep_their_types(clean):
         assert made[name].schema == clean[name].schema or [f.dataType for f in made[name].schema] == [
             f.dataType for f in clean[name].schema
         ]
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_exact_numbers_at_any_partitioning(clean, partitions):
+    """As many rows as wanted get each defect, and they are the same ones however the rows lie."""
+    dealt = {n: f.dropDuplicates([defects.KEYS[n]]).repartition(partitions) for n, f in clean.items()}
+    picks = defects.exact_picks(dealt, 0.02)
+    found = {r.defect_type: r for r in defects.affected(dealt, picks).collect()}
+    assert set(found) == set(defects.RATES)
+    for name, row in found.items():
+        assert row.affected == row.wanted >= 1, name
+    made = defects.inject(dealt, picks)
+    orders = dealt["orders"].count()
+    assert made["orders"].count() == orders + defects.wanted(orders, "duplicate_orders")
+    assert made["customers"].where("email is null").count() - dealt["customers"].where("email is null").count() <= found["null_customer_email"].wanted
+    keys = sorted(r.order_id for r in dealt["orders"].where(picks["duplicate_orders"]).collect())
+    every = dealt["orders"].select("order_id", defects.draw(F.col("order_id"), "duplicate_orders").alias("d")).collect()
+    least = sorted(every, key=lambda r: (r.d, str(r.order_id)))[: len(keys)]
+    assert keys == sorted(r.order_id for r in least)
+
+
+def test_exact_numbers_of_equal_draws(spark, monkeypatch):
+    """Where all draws are alike the keys decide; more than there are means all; null keys are never picked."""
+    monkeypatch.setattr(defects, "draw", lambda key, name, seed=0: F.lit(70_000).cast("long") + F.length(key.cast("string")) * 0)
+    rows = spark.createDataFrame([(f"{i:03d}",) for i in range(20)] + [(None,)], "product_id string")
+    for number, want in ((0, 0), (1, 1), (7, 7), (20, 20), (500, 20)):
+        pick = defects.least_draws(rows, "null_product_sku", number)
+        found = sorted(r.product_id for r in rows.where(pick).collect())
+        assert found == [f"{i:03d}" for i in range(want)]
