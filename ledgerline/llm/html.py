@@ -24,19 +24,16 @@ from ledgerline.llm.labelled_pages import labelled_pages
 KEEP_FROM = 0.5
 
 # Elements of HTML by how they are read.
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike"
-    " strong sub sup time tt u var wbr picture source".split()
-)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style template noscript iframe object svg math head title".split())  # never text of a page
+# Never text of a page. But for head and title they may stand within a line, which goes on after them.
+SILENT = frozenset(
+    "script style template noscript iframe object svg math head title button select textarea datalist audio video canvas"
+    " progress meter rp".split()
+)
 RAW = frozenset("script style title textarea noscript iframe".split())  # read up to their end tag
 HEAD = frozenset("base link meta title style script noscript template".split())  # what may stand in a head
 DRAWN = frozenset("svg math".split())  # blocks of a page end them, but not inside these:
 EMBEDS = frozenset("foreignobject annotation-xml desc".split())
-HEAD = frozenset("base link meta title style script noscript template".split())  # what may stand in a head
-DRAWN = frozenset("svg math".split())  # blocks of a page end them, but not inside these:
-EMBEDS = frozenset("foreignobject annotation-xml desc".split())
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
     "option": ("option",), "tbody": ("tr", "td", "th", "thead"), "tfoot": ("tr", "td", "th", "tbody"),
@@ -46,6 +43,11 @@ KNOWN = tuple(
     "article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th pre blockquote figure figcaption"
     " nav header footer aside form button select option textarea fieldset body html menu dialog details summary address".split()
 )
+# Elements that begin and end a block; all others, also unknown ones, are part of the line they stand in.
+BLOCKS = frozenset(KNOWN) - SILENT | frozenset(
+    "head title address center hr fieldset legend hgroup search thead tbody tfoot caption colgroup col optgroup dir listing"
+    " plaintext xmp frameset frame noframes marquee".split()
+)
 WORDS = tuple(
     "content article post entry main body text story page"
     " nav menu sidebar footer header ad advert advertisement sponsor promo cookie consent notice banner comment share"
@@ -61,8 +63,6 @@ NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
 NEXT, REST = re.compile(r"(?=<)|\Z"), re.compile(r"\Z")
 BODY = re.compile(r"(?=</head\b|<body\b)|\Z", re.IGNORECASE)
-NEXT, REST = re.compile(r"(?=<)|\Z"), re.compile(r"\Z")
-BODY = re.compile(r"(?=</head\b|<body\b)|\Z", re.IGNORECASE)
 MARK = re.compile(r'\by="([01])"')
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -127,13 +127,13 @@ def parse(html: str | None) -> Tree:
 def _parse(html: str, heard: frozenset[int]) -> tuple[Tree, frozenset[int]]:
     """The tree of a page, and where its unclosed silent elements begin; those that begin at ``heard`` are not silent."""
     tree = Tree()
-    stack: list[tuple[str, int, bool, int]] = []  # tag, node, whether its text is silent, label
-    opened: list[int] = []  # where the silent elements on the stack begin
-    endless: set[str] = set()  # tags of raw text that have no end tag any more
+    stack: list[tuple[str, int, int]] = []  # tag, node, label
+    depths: dict[str, list[int]] = {}  # of the open elements, by tag
     opened: list[tuple[str, int, int]] = []  # of the silent elements on the stack: tag, depth, where they begin
     endless: set[str] = set()  # tags of raw text that have no end tag any more
     pieces: list[str] = []
     linked = links = 0
+    quiet = 0  # the depth from which on nothing is text; 0 if everything is
 
     def node(parent: int, leaf: bool, features: list[int], label: int) -> int:
         tree.parent.append(parent)
@@ -147,15 +147,24 @@ def _parse(html: str, heard: frozenset[int]) -> tuple[Tree, frozenset[int]]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                tag, parent, _, label = stack[-1]
+                tag, parent, label = stack[quiet - 1 if quiet else -1]
                 tree.text[node(parent, True, _leaf_features(text, linked, tag), label)] = text
             pieces.clear()
         linked = 0
 
+    def push(tag: str, at: int, label: int) -> None:
+        depths.setdefault(tag, []).append(len(stack))
+        stack.append((tag, at, label))
+
     def cut(depth: int) -> None:
+        nonlocal quiet
         while opened and opened[-1][1] >= depth:
             opened.pop()
+        for tag, _, _ in stack[depth:]:
+            depths[tag].pop()
         del stack[depth:]
+        if quiet >= depth:
+            quiet = 0
 
     def leave_head() -> None:
         if stack[-1][0] == "head":
@@ -165,13 +174,13 @@ def _parse(html: str, heard: frozenset[int]) -> tuple[Tree, frozenset[int]]:
         nonlocal linked
         if stack[-1][0] == "head" and data.strip():
             leave_head()
-        if data and not stack[-1][2]:
+        if data and not quiet:
             data = unescape(data)
             pieces.append(data)
             if links:
                 linked += len(data.strip())
 
-    stack.append(("", node(-1, False, [FEATURES["element"]], 0), False, 0))
+    push("", node(-1, False, [FEATURES["element"]], 0), 0)
     at, size = 0, len(html)
     while at < size:
         match = TOKEN.search(html, at)
@@ -185,43 +194,49 @@ def _parse(html: str, heard: frozenset[int]) -> tuple[Tree, frozenset[int]]:
             continue
         if stack[-1][0] == "head" and tag not in HEAD and (not match.group(1) or tag in ("body", "html", "br")) and tag != "head":
             leave_head()
-        if stack[-1][0] == "head" and tag not in HEAD and (not match.group(1) or tag in ("body", "html", "br")) and tag != "head":
-            leave_head()
-        if tag in INLINE:
+        if tag not in BLOCKS and tag not in SILENT and tag not in EMBEDS:
             if tag == "br":
                 add(" ")
-            elif tag == "a":
+            elif tag == "a" and not quiet:
                 links = 0 if match.group(1) else 1
             continue
+        within = tag in SILENT and tag not in BLOCKS  # a line goes on after it
         if match.group(1):  # an end tag closes up to its start, if there is one
-            if any(entry[0] == tag for entry in stack):
+            if depths.get(tag):
+                depth = depths[tag][-1]
+                if not within and (not quiet or depth < quiet):
+                    flush()
+                    links = 0
+                cut(depth)
+            continue
+        if tag in VOID:
+            if not quiet:
                 flush()
-                cut(max(depth for depth, entry in enumerate(stack) if entry[0] == tag))
-                links = 0
             continue
-        flush()
-        if tag in VOID or tag == "head" and stack[-1][0] not in ("", "html"):
+        if tag == "head" and stack[-1][0] not in ("", "html"):
             continue
-        links = 0
         if opened and tag == "body" and opened[0][0] == "head":  # ends it, whatever is open in it
             cut(opened[0][1])
-        elif opened and opened[-1][0] in DRAWN and f"tag:{tag}" in FEATURES:
+        elif opened and opened[-1][0] in DRAWN and f"tag:{tag}" in FEATURES and tag in BLOCKS:
             cut(opened[-1][1])
-        # A block ends an open paragraph; items, cells and the like end their predecessors.
-        while stack[-1][0] == "p":
-            stack.pop()
-        for depth in range(len(stack) - 1, 0, -1) if tag in CLOSES else ():
-            if stack[depth][0] in CLOSES[tag]:
-                cut(depth)
-                break
-            if stack[depth][0] in SCOPES:
-                break
-        _, parent, silent, label = stack[-1]
+        if not within and not quiet:
+            flush()
+            links = 0
+            # A block ends an open paragraph; items, cells and the like end their predecessors.
+            while stack[-1][0] == "p":
+                cut(len(stack) - 1)
+            for depth in range(len(stack) - 1, 0, -1) if any(depths.get(t) for t in CLOSES.get(tag, ())) else ():
+                if stack[depth][0] in CLOSES[tag]:
+                    cut(depth)
+                    break
+                if stack[depth][0] in SCOPES:
+                    break
+        _, parent, label = stack[-1]
         attributes = match.group(3)
-        if found := MARK.search(attributes):
-            label = int(found.group(1))
-        silent = silent or tag in SILENT and match.start() not in heard
-        if not silent:
+        silent = tag in SILENT and match.start() not in heard
+        if not quiet and not silent and tag in BLOCKS:
+            if found := MARK.search(attributes):
+                label = int(found.group(1))
             features = [FEATURES["element"], FEATURES.get(f"tag:{tag}", FEATURES["other_tag"])]
             if attributes:
                 features += _name_words(attributes)
@@ -234,13 +249,13 @@ def _parse(html: str, heard: frozenset[int]) -> tuple[Tree, frozenset[int]]:
                 # Without an end tag a title ends at the next tag, other silent text where the body begins.
                 endless.add(tag)
                 end = (NEXT if tag == "title" else REST if tag == "textarea" else BODY).search(html, at)
-            stack.append((tag, parent, silent, label))
-            add(html[at : end.start()])
-            flush()
-            stack.pop()
+            if not silent:
+                add(html[at : end.start()])
             at = end.end()
         elif not attributes.endswith("/"):
-            stack.append((tag, parent, silent, label))
+            push(tag, parent, label)
+            if silent and not quiet:
+                quiet = len(stack) - 1
             if tag in SILENT or tag in EMBEDS:
                 opened.append((tag, len(stack) - 1, match.start()))
     flush()
@@ -277,7 +292,8 @@ def forest(trees: list[Tree]) -> Forest:
             rows += [first + i] * len(features)
             columns += features
     deep = np.array(depth, dtype=np.int64)
-    levels = [np.flatnonzero(deep == d) for d in range(1, int(deep.max(initial=0)) + 1)]
+    order = np.argsort(deep, kind="stable")
+    levels = np.split(order, np.cumsum(np.bincount(deep))[:-1])[1:] if len(deep) else []
     arrays = (np.array(x, dtype=np.int64) for x in (parent, kind))
     return Forest(*arrays, levels, np.array(rows, dtype=np.int64), np.array(columns, dtype=np.int64), starts)
 
@@ -298,8 +314,7 @@ class Model:
         for level in reversed(trees.levels):
             ways = up[level][:, None, :] + self.pair[trees.kind[level]]  # [node, parent's state, own state]
             sent[level] = np.logaddexp(ways[:, :, 0], ways[:, :, 1])
-            for state in (0, 1):
-                up[:, state] += np.bincount(trees.parent[level], sent[level, state], n)
+            np.add.at(up, trees.parent[level], sent[level])
         belief = up.copy()
         for level in trees.levels:
             above = belief[trees.parent[level]] - sent[level]
@@ -362,8 +377,9 @@ def main_text(html: Column, model: Model, keep_from: float = KEEP_FROM) -> Colum
 
 
 def extracted(pages: DataFrame, model: Model | None = None) -> DataFrame:
-    """page_id, url, ``text`` and ``n_chars`` of all rows of ``pages`` (page_id, url, html). Null and empty pages have
-    an empty text; an empty table gives no rows."""
+    """page_id, url, ``text`` and ``n_chars`` of all rows of ``pages`` (page_id, url, html, more). Null and empty pages have
+    an empty text; repeated rows are read each, other columns left behind, and an empty table gives no rows. The work goes
+    with the length of a page, however deep its elements are nested."""
     model = model or fit(labelled_pages())
     found = pages.select("page_id", "url", main_text(F.col("html"), model).alias("text"))
     return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 
@@ -91,35 +93,43 @@ def test_text_ends_a_head():
         assert list(html.parse(page).text.values()) == ["bare text"]
 
 
-PROSE = "A first sentence that is long enough to be prose, and goes on for a while. Then a second one follows it."
-ARTICLE = f"<article><h1>A title of the page</h1><p>{PROSE}</p><p>More: {PROSE}</p></article>"
-
-
 @pytest.mark.parametrize(
-    "page",
+    "inner, text",
     [
-        f"<html><head><title>T</title><body>{ARTICLE}</body></html>",
-        f"<html><head><title>T</title><meta charset=x>{ARTICLE}",
-        f"<html><head><title>T</title><template><b>x</b><body>{ARTICLE}",
-        f"<html><head><title>T</title></head><head><body><head>{ARTICLE}",
-        f"<html><head><title>T<body>{ARTICLE}",
-        f"<html><head><style>p {{}}<body>{ARTICLE}",
-        f"<body><template>{ARTICLE}",
-        f"<body><div><object data=x></div>{ARTICLE}",
-        f"<body><object data=x>{ARTICLE}",
-        f"<body><object><object></object>{ARTICLE}",
-        f"<body><svg><path d=x><text>label</text>{ARTICLE}",
-        f"<body><math><mi>x</mi>{ARTICLE}",
-        f"<body><svg><foreignObject><p>drawn</p></foreignObject></svg><template><p>{PROSE}</p></template>{ARTICLE}",
+        ("First part <script>var a = '<p>';</script> and the second", "First part and the second"),
+        ("First part <svg><path d=x/><text>label</text></svg> and the second", "First part and the second"),
+        ("First <svg><title>t</title><g><desc>d</desc></g></svg>part", "First part"),
+        ("Read <ruby>kanji<rp>(</rp><rt>reading</rt><rp>)</rp></ruby> here", "Read kanjireading here"),
+        ("See <my-term class=x>this term</my-term> and <x-y><b>that</b></x-y>.", "See this term and that."),
+        ("Press <button>the <b>key</b></button> now", "Press now"),
+        ("Watch <video><source src=x>No video</video> it", "Watch it"),
+        ("A <select><option>one<option>two</select> choice <textarea><p>x</textarea> here", "A choice here"),
+        ("One <template><p>two</p><div>three</div></template> four <math><mi>x</mi></math> five", "One four five"),
+        ("An <unknown>element <other/> that</unknown> goes on", "An element that goes on"),
+        ("Bare <noscript><p>text</p></noscript> word<iframe src=x>y</iframe>s", "Bare words"),
     ],
 )
-def test_silent_elements_without_end_tag(model, page):
-    assert html.extract([page], model) == [f"A title of the page\n\n{PROSE}\n\nMore: {PROSE}"]
-
-
-def test_text_ends_a_head():
-    for page in ("<head><title>T</title>bare text", "<head><title>T</title><span>bare text</span>", "<head>\n<link href=x> bare text</head>"):
-        assert list(html.parse(page).text.values()) == ["bare text"]
+def test_lines_go_on_after_what_stands_within_them(inner, text):
+    for outer in ("<p>{}</p>", "<body><div>{}</div><p>", "<ul><li>{}</ul>"):
+        assert list(html.parse(outer.format(inner)).text.values()) == [text]
+
+
+@pytest.mark.parametrize("inner, texts", [
+    ("one<div>two</div>three", ["one", "two", "three"]), ("one<hr>two", ["one", "two"]), ("one<p>two<p>three", ["one", "two", "three"]),
+    ("one<svg><g><div>two</div>three", ["one", "two", "three"]), ("<p>one <svg><path></p><p>two</p>", ["one", "two"]),
+    ("one<legend>two</legend>", ["one", "two"]), ("<b>one</b><h2>two</h2>", ["one", "two"]),
+])
+def test_blocks_end_a_line(inner, texts):
+    assert list(html.parse(f"<body>{inner}").text.values()) == texts
+
+
+@pytest.mark.parametrize("tag", ["div", "p", "svg", "span", "li", "x-y", "template", "table", "figure"])
+def test_time_goes_with_the_length(model, tag):
+    """Fifty thousand nested elements, closed and not."""
+    for page in (f"<{tag}>" * 50_000 + "text" + f"</{tag}>" * 50_000, f"<{tag}>a" * 50_000):
+        start = time.perf_counter()
+        assert isinstance(html.extract([page], model)[0], str)
+        assert time.perf_counter() - start < 6
 
 
 def test_tables_and_edges(spark, model):
