@@ -74,8 +74,9 @@ def mix(
 
     ``size`` is an expression over ``docs``; ``sized`` may hold the sizes already (source, size, doc_id), else they are
     computed twice, once for the totals. A null source is a source of its own, the last; a null document id sorts as
-    the empty text. Rows that repeat are documents of their own. An empty table gives an empty result. The rows have
-    the same copies on each run, whatever their order and partitioning.
+    the empty text. Rows that repeat are documents of their own; rows of equal id and size are in the order of the hashes of
+    their columns. An empty table gives an empty result. The rows have the same copies on each run, whatever their order
+    and partitioning.
     """
     inner = inner_name(docs.columns, "row")
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -92,9 +93,11 @@ def mix(
     earlier = Window.partitionBy("key").orderBy("class", "bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.withColumn("start", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).drop("rows", "words")
     starts = starts.join(sources, "key")
-    # Documents of equal size and id differ only in what the caller's other columns hold.
-    within = Window.partitionBy(*keys).orderBy("size", "digest")
-    ranked = keyed(docs, size, F.struct("*").alias(inner)).withColumn("rank", F.row_number().over(within))
+    # Documents of equal size and id are in the order of the hashes of all that they hold.
+    tie = inner_name([*keys, "size", "digest", inner], "tie")
+    whole = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    within = Window.partitionBy(*keys).orderBy("size", "digest", tie)
+    ranked = keyed(docs, size, F.struct("*").alias(inner), whole.alias(tie)).withColumn("rank", F.row_number().over(within))
     end = (F.col("start") + F.col("rank")) * F.col("share") + F.lit(offset(seed))
     begin = (F.col("start") + F.col("rank") - 1) * F.col("share") + F.lit(offset(seed))
     copies = (F.floor(end) - F.floor(begin)).cast("int")

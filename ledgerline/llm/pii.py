@@ -2,8 +2,8 @@
 
 Base kinds (email, ip, card, phone) are defined by their pattern and check alone and always stay, and so does an iban
 that passes its check. Further kinds (national id, birth date) and card numbers that stand inside a longer run of digits
-(whole groups of it that pass the checksum) need a score of at least ``THRESHOLD`` that the context words before them can
-raise or lower.
+(whole groups of it that pass the checksum) need a score of at least ``THRESHOLD`` that context words before or after them
+can raise or lower; a birth date also has to be in the calendar.
 
 Every pattern is written, or guarded, so that a search takes time in proportion to the text.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from calendar import monthrange
 from collections.abc import Iterator
 from itertools import accumulate
 from typing import NamedTuple
@@ -26,7 +27,7 @@ from ledgerline.llm.common import inner_name
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "national_id", "birth_date")
 THRESHOLD = 0.5
-CONTEXT = 40  # characters before a span in which context words count
+CONTEXT = 40  # characters before and after a span in which context words count
 
 # The patterns of the base kinds. Digit runs are entered at their first digit only and addresses are
 # found from their @ sign, which gives the same leftmost matches in linear time.
@@ -71,14 +72,23 @@ RAISE, LOWER = 0.3, 0.3
 # Card numbers inside a longer run: score of the checksum, what the grouping and the issuer add.
 INSIDE, GROUPED, ISSUED = 0.1, 0.4, 0.3
 NEARBY = {
-    "email": (("mail", "contact", "write"), ("example", "version")),
+    "email": (("mail", "email", "contact", "write"), ("example", "version")),
     "ip": (("ip", "address", "host", "server"), ("version", "section", "release")),
     "card": (("card", "visa", "credit", "payment"), ("isbn", "order", "item")),
-    "phone": (("phone", "call", "tel", "mobile"), ("isbn", "version")),
+    "phone": (("phone", "telephone", "call", "tel", "mobile"), ("isbn", "version")),
     "iban": (("iban", "account", "bank", "konto", "compte", "cuenta"), ("isbn", "order")),
     "national_id": (("ssn", "social security", "national id"), ("isbn", "order", "part")),
-    "birth_date": (("born", "birth", "dob", "geboren", "nacido", "né le"), ("version", "release", "published")),
+    "birth_date": (
+        ("born", "birth", "birthday", "dob", "geboren", "geburtsdatum", "nacido", "nacida", "né le", "née le"),
+        ("version", "release", "released", "published"),
+    ),
 }
+# Whole words, or their plural: no "tel" in "hotel" and no "born" in "airborne".
+WORDS = {
+    kind: [re.compile(r"(?<!\w)(?:%s)s?(?!\w)" % "|".join(map(re.escape, some)), re.IGNORECASE) for some in words]
+    for kind, words in NEARBY.items()
+}
+YEARS = range(1880, 2101)  # of birth dates
 
 
 class Span(NamedTuple):
@@ -178,14 +188,30 @@ def inner_cards(text: str) -> Iterator[tuple[int, int, float]]:
                     continue
                 score = INSIDE + ISSUED * bool(ISSUER.fullmatch(digits, low, high))
                 score += GROUPED * (tuple(b - a for a, b in groups[first : last + 1]) in CARD_GROUPS)
-                near = _context(text, "card", start)
+                near = _context(text, "card", start, groups[last][1])
                 yield start, groups[last][1], score + (2 * near if near > 0 else near)
 
 
-def _context(text: str, kind: str, start: int) -> float:
-    before = text[max(0, start - CONTEXT) : start].lower()
-    good, bad = NEARBY[kind]
-    return RAISE * any(w in before for w in good) - LOWER * any(w in before for w in bad)
+def _context(text: str, kind: str, start: int, end: int) -> float:
+    """What the words around a span add to its score. Those after it, which may belong to what follows, count where none
+    before it says anything."""
+    last = min(end + CONTEXT, len(text))
+    for _ in range(CONTEXT):  # a word is not cut where the window ends
+        if last == len(text) or not text[last].isalnum():
+            break
+        last += 1
+    for a, b in ((max(0, start - CONTEXT), start), (end, last)):
+        good, bad = (bool(words.search(text, a, b)) for words in WORDS[kind])
+        if good or bad:
+            return RAISE * good - LOWER * bad
+    return 0.0
+
+
+def in_calendar(text: str) -> bool:
+    """Whether a date exists, with the day or the month first where the year is last."""
+    first, second, third = map(int, re.split(r"[./-]", text))
+    ways = [(first, second, third)] if first > 31 else [(third, second, first), (third, first, second)]
+    return any(y in YEARS and 1 <= m <= 12 and 1 <= d <= monthrange(y, m)[1] for y, m, d in ways)
 
 
 def spans(text: str | None, threshold: float = THRESHOLD) -> list[Span]:
@@ -198,17 +224,17 @@ def spans(text: str | None, threshold: float = THRESHOLD) -> list[Span]:
 def _spans(text: str, threshold: float) -> tuple[list[Span], list[Span]]:
     """The base spans and the method's own."""
     base = [
-        Span(kind, a, b, round(min(1.0, max(0.0, PROPOSED[kind] + _context(text, kind, a))), 3))
+        Span(kind, a, b, round(min(1.0, max(0.0, PROPOSED[kind] + _context(text, kind, a, b))), 3))
         for kind, a, b in base_spans(text)
     ]
     own = [("iban", a, b) for a, b in ibans(text)]
     taken = [(a, b) for _, a, b in own] + [(s.start, s.end) for s in base]
     if "-" in text:
         own += [("national_id", *m.span()) for m in NATIONAL_ID.finditer(text)]
-    own += [("birth_date", *m.span()) for m in BIRTH_DATE.finditer(text)]
+    own += [("birth_date", *m.span()) for m in BIRTH_DATE.finditer(text) if in_calendar(m.group())]
     found = []
     for kind, a, b in own:
-        score = PROPOSED[kind] + CONFIRMED.get(kind, 0.0) + 2 * _context(text, kind, a)
+        score = PROPOSED[kind] + CONFIRMED.get(kind, 0.0) + 2 * _context(text, kind, a, b)
         if score >= threshold or kind in CONFIRMED:
             found.append(Span(kind, a, b, round(min(1.0, score), 3)))
     # Of card numbers that overlap, the best stays, and none that another checksum or a base kind has already.
@@ -264,7 +290,8 @@ def redacted(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def digest(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, the number of spans of each base kind, the SHA-256 of the base spans and all spans as text. Card numbers
-    inside a longer run of digits are no base spans: they are only among all spans."""
+    inside a longer run of digits are no base spans: they are only among all spans. Null and empty texts have none;
+    repeated rows are searched each, other columns left behind, and an empty table gives no rows."""
 
     @pandas_udf("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
     def compute(texts: pd.Series) -> pd.DataFrame:

@@ -227,9 +227,12 @@ def fit(
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
     """Trees for ``quality`` (0 or 1) of ``labels`` (doc_id, quality), fitted on the statistics of at most ``sample``
-    labelled documents. Rows without an id or a label are left out."""
-    known = labels.where("doc_id is not null and quality is not null").select("doc_id", F.col("quality").cast("double"))
-    known = known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    labelled documents. Rows without an id or a label are left out, as are ids with different labels; of rows that share an
+    id those with the least hashes of the text come first. So the sample does not depend on the order of the rows."""
+    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
+        F.min("quality").cast("double").alias("quality"), F.max("quality").cast("double").alias("_most")
+    )
+    known = known.where("quality = _most").drop("_most").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     @pandas_udf("array<double>")
     def statistics(texts: pd.Series) -> pd.Series:

@@ -120,3 +120,25 @@ def test_digest_and_redacted_rows(spark):
     assert out.columns == docs.columns
     assert [(r["text"], r["n_chars"], r["text_"]) for r in out.collect()] == [("é [EMAIL]", 9, "t")] * 2 + [(None, None, "t"), ("", 0, None)]
     assert pii.redacted(docs.limit(0)).count() == pii.digest(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("dob: 31/02/1990", False), ("dob: 28/02/1990", True), ("born 02/28/1990", True), ("born 1990-02-30", False),
+        ("born 29.02.2000", True), ("born 29.02.1900", False), ("born 13/13/1990", False), ("born 01.01.0001", False),
+        ("airborne since 12.05.1998", False), ("12.05.1998, the day she was born", True), ("12.05.1998 stubborn", False),
+        ("Née le 12.05.1998", True), ("born 12.05.1998, version of it", True), ("version 12.05.1998, born", False),
+        ("12.05.1998" + " x" * 19 + " born", True), ("12.05.1998" + " x" * 18 + " bornholm", False),
+        ("12.05.1998" + "x" * 60 + " born", False),
+    ],
+)
+def test_birth_dates_need_a_day_and_a_word(text, found):
+    assert [s.kind for s in pii.spans(text)] == ["birth_date"] * found
+
+
+@pytest.mark.parametrize("text, more", [("hotel +49 30 1234567", 0), ("Tel. +49 30 1234567", 0.3), ("+49 30 1234567 (phones)", 0.3),
+                                        ("ship 10.0.0.1", 0), ("IP: 10.0.0.1", 0.3), ("10.0.0.1 is the version", -0.3)])
+def test_context_is_whole_words_on_both_sides(text, more):
+    (span,) = pii.spans(text)
+    assert span.score == pytest.approx(min(1.0, pii.PROPOSED[span.kind] + more))
