@@ -104,3 +104,5 @@ SQL = {
     ),
     **{f"dq_{c.check_id}": query(_row(c)) for c in CHECKS},
 }
+# The same figures, whether they are counted afterwards or observed while the tables are written.
+SQL |= {"dq_at_load": SQL["dq_results"], "dq_gate_at_load": SQL["dq_gate"]}

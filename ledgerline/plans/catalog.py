@@ -16,7 +16,7 @@ from ledgerline.oracle import quality as quality_sql
 from ledgerline.oracle import reports as reports_sql
 from ledgerline.oracle.build import table_query
 from ledgerline.oracle.tables import OUTPUT
-from ledgerline.plans import analysis, cubes, jobs, metrics, quality, reports, screening
+from ledgerline.plans import analysis, cubes, jobs, loading, metrics, quality, reports, screening
 from ledgerline.plans.warehouse import LAYERS, Warehouse
 from ledgerline.settings import Settings
 from ledgerline.sources.fixtures import FixtureSource
@@ -55,6 +55,7 @@ def models() -> dict[str, Model]:
         **{n: _table(n) for layer in LAYERS.values() for n in layer if n not in STATIC},
         **analysis.QUERIES,
         **quality.QUERIES,
+        **loading.QUERIES,
         **metrics.QUERIES,
         **reports.QUERIES,
         **cubes.QUERIES,

@@ -30,9 +30,13 @@ def completed_refunds(stg_refunds: DataFrame) -> DataFrame:
 
 
 def completed_payments(stg_payments: DataFrame) -> DataFrame:
-    """Payments per order; the amount counts completed ones, the count all of them."""
-    paid = F.when(F.col("status") == "completed", F.col("amount"))
-    return stg_payments.groupBy("order_id").agg(F.sum(paid).alias("paid_amount"), F.count("*").alias("payment_count"))
+    """Payments per order: the amount of the completed ones, the number of all and of the completed ones."""
+    completed = F.col("status") == "completed"
+    return stg_payments.groupBy("order_id").agg(
+        F.sum(F.when(completed, F.col("amount"))).alias("paid_amount"),
+        F.count("*").alias("payment_count"),
+        F.count_if(completed).alias("completed_count"),
+    )
 
 
 def int_order_revenue(stg_orders: DataFrame, clean_order_items: DataFrame, completed_refunds: DataFrame) -> DataFrame:
@@ -153,7 +157,7 @@ def int_payment_reconciliation(
     variance = F.col("total_amount") - paid
     return (
         stg_orders.select("order_id", "total_amount")
-        .join(completed_payments, "order_id", "left")
+        .join(completed_payments.drop("completed_count"), "order_id", "left")
         .join(completed_refunds.drop("refund_count"), "order_id", "left")
         .select(
             "order_id",

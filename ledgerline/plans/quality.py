@@ -10,6 +10,7 @@ import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -200,7 +201,7 @@ PROFILES: dict[Callable[..., DataFrame], tuple[str, ...]] = {
 JOBS_AT_A_TIME = 4
 SHARED_TABLES = ("stg_orders", "stg_payments", "stg_refunds", "clean_order_items")
 
-_COUNTS = {"check_id": "string", "checked": "long", "failed": "long", "detail": "string", "error": "string"}
+COUNTS = {"check_id": "string", "checked": "long", "failed": "long", "detail": "string", "error": "string"}
 
 
 def _definitions(spark: SparkSession) -> DataFrame:
@@ -241,9 +242,9 @@ def verdicts(counts: DataFrame) -> DataFrame:
     )
 
 
-def _error_rows(spark: SparkSession, ids: tuple[str, ...], error: Exception) -> DataFrame:
+def error_rows(spark: SparkSession, ids: tuple[str, ...], error: Exception) -> DataFrame:
     text = str(error).splitlines()[0] if str(error) else type(error).__name__
-    return values_table(spark, [(i, 0, 0, "", text) for i in ids], _COUNTS)
+    return values_table(spark, [(i, 0, 0, "", text) for i in ids], COUNTS)
 
 
 def check_counts(warehouse, ids: tuple[str, ...] | None = None, isolate: bool = True) -> DataFrame:
@@ -257,7 +258,7 @@ def check_counts(warehouse, ids: tuple[str, ...] | None = None, isolate: bool =
     if isolate:
         whole = check_counts(warehouse, ids, isolate=False)
         try:
-            return values_table(warehouse.spark, whole.collect(), _COUNTS)
+            return values_table(warehouse.spark, whole.collect(), COUNTS)
         except Exception:  # some profile failed at run time; below each runs alone
             log.warning("the checks failed as a whole and run one by one", exc_info=True)
 
@@ -265,9 +266,9 @@ def check_counts(warehouse, ids: tuple[str, ...] | None = None, isolate: bool =
         try:
             part = warehouse.run(profile).where(F.col("check_id").isin(*wanted))
             part = part.withColumn("error", F.lit(None).cast("string"))
-            return values_table(warehouse.spark, part.collect(), _COUNTS) if isolate else part
+            return values_table(warehouse.spark, part.collect(), COUNTS) if isolate else part
         except Exception as error:  # any failure of a check is a result, not the end of the run
-            return _error_rows(warehouse.spark, wanted, error)
+            return error_rows(warehouse.spark, wanted, error)
 
     asked = {p: tuple(i for i in answers if ids is None or i in ids) for p, answers in PROFILES.items()}
     with ThreadPoolExecutor(JOBS_AT_A_TIME if isolate else 1) as pool:
@@ -302,8 +303,9 @@ def broken_table(warehouse) -> DataFrame:
     return run(broken).select("check_id", "status")
 
 
+@cache
 def checked(warehouse) -> DataFrame:
-    """All checks; failures at run time are contained."""
+    """All checks; failures at run time are contained. One run serves the results, the summary, the gate and the report."""
     return run(warehouse)
 
 

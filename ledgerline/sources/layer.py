@@ -17,11 +17,12 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.observed import figures
+
 PART, LOAD = "_part", "_load"
 # Fixed value: the name Spark gives to the partition of null.
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
@@ -139,7 +140,7 @@ class Layer:
             counted.write.partitionBy(PART).parquet(folder)
         else:
             df.observe(seen, rows).write.parquet(folder)
-        found = self._observed(seen, folder, df.schema)
+        found = {"rows": 0} | figures(seen, lambda: self.spark.read.schema(df.schema).parquet(folder))
         held, covered = sorted(found.get("held") or []), sorted(str(p) for p in parts or ())
         if parts is not None and not set(held) <= set(covered):
             raise ValueError(f"rows outside the parts to be replaced: {sorted(set(held) - set(covered))}")
@@ -151,15 +152,6 @@ class Layer:
         self._commit(table, name, mode, int(found["rows"]), batch, dated_by, low, high, held, covered, df.schema.json())
         return int(found["rows"])
 
-    def _observed(self, seen: Observation, folder: str, schema: T.StructType) -> dict:
-        """The figures of a load. Spark has none for a plan that turns out empty while it runs."""
-        try:
-            return seen.get
-        except Py4JJavaError:
-            if not self.spark.read.schema(schema).parquet(folder).isEmpty():
-                raise
-            return {"rows": 0}
-
     def _same_kind(self, df: DataFrame, table: str, dated_by: str | None) -> None:
         live = self.live(table)
         if not live:
