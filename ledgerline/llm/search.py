@@ -32,6 +32,8 @@ TABLE = bytes(0x20 if b in SEPARATORS else b + 0x20 if 0x41 <= b <= 0x5A else b
 # A shard ends after so many documents or bytes of text, whichever comes first.
 SHARD_DOCS, SHARD_BYTES = 1 << 14, 16 << 20
 BLOCK = 128
+# Shards that one task searches: their lists are small, so that Spark would put far too many into one by their size.
+SHARDS_A_TASK = 4
 # Documents that are scored together; the k-th score is updated after each.
 WINDOW = 1 << 10
 # Bytes of query terms that are looked up at once; they go to all tasks.
@@ -341,8 +343,8 @@ def blocks_of(queries: DataFrame) -> Iterator[list[Query]]:
         yield block
 
 
-def block_hits(index: DataFrame, block: list[Query], corpus: Corpus, k: int) -> DataFrame:
-    """The best documents of each shard for the queries of one block."""
+def block_hits(index: DataFrame, block: list[Query], corpus: Corpus, k: int, tasks: int) -> DataFrame:
+    """The best documents of each shard for the queries of one block, searched in so many tasks."""
     spark = index.sparkSession
     names = sorted({term for _, _, terms in block for term in terms})
     # As large as the block at most.
@@ -365,7 +367,7 @@ def block_hits(index: DataFrame, block: list[Query], corpus: Corpus, k: int) ->
         return pa.table(columns)
 
     id_type = index.schema["ids"].dataType.elementType.simpleString()
-    return lists.drop("wanted").groupBy("shard").applyInArrow(
+    return lists.drop("wanted").repartition(tasks, "shard").groupBy("shard").applyInArrow(
         search, f"query long, doc_id {id_type}, score long, shard long"
     )
 
@@ -378,14 +380,16 @@ def searched(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     no rows; one that occurs twice is ranked twice. A term that nearly all documents hold weighs nothing.
     """
     spark = index.sparkSession
-    sums = index.where("term is null").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).first()
+    whole = index.where("term is null")
+    sums = whole.agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.count("*").alias("shards")).first()
     corpus = Corpus(sums["n"] or 0, sums["total"] or 0)
+    tasks = -(-sums["shards"] // SHARDS_A_TASK) or 1
     item_type = queries.schema["item_id"].dataType.simpleString()
     id_type = index.schema["ids"].dataType.elementType.simpleString()
     folder = shared_folder(spark, "hits")
     for block in blocks_of(queries) if corpus.documents else ():
         items = spark.createDataFrame([(n, item) for n, item, _ in block], f"query long, item_id {item_type}")
-        made = block_hits(index, block, corpus, k).join(F.broadcast(items), "query")
+        made = block_hits(index, block, corpus, k, tasks).join(F.broadcast(items), "query")
         made.write.mode("append").parquet(folder)
     hits = f"query long, doc_id {id_type}, score long, shard long, item_id {item_type}"
     spark.createDataFrame([], hits).write.mode("append").parquet(folder)  # a folder even where nothing was found
