@@ -89,7 +89,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprinted(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (text, more) with ``fingerprint``, the printed anchors."""
+    """The rows of ``docs`` (text, more) with ``fingerprint``, the printed anchors, in the place of a column of that name.
+    Null texts and those without words have the empty fingerprint, equal texts equal ones; texts of any length are read
+    whole, and an empty table stays empty."""
     name = inner_name(docs.columns, "_anchors")
     return with_anchors(docs, "text", name).withColumn("fingerprint", printed(F.col(name))).drop(name)
 

@@ -209,7 +209,10 @@ def held_out(doc_id: Column, parts: int = 3, part: int = 1) -> Column:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of all rows, learned from those that are not held out."""
+    """doc_id, held_out, lang_pred and score of all rows of ``docs`` (doc_id, text, lang, more), learned from those that are
+    not held out. Null texts and those without a letter are ``und``, as are all if no row teaches a language; a null id
+    counts as the empty text, repeated rows are predicted each, long texts are read whole, other columns are left behind
+    and an empty table gives no rows."""
     model = train(docs.where(~held_out(F.col("doc_id"))))
     found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), predict(F.col("text"), model).alias("_found"))
     return found.select("doc_id", "held_out", "_found.*")

@@ -107,7 +107,8 @@ def mix(
 
 
 def mixed(docs: DataFrame, size: Column, seed: int = 0) -> DataFrame:
-    """The mix itself: the columns of ``docs``, each row as often as the sample takes it."""
+    """The mix itself: the columns of ``docs``, each row as often as the sample takes it. For nulls, ties, repeated rows and
+    empty tables see :func:`mix`; a row of size zero is taken like any other."""
     taken = mix(docs, size, seed)
     return taken.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("row.*")
 

@@ -171,7 +171,9 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel, dictionary: li
 
 
 def secrets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, kind, start, end (code points), SHA-256 of the secret and score of each secret in ``docs`` (doc_id, text)."""
+    """doc_id, kind, start, end (code points), SHA-256 of the secret and score of each secret in ``docs`` (doc_id,
+    text, more). Null and empty texts have none, repeated rows are scanned each, null ids are kept, texts of any length are
+    scanned whole, and an empty table gives no rows."""
     docs = docs.select("doc_id", "text")
     dictionary = dictionary_of(docs)
     found = scan(docs, train(docs.sparkSession, dictionary), dictionary)
