@@ -83,3 +83,5 @@ SQL = {
         select d.*, n as orders
         from dim_date d left join (select order_date, count(*) as n from stg_orders group by 1) on order_date = date_id"""),
 }
+# The same numbers, whether they are counted in the plans or read from the footers of written tables.
+SQL["val_written_counts"] = SQL["val_row_counts"]

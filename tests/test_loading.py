@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 import pytest
 from conftest import TESTDATA
 from pyspark.sql import functions as F
 
-from ledgerline.plans import catalog, loading, quality
+from ledgerline.plans import analysis, catalog, loading, quality
 from ledgerline.plans.loading import CheckedLoad
+from ledgerline.plans.warehouse import LAYERS
 
 
 def rows(table):
@@ -71,3 +73,11 @@ def test_a_table_that_cannot_be_written(spark, tmp_path, broken, errors):
     found = rows(CheckedLoad(warehouse, str(tmp_path)).run())
     assert {check for check, row in found.items() if row[4] == "ERROR"} == errors
     assert len(found) == 18
+
+
+def test_counts_of_written_tables_read_no_column(spark):
+    counts = analysis.written_counts(catalog.open_warehouse(spark, TESTDATA))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: (\S+)", plan)
+    assert len(schemas) == len(LAYERS["marts"]) and set(schemas) == {"struct<>"}
+    assert {tuple(r) for r in counts.collect()} == {tuple(r) for r in catalog.queries()["val_row_counts"](spark, TESTDATA).collect()}
