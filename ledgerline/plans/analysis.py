@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import divide, is_sale, month_of
+from ledgerline.functions.columns import divide, is_sale, month_of, zero_if_null
 from ledgerline.operators.joins import lookup, orphan_rows
+from ledgerline.plans.intermediate import payment_status
+from ledgerline.plans.rollups import over, shared
 from ledgerline.plans.warehouse import LAYERS
 from ledgerline.session import shared_folder
+from ledgerline.settings import Settings
 
 
 def _pct(part, whole, digits: int):
@@ -85,12 +88,19 @@ def marketing_roas(fct_ad_spend: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def payment_exceptions(
-    fct_payments: DataFrame, fct_orders: DataFrame, dim_date: DataFrame, stg_orders: DataFrame, raw_payments: DataFrame
-) -> DataFrame:
-    flagged = fct_payments.where(F.col("reconciliation_status").isin("EXCEPTION", "WARNING"))
-    orders = fct_orders.select("order_id", "net_revenue")
+    stg_payments: DataFrame, fct_orders: DataFrame, completed_payments: DataFrame, dim_date: DataFrame,
+    stg_orders: DataFrame, raw_payments: DataFrame, settings: Settings,
+) -> DataFrame:
+    # Orders get their verdict first, so that payments meet only flagged orders, and only once.
+    flagged = (
+        fct_orders.select("order_id", "net_revenue", "total_amount")
+        .join(completed_payments.select("order_id", "paid_amount"), "order_id", "left")
+        .select("order_id", "net_revenue", payment_status(settings).alias("reconciliation_status"))
+        .where(F.col("reconciliation_status").isin("EXCEPTION", "WARNING"))
+    )
+    payments = stg_payments.withColumnRenamed("payment_date", "date_id")
     joined = lookup(
-        flagged, orders, "order_id", "inner", row_id="payment_id", profile=raw_payments, sized_by=stg_orders
+        payments, flagged, "order_id", "inner", row_id="payment_id", profile=raw_payments, sized_by=stg_orders
     )
     return (
         joined.join(F.broadcast(dim_date.select("date_id", "full_date")), "date_id")
@@ -109,27 +119,23 @@ def payment_exceptions(
 
 
 def refund_analysis(
-    fct_refunds: DataFrame, fct_orders: DataFrame, dim_date: DataFrame, stg_orders: DataFrame, raw_refunds: DataFrame
-) -> DataFrame:
-    # An order's revenue counts once per refund, as the report defines it; so refunds are summed per order and
-    # day before the join and the revenue is multiplied by their number.
-    per_order = fct_refunds.groupBy("order_id", "date_id").agg(
-        F.count("refund_id").alias("_n"), F.sum("amount").alias("_amount"), F.count_if("is_over_refund").alias("_over")
+    stg_refunds: DataFrame, fct_orders: DataFrame, completed_payments: DataFrame, dim_date: DataFrame,
+    stg_orders: DataFrame, raw_refunds: DataFrame,
+) -> DataFrame:
+    # Refunds meet revenue and payments of their order in one join. An order's revenue counts once per refund, as the
+    # report defines it.
+    orders = fct_orders.select("order_id", "gross_revenue").join(
+        completed_payments.select("order_id", "paid_amount"), "order_id", "left"
     )
+    refunds = stg_refunds.select("refund_id", "order_id", F.col("refund_date").alias("date_id"), "amount")
     joined = lookup(
-        per_order,
-        fct_orders.select("order_id", "gross_revenue"),
-        "order_id",
-        "inner",
-        row_id="date_id",
-        profile=raw_refunds,
-        sized_by=stg_orders,
+        refunds, orders, "order_id", "inner", row_id="refund_id", profile=raw_refunds, sized_by=stg_orders
     )
     daily = joined.groupBy("date_id").agg(
-        F.sum("_n").alias("_n"),
-        F.sum("_amount").alias("_amount"),
-        F.sum(F.col("gross_revenue") * F.col("_n")).alias("_gross"),
-        F.sum("_over").alias("_over"),
+        F.count("refund_id").alias("_n"),
+        F.sum("amount").alias("_amount"),
+        F.sum("gross_revenue").alias("_gross"),
+        F.count_if(F.col("amount") > zero_if_null("paid_amount")).alias("_over"),
     )
     amount, gross = F.sum("_amount"), F.sum("_gross")
     return (
@@ -222,14 +228,10 @@ def row_counts(warehouse) -> DataFrame:
     return whole.orderBy("table_name")
 
 
-# What the marts share, written first so that each is worked out once.
-SHARED = ("stg_orders", "clean_order_items", "stg_refunds", "stg_payments", "int_order_revenue")
-
-
 def written_counts(warehouse) -> DataFrame:
     """Rows of the written marts. The numbers are in the footers of their files, so that no column is read."""
-    written = warehouse.copy()
-    written.materialise((*SHARED, *LAYERS["marts"]), shared_folder(warehouse.spark, "counted"))
+    written = shared(warehouse).copy()
+    written.materialise(LAYERS["marts"], shared_folder(warehouse.spark, "counted"))
     return row_counts(written)
 
 
@@ -296,9 +298,9 @@ QUERIES = {
     "an_payment_reconciliation": payment_exceptions,
     "an_refund_analysis": refund_analysis,
     "an_revenue_by_channel": revenue_by_channel,
-    "val_financial_integrity": financial_integrity,
-    "val_orphan_records": orphan_records,
-    "val_row_counts": row_counts,
+    "val_financial_integrity": over(shared, financial_integrity),
+    "val_orphan_records": over(shared, orphan_records),
+    "val_row_counts": over(shared, row_counts),
     "val_written_counts": written_counts,
     "ask_monthly_revenue": monthly_revenue_answer,
     "ask_refunds_by_reason": refunds_by_reason,

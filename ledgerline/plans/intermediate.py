@@ -148,13 +148,21 @@ def int_product_sales(clean_order_items: DataFrame, stg_orders: DataFrame, raw_o
     )
 
 
+def payment_variance():
+    """What an order's completed payments leave open, in money."""
+    return F.col("total_amount") - money(zero_if_null("paid_amount"))
+
+
+def payment_status(settings: Settings):
+    return reconciliation_status(payment_variance(), settings.match_threshold, settings.warn_threshold)
+
+
 def int_payment_reconciliation(
     stg_orders: DataFrame, completed_payments: DataFrame, completed_refunds: DataFrame, settings: Settings
 ) -> DataFrame:
     # Keyed on orders: a payment whose order does not exist never shows up here.
     paid, refunded = money(zero_if_null("paid_amount")), money(zero_if_null("total_refunds"))
     count = zero_if_null("payment_count")
-    variance = F.col("total_amount") - paid
     return (
         stg_orders.select("order_id", "total_amount")
         .join(completed_payments.drop("completed_count"), "order_id", "left")
@@ -165,10 +173,8 @@ def int_payment_reconciliation(
             paid.alias("paid_amount"),
             refunded.alias("refund_amount"),
             count.alias("payment_count"),
-            variance.alias("payment_variance"),
-            reconciliation_status(variance, settings.match_threshold, settings.warn_threshold).alias(
-                "reconciliation_status"
-            ),
+            payment_variance().alias("payment_variance"),
+            payment_status(settings).alias("reconciliation_status"),
             (refunded > paid).alias("has_over_refund"),
             (count > 1).alias("has_duplicate_payment"),
         )

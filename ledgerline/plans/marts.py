@@ -228,12 +228,10 @@ def fct_payments(
 def fct_refunds(
     stg_refunds: DataFrame, stg_orders: DataFrame, completed_payments: DataFrame, raw_refunds: DataFrame
 ) -> DataFrame:
-    # Orders and payment totals of refunded orders are matched first, so refunds are joined only once. A
-    # refund of an unknown order may still have a payment total, hence the full join.
-    refunded = stg_refunds.select("order_id").distinct()
-    orders = stg_orders.select("order_id", "customer_id", "channel_id").join(refunded, "order_id", "left_semi")
-    paid = completed_payments.select("order_id", "paid_amount").join(refunded, "order_id", "left_semi")
-    context = orders.join(paid, "order_id", "full")
+    # Orders and payment totals, which are partitioned alike, are matched first, so refunds are joined and read only
+    # once. A refund of an unknown order may still have a payment total, hence the full join.
+    orders = stg_orders.select("order_id", "customer_id", "channel_id")
+    context = orders.join(completed_payments.select("order_id", "paid_amount"), "order_id", "full")
     total = zero_if_null("paid_amount")
     joined = lookup(stg_refunds, context, "order_id", "left", row_id="refund_id", profile=raw_refunds, sized_by=stg_orders)
     return joined.select(
@@ -290,16 +288,37 @@ def fct_ad_spend(stg_ad_spend: DataFrame) -> DataFrame:
     return stg_ad_spend.withColumnRenamed("date", "date_id").drop("_ingested_at", "_source", "_batch_id")
 
 
-def fct_payouts(stg_payouts: DataFrame, int_order_revenue: DataFrame, settings: Settings) -> DataFrame:
+COMPANY_SUMS = ("gross_revenue", "total_discounts", "total_refunds", "net_revenue", "order_count")
+
+
+def _payouts_and_revenue(stg_payouts: DataFrame, int_order_revenue: DataFrame) -> DataFrame:
+    """Payouts with the company's revenue of the month in which their period starts; their own refunds are renamed."""
     months = (
         int_order_revenue.where(is_sale())
-        .groupBy(month_of("order_date").alias("_month"))
-        .agg(F.sum("net_revenue").alias("_net"), F.sum("total_refunds").alias("_refunds"))
+        .groupBy(month_of("order_date").alias("year_month"))
+        .agg(
+            F.sum("gross_revenue").alias("gross_revenue"),
+            F.sum("total_discount").alias("total_discounts"),
+            F.sum("total_refunds").alias("total_refunds"),
+            F.sum("net_revenue").alias("net_revenue"),
+            F.count("*").alias("order_count"),
+        )
     )
-    net, refunds = zero_if_null("_net"), zero_if_null("_refunds")
+    payouts = stg_payouts.withColumnRenamed("refunds", "payout_refunds")
+    return payouts.withColumn("year_month", month_of("period_start")).join(months, "year_month", "left")
+
+
+def _payout_check(settings: Settings):
+    """Variance of a payout and its verdict."""
     # Company-wide revenue against one platform's payout, refunds taken off twice: kept as the model defines it.
-    variance = F.col("net_payout") - (net - F.col("fees") - refunds)
-    return stg_payouts.join(months, month_of("period_start") == F.col("_month"), "left").select(
+    expected = zero_if_null("net_revenue") - F.col("fees") - zero_if_null("total_refunds")
+    variance = F.col("net_payout") - expected
+    return variance, reconciliation_status(variance, settings.match_threshold, settings.warn_threshold)
+
+
+def fct_payouts(stg_payouts: DataFrame, int_order_revenue: DataFrame, settings: Settings) -> DataFrame:
+    variance, verdict = _payout_check(settings)
+    return _payouts_and_revenue(stg_payouts, int_order_revenue).select(
         "payout_id",
         F.col("payout_date").alias("date_id"),
         "platform",
@@ -307,15 +326,13 @@ def fct_payouts(stg_payouts: DataFrame, int_order_revenue: DataFrame, settings:
         "period_end",
         "gross_sales",
         "fees",
-        "refunds",
+        F.col("payout_refunds").alias("refunds"),
         "adjustments",
         "net_payout",
-        net.alias("period_gross_revenue"),
-        refunds.alias("period_refunds"),
+        zero_if_null("net_revenue").alias("period_gross_revenue"),
+        zero_if_null("total_refunds").alias("period_refunds"),
         variance.alias("payout_variance"),
-        reconciliation_status(variance, settings.match_threshold, settings.warn_threshold).alias(
-            "reconciliation_status"
-        ),
+        verdict.alias("reconciliation_status"),
     )
 
 
@@ -417,30 +434,21 @@ def mart_inventory(int_inventory_movements: DataFrame, stg_products: DataFrame,
     )
 
 
-def mart_finance(fct_payouts: DataFrame, fct_orders: DataFrame, stg_payments: DataFrame) -> DataFrame:
-    revenue = (
-        fct_orders.where(is_sale())
-        .groupBy(month_of("date_id").alias("year_month"))
-        .agg(
-            F.sum("gross_revenue").alias("gross_revenue"),
-            F.sum("total_discount").alias("total_discounts"),
-            F.sum("total_refunds").alias("total_refunds"),
-            F.sum("net_revenue").alias("net_revenue"),
-            F.count("*").alias("order_count"),
-        )
-    )
+def mart_finance(
+    stg_payouts: DataFrame, int_order_revenue: DataFrame, stg_payments: DataFrame, settings: Settings
+) -> DataFrame:
+    # Payouts meet the months of revenue once, for their own verdict and for the company's sums.
+    variance, verdict = _payout_check(settings)
     # Amounts and states of payments are the same in staging and in the fact table.
     payments = stg_payments.groupBy(month_of("payment_date").alias("year_month")).agg(
         F.sum("amount").alias("total_collected"),
         F.count_if(F.col("status") == "failed").alias("failed_payments"),
         F.count("*").alias("payment_count"),
     )
-    sums = [*revenue.columns[1:], *payments.columns[1:]]
+    sums = [*COMPANY_SUMS, *payments.columns[1:]]
     # Company totals are repeated on each platform row; they must not be summed over platforms.
     return (
-        fct_payouts.withColumn("year_month", month_of("period_start"))
-        .withColumnRenamed("refunds", "payout_refunds")
-        .join(revenue, "year_month", "left")
+        _payouts_and_revenue(stg_payouts, int_order_revenue)
         .join(payments, "year_month", "left")
         .select(
             "year_month",
@@ -451,8 +459,8 @@ def mart_finance(fct_payouts: DataFrame, fct_orders: DataFrame, stg_payments: Da
             "payout_refunds",
             "adjustments",
             "net_payout",
-            "payout_variance",
-            "reconciliation_status",
+            variance.alias("payout_variance"),
+            verdict.alias("reconciliation_status"),
             (zero_if_null("net_revenue") - zero_if_null("total_collected")).alias("revenue_payment_gap"),
         )
     )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import month_index
 from ledgerline.functions.literals import values_table
+from ledgerline.plans.rollups import over, rolled
 
 
 def _less(first: str, *rest: str) -> str:
@@ -207,6 +208,39 @@ def _table(warehouse, name: str) -> DataFrame:
     return warehouse.run(first_orders) if name == "first_orders" else warehouse[name]
 
 
+def daily_sums(warehouse) -> DataFrame:
+    """Additive base sums per fact, day, channel and warehouse: what metrics need to know of the facts. Its rows go with
+    the days, not with the data."""
+    whole = None
+    for facts in FACTS:
+        if facts.date is None or not facts.additive:
+            continue
+        sums = [F.expr(e).alias(n) for n, e in facts.sums.items()]
+        part = _table(warehouse, facts.table).groupBy(F.col(facts.date).alias("date"), *facts.dims).agg(*sums)
+        part = part.withColumn("fact", F.lit(facts.table))
+        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    return whole
+
+
+def stock_days(fct_inventory: DataFrame) -> DataFrame:
+    """Days with stock per warehouse and state, with the products that are low or out of stock."""
+    short = F.col("stock_status").isin("out_of_stock", "low_stock")
+    product = F.when(short, F.col("product_id")).alias("product_id")
+    return fct_inventory.select("date_id", "warehouse_id", "stock_status", product).distinct()
+
+
+def _source(warehouse, facts: Facts) -> tuple[DataFrame, str, dict[str, str]]:
+    """Where the sums of a fact are taken from, its date column and the sums: the fact itself or the given rollups."""
+    daily = warehouse.given("daily_sums")
+    if daily is None:
+        return _table(warehouse, facts.table), facts.date, facts.sums
+    if not facts.additive:
+        return warehouse["stock_days"], facts.date, facts.sums
+    # A count over no rows is 0, a sum is null.
+    again = {n: f"coalesce(sum({n}), 0)" if e.startswith("count") else f"sum({n})" for n, e in facts.sums.items()}
+    return daily.where(F.col("fact") == facts.table), "date", again
+
+
 def _words(expression: str) -> set[str]:
     return set("".join(c if c.isalnum() or c == "_" else " " for c in expression).split())
 
@@ -214,22 +248,23 @@ def _words(expression: str) -> set[str]:
 def base_sums(warehouse, wanted: set[str], by: Sequence[str] = (), additive_only: bool = False) -> DataFrame:
     """Base sums per group: each fact is aggregated on its own, the small results are stacked and merged."""
     parts = []
-    # Facts of one table are summed in one pass over it.
-    tables: dict[str, Facts] = {}
+    # Facts of one table are summed in one pass over it; rollups keep those apart that do not add up.
+    rollups = warehouse.given("daily_sums") is not None
+    tables: dict[tuple[str, bool], Facts] = {}
     for facts in FACTS:
         sums = {n: e for n, e in facts.sums.items() if n in wanted}
         if not sums or facts.date is None or (additive_only and not facts.additive):
             continue
-        known = tables.get(facts.table)
-        tables[facts.table] = replace(facts, sums=(known.sums if known else {}) | sums)
+        source = facts.table, facts.additive or not rollups
+        known = tables.get(source)
+        tables[source] = replace(facts, sums=(known.sums if known else {}) | sums)
     for facts in tables.values():
-        sums = facts.sums
-        table = _table(warehouse, facts.table)
+        table, date, sums = _source(warehouse, facts)
         aggregates = [F.expr(e).alias(n) for n, e in sums.items()]
         keys = []
         for dim in by:
             if dim in GRAINS:
-                day = F.col(facts.date)
+                day = F.col(date)
                 keys.append((day if dim == "date" else F.trunc(day, GRAINS[dim])).alias(dim))
             elif dim in facts.dims:
                 keys.append(F.col(dim))
@@ -368,9 +403,13 @@ MONTHLY = tuple(m.name for m in MEASURES)
 UNDATED = ("total_customers", "repeat_customers")
 
 
+def _of(names: Sequence[str], *by: str):
+    return over(rolled, lambda warehouse: evaluate(warehouse, names, by))
+
+
 def _one(name: str):
     """A single measure: per month, or in all where it has no date."""
-    return lambda warehouse: evaluate(warehouse, (name,), () if name in UNDATED else ("month",))
+    return _of((name,), *(() if name in UNDATED else ("month",)))
 
 
 CHANNEL = (
@@ -379,16 +418,16 @@ CHANNEL = (
 )
 
 QUERIES = {
-    "met_catalog": catalog_values,
-    "met_monthly": lambda warehouse: evaluate(warehouse, MONTHLY, ("month",)),
-    "met_quarterly": lambda warehouse: evaluate(warehouse, MONTHLY, ("quarter",)),
-    "met_yearly": lambda warehouse: evaluate(warehouse, MONTHLY, ("year",)),
-    "met_by_channel": lambda warehouse: evaluate(warehouse, CHANNEL, ("channel_id",)),
-    "met_by_month_and_channel": lambda warehouse: evaluate(warehouse, CHANNEL, ("month", "channel_id")),
-    "ti_to_date": lambda warehouse: to_date(warehouse),
-    "ti_compare_months": lambda warehouse: compare_months(warehouse),
-    "ti_compare_months_by_channel": lambda warehouse: compare_months(warehouse, CHANNEL, ("channel_id",)),
-    "ti_margin_change": margin_change,
+    "met_catalog": over(rolled, catalog_values),
+    "met_monthly": _of(MONTHLY, "month"),
+    "met_quarterly": _of(MONTHLY, "quarter"),
+    "met_yearly": _of(MONTHLY, "year"),
+    "met_by_channel": _of(CHANNEL, "channel_id"),
+    "met_by_month_and_channel": _of(CHANNEL, "month", "channel_id"),
+    "ti_to_date": over(rolled, lambda warehouse: to_date(warehouse)),
+    "ti_compare_months": over(rolled, lambda warehouse: compare_months(warehouse)),
+    "ti_compare_months_by_channel": over(rolled, lambda warehouse: compare_months(warehouse, CHANNEL, ("channel_id",))),
+    "ti_margin_change": over(rolled, margin_change),
     **{f"met_{n}": _one(n) for n in MONTHLY if n != "ltv"},
     "met_ltv": lambda dim_customer: dim_customer.select(
         "customer_id", F.col("lifetime_revenue").alias("ltv")

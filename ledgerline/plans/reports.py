@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import divide, month_of
 from ledgerline.operators.joins import lookup
 from ledgerline.plans import metrics
+from ledgerline.plans.rollups import over, rolled
 from ledgerline.settings import Settings
 
 MONTH_NAMES = (
@@ -385,22 +386,22 @@ YEARS = {"date_from": date(1997, 1, 1), "date_to": date(1998, 12, 31)}
 SAMPLE_SLICE = Slice(channel_name="email", customer_segment="BUILDING", **YEARS)
 
 QUERIES = {
-    "rpt_executive_kpis": executive_kpis,
-    "rpt_revenue_trend": revenue_trend,
-    "rpt_revenue_by_channel": revenue_by_channel,
+    "rpt_executive_kpis": over(rolled, executive_kpis),
+    "rpt_revenue_trend": over(rolled, revenue_trend),
+    "rpt_revenue_by_channel": over(rolled, revenue_by_channel),
     "rpt_top_categories": top_categories,
-    "rpt_revenue_waterfall": revenue_waterfall,
-    "rpt_monthly_trend": monthly_trend,
+    "rpt_revenue_waterfall": over(rolled, revenue_waterfall),
+    "rpt_monthly_trend": over(rolled, monthly_trend),
     "rpt_category_margin_matrix": category_margin_matrix,
     "rpt_channel_by_category": channel_by_category,
     "rpt_top_products": top_products,
-    "rpt_new_and_repeat": new_and_repeat,
-    "rpt_cac_trend": cac_trend,
+    "rpt_new_and_repeat": over(rolled, new_and_repeat),
+    "rpt_cac_trend": over(rolled, cac_trend),
     "rpt_ltv_histogram": ltv_histogram,
     "rpt_roas_by_channel": roas_by_channel,
     "rpt_campaign_table": campaign_table,
     "rpt_cohort_matrix": cohort_matrix,
-    "rpt_stock_kpis": stock_kpis,
+    "rpt_stock_kpis": over(rolled, stock_kpis),
     "rpt_stock_by_category": stock_by_category,
     "rpt_on_time_gauge": on_time_gauge,
     "rpt_value_by_warehouse": value_by_warehouse,
@@ -408,7 +409,7 @@ QUERIES = {
     "rpt_transit_trend": transit_trend,
     "rpt_at_risk_products": at_risk_products,
     "rpt_reconciliation_waterfall": reconciliation_waterfall,
-    "rpt_finance_kpis": finance_kpis,
+    "rpt_finance_kpis": over(rolled, finance_kpis),
     "rpt_exception_trend": exception_trend,
     "rpt_status_by_platform": status_by_platform,
     "rpt_payout_table": payout_table,

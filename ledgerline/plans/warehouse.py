@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.plans import intermediate, marts, staging
+from ledgerline.plans import intermediate, marts, metrics, staging
 from ledgerline.session import prepare
 from ledgerline.settings import Settings
 
@@ -55,11 +55,13 @@ LAYERS = {
 }
 # Shared sub-results that are not tables of their own.
 HELPERS = ("customer_history", "clean_order_items", "completed_refunds", "completed_payments", "sold_lines")
+# Sums over facts; metrics are read from them where they are given as tables.
+ROLLUPS = ("daily_sums", "stock_days")
 
 
 def _functions() -> dict[str, Callable[..., DataFrame]]:
-    names = {n for layer in LAYERS.values() for n in layer} | set(HELPERS)
-    return {n: getattr(m, n) for m in (staging, intermediate, marts) for n in names if hasattr(m, n)}
+    names = {n for layer in LAYERS.values() for n in layer} | set(HELPERS) | set(ROLLUPS)
+    return {n: getattr(m, n) for m in (staging, intermediate, marts, metrics) for n in names if hasattr(m, n)}
 
 
 MODELS = _functions()
@@ -99,10 +101,20 @@ class Warehouse:
         return model(**{p: given.get(p) if p in given else self[p] for p in inspect.signature(model).parameters})
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Use ``df`` for ``name`` from now on (tests, written tables); models built on it are rebuilt."""
+        """Use ``df`` for ``name`` from now on (tests, written tables); models built on it are rebuilt.
+
+        Rollups given before are of other rows, so they are given up unless it is a rollup that is replaced.
+        """
+        if name not in ROLLUPS:
+            for rollup in ROLLUPS:
+                self._given.pop(rollup, None)
         self._given[name] = df
         self._frames.clear()
 
+    def given(self, name: str) -> DataFrame | None:
+        """The table that was given for ``name``, if there is one."""
+        return self._given.get(name)
+
     def copy(self) -> Warehouse:
         """A warehouse with the same inputs whose tables can be replaced without touching this one."""
         other = Warehouse(self.spark, self.source, self.settings)

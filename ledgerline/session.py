@@ -67,6 +67,11 @@ def shared_root(spark: SparkSession) -> str:
     return _local[application]
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written tables and stream checkpoints, below :func:`shared_root`."""
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
