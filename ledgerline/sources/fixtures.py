@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import MONEY
 from ledgerline.functions.signing import signature
+from ledgerline.session import sized
 from ledgerline.sources.schemas import EVENTS_FILE
 
 # Names used by the feeds.
@@ -89,7 +90,7 @@ class FixtureSource:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return sized(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def raw(self, entity: str) -> DataFrame:
         return getattr(self, f"raw_{entity}")()
