@@ -300,7 +300,7 @@ def broken_table(warehouse) -> DataFrame:
     customers = warehouse["stg_customers"]
     gone = F.raise_error(F.lit("customers are gone")).cast("string")
     broken.replace("stg_customers", customers.withColumn("email", F.coalesce(gone, "email")))
-    return run(broken).select("check_id", "status")
+    return run(broken, shared_folder(warehouse.spark, "staged")).select("check_id", "status")
 
 
 @cache

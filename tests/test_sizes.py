@@ -6,7 +6,7 @@ import pytest
 from conftest import TESTDATA
 
 from ledgerline import session
-from ledgerline.plans import catalog
+from ledgerline.plans import catalog, quality
 from ledgerline.sources.fixtures import FixtureSource
 from ledgerline.sources.layer import Layer
 
@@ -77,3 +77,10 @@ def test_written_tables_are_small(spark, tmp_path):
     warehouse.materialise(("stg_payouts",), str(tmp_path / "tables"))
     files = [p.name for p in tmp_path.rglob("*.parquet") if p.name.startswith("part-") and "log" not in p.parts]
     assert len(files) > 1 and all(".zstd." in name for name in files)
+
+
+def test_checks_that_run_alone_share_staged_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quality, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    found = {r.check_id: r.status for r in quality.broken_table(catalog.open_warehouse(spark, TESTDATA)).collect()}
+    assert found.pop("uniq_002") == found.pop("comp_001") == "ERROR" and "ERROR" not in found.values()
+    assert {p.name for p in (tmp_path / "staged").iterdir()} == set(quality.SHARED_TABLES)
