@@ -68,6 +68,54 @@ def test_gradient_is_the_slope_of_the_likelihood():
         assert curve[touched == row, column][0] >= 0
 
 
+def test_features_and_decisions_tell_words_apart():
+    # Words with one ending, which the model took for the same word before.
+    words = [b"walking", b"talking", b"parking", b"marking", b"barking", b"working", b"looking", b"cooking"]
+    symbol = lm._symbols(words)
+    assert len(set(symbol >> lm.WORD_BITS)) == 1 and len(set(symbol)) == len(words)
+    assert len(set(map(tuple, lm.features(lm._histories(symbol, np.array([0])))[1:]))) == len(words) - 1
+    assert len(set(lm.sets(symbol))) > 1
+    assert lm._unpacked(lm._packed(symbol)).tolist() == symbol.tolist()
+
+
+def test_chances_of_classes_and_decisions_sum_to_one():
+    rng = np.random.default_rng(3)
+    table = rng.normal(size=lm.SIZE)
+    every = np.arange(1 << lm.CLASS_BITS + lm.LEVELS)
+    symbol = (every >> lm.LEVELS << lm.WORD_BITS) + every % (1 << lm.LEVELS)
+    assert sorted(lm.sets(symbol)) == every.tolist()
+    texts = np.stack([np.full(len(every), 77), np.full(len(every), 1234), symbol], axis=1).ravel()
+    found = lm.log_chances(table, texts, np.arange(len(every)) * 3).reshape(-1, 3)
+    assert np.exp(found[:, 2]).sum() == pytest.approx(1)
+    assert np.allclose(found[:, :2], found[0, :2])
+
+
+def test_slopes_are_those_of_the_likelihood():
+    rng = np.random.default_rng(4)
+    table, sums = rng.normal(size=lm.SIZE) / 5, np.zeros(lm.SIZE)
+    symbol = lm._symbols([b"the", b"cat", b"sat", b"", b"the", b"dog", b""])
+    starts = np.array([0, 4])
+    lm.slopes(table, symbol, starts, sums)
+    ends = np.cumsum([int(np.prod(shape)) for shape in lm.SHAPES])
+    touched = np.flatnonzero(sums)
+    for low, high in zip([0, *ends[:-1]], ends, strict=True):
+        for at in rng.choice(touched[(touched >= low) & (touched < high)], 5):
+            step = np.zeros(lm.SIZE)
+            step[at] = 1e-5
+            up, down = (lm.log_chances(table + x, symbol, starts).sum() for x in (step, -step))
+            assert (up - down) / 2e-5 == pytest.approx(sums[at], abs=1e-3)
+
+
+def test_a_word_depends_on_the_word_before_it(spark):
+    # All four words share ending and count, so that only what is before them tells them apart.
+    rows = [(i, "left walking right talking " * 20, None, None) for i in range(200)]
+    probe = [(1000 + i, "left talking right walking " * 20, None, None) for i in range(50)]
+    got = run(spark, rows + [r for r in probe if held(r[0])])
+    seen = [r["score"] for r in got if r["doc_id"] < 200]
+    swapped = [r["score"] for r in got if r["doc_id"] >= 1000]
+    assert swapped and min(seen) > max(swapped) + 10
+
+
 def test_model_beats_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     got = [r for r in lm.scored(docs, held_out(F.col("doc_id"), 7, 2)).collect() if r["held_out"]]
