@@ -7,7 +7,7 @@ many rows as wanted are picked: those with the least hashes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Key of the orphans, status of broken orders, share of defects and the seed.
@@ -77,31 +77,45 @@ def _or_rate(pick: Column | None, name: str) -> Column:
     return picked(key_of(name), name) if pick is None else pick
 
 
-def least_draws(rows: DataFrame, name: str, number: int, seed: int = SEED) -> Column:
+def draw_sizes(rows: DataFrame, name: str, seed: int = SEED) -> dict[int | None, int]:
+    """How many rows have each value of the upper 16 bits of their draw, and, under None, how many have no key."""
+    bits = F.shiftright(draw(key_of(name), name, seed), 16)
+    # At most 65 537 rows.
+    return {r["bits"]: r["n"] for r in rows.groupBy(bits.alias("bits")).agg(F.count("*").alias("n")).collect()}
+
+
+def _reached(sizes: dict[int, int], number: int) -> tuple[int, int]:
+    """The bits at which the number is reached in ascending order, and how many of their rows are still needed."""
+    for bits in sorted(sizes):
+        if number <= sizes[bits]:
+            return bits, number
+        number -= sizes[bits]
+    raise ValueError("fewer rows than wanted")
+
+
+def least_draws(rows: DataFrame, name: str, number: int, seed: int = SEED, sizes: dict[int | None, int] | None = None) -> Column:
     """A condition that ``number`` of the rows meet, or all if there are fewer: those with the least draws, of equal ones
     those with the least keys as text. Keys have to be unique.
 
-    The draws are counted by their upper 16 bits and, where the wanted number is reached, by the lower 16. So two
-    histograms of at most 65 536 rows find the last draw, and only the rows that have just that draw, about one in four
-    billion, are put in order. Rows without a key are never picked.
+    The draws are counted by their upper 16 bits (``sizes``, if that was done before) and, where the wanted number is
+    reached, by the lower 16. So two histograms of at most 65 536 rows find the last draw, and only where several rows have
+    just that draw, about one in four billion, and not all are wanted, are these put in order. Rows without a key are never
+    picked.
     """
     if number <= 0:
         return F.lit(False)
-    drawn = rows.select(draw(key_of(name), name, seed).alias("d"), key_of(name).cast("string").alias("k")).where("k is not null")
-
-    def reached(part: DataFrame, bits: Column, wanted: int):
-        sizes = part.groupBy(bits.alias("bits")).agg(F.count("*").alias("n"))
-        upto = F.sum("n").over(Window.orderBy("bits"))
-        return sizes.withColumn("upto", upto).where(F.col("upto") >= wanted).orderBy("bits").first()
-
-    high = reached(drawn, F.shiftright("d", 16), number)
-    if high is None:
+    sizes = {bits: n for bits, n in (sizes or draw_sizes(rows, name, seed)).items() if bits is not None}
+    if number > sum(sizes.values()):
         return key_of(name).isNotNull()
-    left = number - (high["upto"] - high["n"])
-    low = reached(drawn.where(F.shiftright("d", 16) == high["bits"]), F.col("d").bitwiseAND(F.lit(0xFFFF)), left)
-    left -= low["upto"] - low["n"]
-    last = (high["bits"] << 16) + low["bits"]
-    key = drawn.where(F.col("d") == last).orderBy("k").limit(left).agg(F.max("k")).first()[0]
+    high, left = _reached(sizes, number)
+    drawn = rows.select(draw(key_of(name), name, seed).alias("d"), key_of(name).cast("string").alias("k"))
+    found = drawn.where(F.shiftright("d", 16) == high).groupBy("d").agg(F.count("*").alias("n"), F.min("k"), F.max("k")).collect()
+    last, left = _reached({r["d"]: r["n"] for r in found}, left)
+    _, n, least, greatest = next(r for r in found if r["d"] == last)
+    if left in (1, n):
+        key = least if left == 1 else greatest
+    else:
+        key = drawn.where(F.col("d") == last).orderBy("k").limit(left).agg(F.max("k")).first()[0]
     mine = draw(key_of(name), name, seed)
     return (mine < last) | ((mine == last) & (key_of(name).cast("string") <= key))
 
@@ -121,7 +135,8 @@ def exact_picks(clean: dict[str, DataFrame], share: float = DEFECT_SHARE, seed:
             rows = duplicate_orders(rows, picks["duplicate_orders"])
         if name == "late_shipment_date":
             rows = rows.where(F.col("delivered_date").isNotNull())
-        picks[name] = least_draws(rows, name, wanted(rows.count(), name, share), seed)
+        sizes = draw_sizes(rows, name, seed)
+        picks[name] = least_draws(rows, name, wanted(sum(sizes.values()), name, share), seed, sizes)
     return picks
 
 

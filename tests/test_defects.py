@@ -7,6 +7,8 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from ledgerline.operators import defects
+from ledgerline.plans import jobs
+from ledgerline.plans.warehouse import Warehouse
 from ledgerline.sources.fixtures import FixtureSource
 
 
@@ -79,3 +81,21 @@ def test_exact_numbers_of_equal_draws(spark, monkeypatch):
         pick = defects.least_draws(rows, "null_product_sku", number)
         found = sorted(r.product_id for r in rows.where(pick).collect())
         assert found == [f"{i:03d}" for i in range(want)]
+
+
+def test_draws_are_counted_once_with_the_rows_without_a_key(spark):
+    rows = spark.createDataFrame([(f"{i:03d}",) for i in range(500)] + [(None,)] * 3, "product_id string")
+    sizes = defects.draw_sizes(rows, "null_product_sku")
+    assert sizes[None] == 3 and sum(sizes.values()) == 503
+    again = defects.least_draws(rows, "null_product_sku", 40)
+    known = defects.least_draws(rows, "null_product_sku", 40, sizes=sizes)
+    assert rows.where(again).count() == 40 == rows.where(again & known).count()
+
+
+def test_keys_worked_out_from_all_lines_are_counted_from_files(spark):
+    warehouse = Warehouse(spark, FixtureSource(spark, TESTDATA))
+    clean, counted, picks = jobs._exact(warehouse)
+    for name in ("order_items", "inventory"):
+        plan = counted[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+        assert sorted(counted[name].collect()) == sorted(clean[name].select(*counted[name].columns).collect())
