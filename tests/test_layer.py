@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date, datetime, timezone
 from pathlib import Path
 
@@ -9,7 +10,9 @@ import pytest
 from conftest import TESTDATA
 from pyspark.sql import functions as F
 
+from ledgerline.functions.columns import hash_bytes
 from ledgerline.operators.changes import changes
+from ledgerline.operators.dedup import latest_by
 from ledgerline.sources import ingest
 from ledgerline.sources.fixtures import FixtureSource
 from ledgerline.sources.layer import Layer, NoTable, RawLayer, SchemaChanged
@@ -255,3 +258,43 @@ def test_change_sets_are_one_join_of_narrow_columns(spark, tmp_path):
     text = plan(found)
     assert text.count("Exchange") == 2 and text.count("FullOuter") == 1
     assert "order_status" not in text and "total_amount" not in text
+
+
+def test_finishing_columns_are_added_after_rows_have_moved(layer, rows):
+    """The table is that of rows finished before, and the rows' exchange doesn't carry the column."""
+    made = rows((1, "2024-01-05", "a"), (2, "2024-02-01", "b"), (3, None, "c"))
+    seen = []
+
+    def finish(frame):
+        seen.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return frame.withColumn("digest", F.md5("note"))
+
+    assert layer.load(made, "t", dated_by="day", finish=finish) == 3
+    assert "RebalancePartitions" in seen[-1] and "md5" not in seen[-1]
+    assert layer.table("t").columns == ["id", "day", "note", "digest"]
+    assert sorted(layer.table("t").collect()) == sorted(made.withColumn("digest", F.md5("note")).collect(), key=lambda r: r.id)
+    assert ids(layer.table("t", since=d("2024-01-20"))) == [2]
+    with pytest.raises(SchemaChanged):
+        layer.load(made, "t", dated_by="day")
+    assert layer.load(made, "u", finish=finish) == 3 and layer.table("u").columns[-1] == "digest"
+
+
+def test_hashes_as_bytes_keep_their_order(spark):
+    texts = [(hashlib.md5(str(i).encode()).hexdigest(),) for i in range(300)] + [("x",), ("",), (None,)]
+    frame = spark.createDataFrame(texts, "h string").withColumn("b", hash_bytes("h"))
+    digests = frame.where(F.length("h") == 32)
+    assert [r.h for r in digests.orderBy("b").collect()] == sorted(r.h for r in digests.collect())
+    assert {len(r.b) for r in digests.collect()} == {16}
+    assert frame.select("b").distinct().count() == 303
+
+
+def test_dedup_and_changes_move_hashes_as_bytes(spark):
+    columns = "id long, _ingested_at timestamp, _batch_id string, _record_hash string"
+    now = datetime(2024, 1, 1)
+    low, high = sorted(hashlib.md5(c).hexdigest() for c in (b"1", b"2"))
+    before = spark.createDataFrame([(1, now, "b", low), (1, now, "b", high), (2, now, "b", low), (3, now, "b", None)], columns)
+    after = spark.createDataFrame([(1, now, "b", high), (1, now, "b", low), (2, now, "b", high), (3, now, "b", None)], columns)
+    assert latest_by(before, "id").where("id = 1").collect()[0]["_record_hash"] == high
+    found = changes(before, after, "id")
+    assert [(r.id, r.change) for r in found.where("id < 3").collect()] == [(2, "update")]
+    assert "unhex" in plan(found)
