@@ -73,6 +73,13 @@ def test_written_once_and_again_when_gone(shop, tmp_path, monkeypatch):
     assert again is not first and again["daily_sums"].inputFiles()[0].startswith(f"file://{tmp_path}/2")
 
 
+def test_daily_sums_and_days_of_stock_read_the_inventory_once(spark):
+    tables = rollups.shared(catalog.open_warehouse(spark, TESTDATA)).copy()
+    tables.replace("stock_days", spark.createDataFrame([], tables["stock_days"].schema))
+    plan = tables["daily_sums"]._jdf.queryExecution().executedPlan().toString()
+    assert "/lineitem.parquet" not in plan and "/orders.parquet" in plan
+
+
 @pytest.mark.parametrize("name", ["met_monthly", "met_catalog", "ti_to_date", "ti_compare_months", "rpt_revenue_trend", "rpt_finance_kpis"])
 def test_metrics_read_no_feed(spark, name):
     plan = catalog.queries()[name](spark, TESTDATA)._jdf.queryExecution().executedPlan().toString()
