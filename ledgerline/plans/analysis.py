@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.columns import divide, is_sale, month_of, zero_if_null
 from ledgerline.operators.joins import lookup, orphan_rows
 from ledgerline.plans.intermediate import payment_status
-from ledgerline.plans.rollups import over, shared
+from ledgerline.plans.rollups import itemised, over, shared
 from ledgerline.plans.warehouse import LAYERS
 from ledgerline.session import shared_folder
 from ledgerline.settings import Settings
@@ -230,7 +230,7 @@ def row_counts(warehouse) -> DataFrame:
 
 def written_counts(warehouse) -> DataFrame:
     """Rows of the written marts. The numbers are in the footers of their files, so that no column is read."""
-    written = shared(warehouse).copy()
+    written = itemised(warehouse).copy()
     written.materialise(LAYERS["marts"], shared_folder(warehouse.spark, "counted"))
     return row_counts(written)
 
@@ -299,8 +299,8 @@ QUERIES = {
     "an_refund_analysis": refund_analysis,
     "an_revenue_by_channel": revenue_by_channel,
     "val_financial_integrity": over(shared, financial_integrity),
-    "val_orphan_records": over(shared, orphan_records),
-    "val_row_counts": over(shared, row_counts),
+    "val_orphan_records": over(itemised, orphan_records),
+    "val_row_counts": over(itemised, row_counts),
     "val_written_counts": written_counts,
     "ask_monthly_revenue": monthly_revenue_answer,
     "ask_refunds_by_reason": refunds_by_reason,

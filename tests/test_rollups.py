@@ -7,7 +7,7 @@ from datetime import date
 import pytest
 from conftest import TESTDATA
 
-from ledgerline.plans import catalog, metrics, rollups
+from ledgerline.plans import analysis, catalog, metrics, rollups
 from ledgerline.plans.reports import Slice, sliced
 from ledgerline.settings import Settings
 
@@ -80,6 +80,21 @@ def test_daily_sums_and_days_of_stock_read_the_inventory_once(spark):
     assert "/lineitem.parquet" not in plan and "/orders.parquet" in plan
 
 
+def test_order_items_are_written_for_those_that_ask(shop, tmp_path, monkeypatch):
+    written = lambda: sorted(p.name for p in tmp_path.glob("*/*"))
+    folders = iter(str(tmp_path / str(i)) for i in range(9))
+    monkeypatch.setattr(rollups, "shared_folder", lambda spark, purpose: next(folders))
+    want = rows(analysis.row_counts(shop))
+    rollups.rolled(shop)
+    assert written() == sorted(rollups.SHARED + rollups.ROLLED)
+    assert rows(analysis.row_counts(rollups.itemised(shop))) == want
+    # Only the items are added, and a missing table below them is noticed.
+    assert written() == sorted(rollups.SHARED + rollups.ROLLED + rollups.ITEMS)
+    (tmp_path / "0").rename(tmp_path.parent / f"{tmp_path.name}-moved")
+    assert rows(analysis.row_counts(rollups.itemised(shop))) == want
+    assert rollups.shared(shop) is rollups.itemised(shop)
+
+
 @pytest.mark.parametrize("name", ["met_monthly", "met_catalog", "ti_to_date", "ti_compare_months", "rpt_revenue_trend", "rpt_finance_kpis"])
 def test_metrics_read_no_feed(spark, name):
     plan = catalog.queries()[name](spark, TESTDATA)._jdf.queryExecution().executedPlan().toString()
