@@ -6,6 +6,7 @@ import pytest
 from conftest import TESTDATA, by_key
 from pyspark.sql import functions as F
 
+from ledgerline.plans import jobs
 from ledgerline.plans.warehouse import Warehouse
 from ledgerline.sources import ingest
 from ledgerline.sources.fixtures import FixtureSource
@@ -112,3 +113,49 @@ def test_failed_reload_leaves_the_table(spark, source, tmp_path):
         layer.load(broken, "raw_payouts", replace=True)
     assert layer.count("raw_payouts") == n
     assert layer.load(made.limit(3), "raw_payouts", replace=True) == 3 == layer.count("raw_payouts")
+
+
+def test_a_failed_entity_is_no_result(spark, source, tmp_path):
+    """The others are loaded, and then the run fails unless its caller looks at the rows."""
+    layer = RawLayer(spark, str(tmp_path))
+    with pytest.raises(ingest.LoadFailed, match="payments.refunds") as failed:
+        ingest.run_connector(Flaky(source), "payments", ("refunds", "payouts"), layer)
+    assert isinstance(failed.value.__cause__, ingest.ConnectorError)
+    assert layer.count("raw_payouts") == source.feed("payouts").count() and not layer.exists("raw_refunds")
+    outcome = ingest.run_connector(Flaky(source), "payments", ("refunds",), layer, report_failures=True)
+    assert outcome == [("payments", "refunds", "raw_refunds", 0, "failed")]
+    whole = ingest.run_pipeline(source, layer, connectors=(("payments", ("payouts",)),))
+    assert ingest.complete(whole) is whole
+    part = ingest.run_pipeline(Flaky(source), layer, connectors=(("payments", ("payouts", "refunds")),))
+    with pytest.raises(ingest.LoadFailed, match="payments.refunds"):
+        ingest.complete(part)
+
+
+class BreaksOff(FixtureSource):
+    """Delivers a feed once; the second time some of its rows can't be read."""
+
+    def __init__(self, spark, folder, entity):
+        super().__init__(spark, folder)
+        self.entity, self.given = entity, 0
+
+    def feed(self, entity):
+        rows = super().feed(entity)
+        if entity == self.entity:
+            self.given += 1
+            if self.given > 1:
+                column = rows.columns[-1]
+                rows = rows.withColumn(column, F.raise_error(F.lit("feed broke off")).cast(rows.schema[column].dataType))
+        return rows
+
+
+@pytest.mark.parametrize("query, entity", [("inc_mart_finance", "payouts"), ("inc_mart_sales", "refunds")])
+def test_marts_are_not_made_of_what_an_earlier_load_left(spark, query, entity):
+    warehouse = Warehouse(spark, BreaksOff(spark, TESTDATA, entity))
+    with pytest.raises(ingest.LoadFailed, match=f"all.{entity}"):
+        jobs.QUERIES[query](warehouse)
+
+
+def test_totals_are_of_a_whole_run(spark):
+    feeds = BreaksOff(spark, TESTDATA, "advertising")
+    with pytest.raises(ingest.LoadFailed, match="meta_ads.advertising"):
+        jobs.pipeline_totals(Warehouse(spark, feeds))
