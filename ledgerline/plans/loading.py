@@ -17,7 +17,7 @@ from ledgerline.functions.observed import figures
 from ledgerline.operators.joins import lookup
 from ledgerline.plans import quality
 from ledgerline.plans.quality import COUNTS, error_rows, verdicts
-from ledgerline.session import CODEC, shared_folder
+from ledgerline.session import CODEC, freed, shared_folder
 
 log = logging.getLogger(__name__)
 
@@ -75,7 +75,8 @@ class CheckedLoad:
         aggregates = [F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in wanted.items()]]
         kept = [c for c in df.columns if not c.startswith("_") or c in ("_ingested_at", "_source", "_batch_id")]
         path = f"{self.folder}/{name}"
-        df.observe(seen, *aggregates).select(*kept).write.mode("overwrite").parquet(path, compression=CODEC)
+        with freed(self.warehouse.spark):
+            df.observe(seen, *aggregates).select(*kept).write.mode("overwrite").parquet(path, compression=CODEC)
         written = self.warehouse.spark.read.schema(df.select(*kept).schema).parquet(path)
         self.warehouse.replace(name, written)
         return {"n": 0, **dict.fromkeys(wanted, 0)} | figures(seen, lambda: written)

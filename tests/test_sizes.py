@@ -1,12 +1,16 @@
 from __future__ import annotations
 
 import re
+import time
+from pathlib import Path
 
 import pytest
 from conftest import TESTDATA
+from pyspark.sql import functions as F
 
 from ledgerline import session
 from ledgerline.plans import catalog, quality
+from ledgerline.plans.loading import CheckedLoad
 from ledgerline.sources.fixtures import FixtureSource
 from ledgerline.sources.layer import Layer
 
@@ -84,3 +88,38 @@ def test_checks_that_run_alone_share_staged_tables(spark, tmp_path, monkeypatch)
     found = {r.check_id: r.status for r in quality.broken_table(catalog.open_warehouse(spark, TESTDATA)).collect()}
     assert found.pop("uniq_002") == found.pop("comp_001") == "ERROR" and "ERROR" not in found.values()
     assert {p.name for p in (tmp_path / "staged").iterdir()} == set(quality.SHARED_TABLES)
+
+
+def shuffle_files(spark) -> set[str]:
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {p.name for folder in folders for p in Path(folder.getPath()).rglob("shuffle_*")}
+
+
+def left_behind(spark, job) -> set[str]:
+    """The shuffle files a job leaves; they are deleted in the background."""
+    before = shuffle_files(spark)
+    job()
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_written_steps_leave_no_shuffle_files(spark, tmp_path):
+    def counts():
+        return spark.range(5000).groupBy((F.col("id") % 50).alias("k")).count()
+
+    made = counts()
+    assert left_behind(spark, made.collect)
+    layer = Layer(spark, str(tmp_path / "layer"))
+    assert not left_behind(spark, lambda: layer.load(counts(), "numbers"))
+    dated = counts().withColumn("day", F.expr("date_add(date'2024-01-01', cast(k as int))"))
+    assert not left_behind(spark, lambda: layer.load(dated, "dated", dated_by="day"))
+    warehouse = catalog.open_warehouse(spark, TESTDATA).copy()
+    assert not left_behind(spark, lambda: warehouse.materialise(("stg_orders",), str(tmp_path / "tables")))
+    assert not left_behind(spark, lambda: CheckedLoad(warehouse, str(tmp_path / "checked")).write("made", counts()))
+    # Frames made before or after keep theirs, and the setting is what it was.
+    assert left_behind(spark, counts().collect) and spark.conf.get(session.FREED, None) is None
+    assert made.count() == layer.count("numbers") == 50
