@@ -7,7 +7,7 @@ check. Only the result table, one row per check, ever reaches the driver.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cache
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.literals import values_table
-from ledgerline.session import shared_folder
+from ledgerline.session import freed, shared_folder, slices
 from ledgerline.settings import Settings
 
 
@@ -197,6 +197,9 @@ PROFILES: dict[Callable[..., DataFrame], tuple[str, ...]] = {
     payouts_profile: ("fin_006",),
     daily_volume_profile: ("comp_004",),
 }
+# The profiles that read the order items, and what they need of them.
+ITEM_PROFILES = (item_references, payouts_profile)
+ITEM_COLUMNS = ("order_item_id", "order_id", "quantity", "discount", "cost", "revenue")
 # Tables more than one profile reads; worth writing once before a full run.
 JOBS_AT_A_TIME = 4
 SHARED_TABLES = ("stg_orders", "stg_payments", "stg_refunds", "clean_order_items")
@@ -247,38 +250,79 @@ def error_rows(spark: SparkSession, ids: tuple[str, ...], error: Exception) -> D
     return values_table(spark, [(i, 0, 0, "", text) for i in ids], COUNTS)
 
 
-def check_counts(warehouse, ids: tuple[str, ...] | None = None, isolate: bool = True) -> DataFrame:
-    """Counts of the wanted checks.
+def _counted(warehouse, profile: Callable[..., DataFrame], wanted: tuple[str, ...], collect: bool) -> DataFrame:
+    """The wanted counts of one profile; one that can't be planned, or run where it is collected, turns into ERROR rows."""
+    try:
+        part = warehouse.run(profile).where(F.col("check_id").isin(*wanted))
+        part = part.withColumn("error", F.lit(None).cast("string"))
+        return values_table(warehouse.spark, part.collect(), COUNTS) if collect else part
+    except Exception as error:  # any failure of a check is a result, not the end of the run
+        return error_rows(warehouse.spark, wanted, error)
 
-    All profiles are one plan, which reads each table as seldom as it can. A profile that cannot be planned, for
-    instance because its table is missing, turns into ERROR rows. With ``isolate`` the plan is run here, and if it fails
-    each profile is run as a job of its own, some at a time, so that only those that fail turn into ERROR rows. Two rows
-    for each profile at most reach the driver.
-    """
-    if isolate:
-        whole = check_counts(warehouse, ids, isolate=False)
-        try:
-            return values_table(warehouse.spark, whole.collect(), COUNTS)
-        except Exception:  # some profile failed at run time; below each runs alone
-            log.warning("the checks failed as a whole and run one by one", exc_info=True)
 
-    def counted(profile: Callable[..., DataFrame], wanted: tuple[str, ...]) -> DataFrame:
-        try:
-            part = warehouse.run(profile).where(F.col("check_id").isin(*wanted))
-            part = part.withColumn("error", F.lit(None).cast("string"))
-            return values_table(warehouse.spark, part.collect(), COUNTS) if isolate else part
-        except Exception as error:  # any failure of a check is a result, not the end of the run
-            return error_rows(warehouse.spark, wanted, error)
-
-    asked = {p: tuple(i for i in answers if ids is None or i in ids) for p, answers in PROFILES.items()}
-    with ThreadPoolExecutor(JOBS_AT_A_TIME if isolate else 1) as pool:
-        parts = list(pool.map(lambda item: counted(*item), ((p, w) for p, w in asked.items() if w)))
+def _union(parts: list[DataFrame]) -> DataFrame:
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
     return whole
 
 
+Asked = dict[Callable[..., DataFrame], tuple[str, ...]]
+
+
+def _steps(warehouse, asked: Asked) -> Iterator[tuple]:
+    """The profiles that run as one plan, and the warehouse they read.
+
+    Small tables are one step. The shuffles of a plan stay on disk until its end, so profiles of large order items run
+    after the others, one by one and on items that are written before.
+    """
+    heavy = {p: asked[p] for p in ITEM_PROFILES if p in asked}
+    try:
+        given = warehouse.given("clean_order_items") is not None
+        cuts = 1 if given or len(heavy) < 2 else slices(warehouse["raw_order_items"])
+    except Exception:  # the checks that read this table report it
+        cuts = 1
+    if cuts == 1:
+        yield warehouse, asked
+        return
+    yield warehouse, {p: wanted for p, wanted in asked.items() if p not in heavy}
+    made = warehouse.copy()
+    try:
+        folder = shared_folder(warehouse.spark, "checked-items")
+        made.materialise_sliced("clean_order_items", "order_item_id", cuts, folder, ITEM_COLUMNS)
+    except Exception:  # as above
+        log.warning("order items could not be written for their checks", exc_info=True)
+    for profile, wanted in heavy.items():
+        yield made, {profile: wanted}
+
+
+def check_counts(warehouse, ids: tuple[str, ...] | None = None, isolate: bool = True) -> DataFrame:
+    """Counts of the wanted checks.
+
+    All profiles are one plan, which reads each table as seldom as it can; with ``isolate`` those of large order items
+    are plans of their own. A profile that cannot be planned, for instance because its table is missing, turns into ERROR
+    rows. With ``isolate`` plans are run here, and if one fails each of its profiles is run as a job of its own, some at
+    a time, so that only those that fail turn into ERROR rows. Two rows for each profile at most reach the driver.
+    """
+    spark = warehouse.spark
+    wanted = {p: tuple(i for i in answers if ids is None or i in ids) for p, answers in PROFILES.items()}
+    asked = {p: some for p, some in wanted.items() if some}
+    if not isolate:
+        return _union([_counted(warehouse, *item, False) for item in asked.items()])
+    rows: list = []
+    for source, some in _steps(warehouse, asked):
+        with freed(spark):
+            try:
+                rows += _union([_counted(source, *item, False) for item in some.items()]).collect()
+                continue
+            except Exception:  # some profile failed at run time; below each runs alone
+                log.warning("the checks failed as a whole and run one by one", exc_info=True)
+            with ThreadPoolExecutor(JOBS_AT_A_TIME) as pool:
+                parts = list(pool.map(lambda item: _counted(source, *item, True), some.items()))
+            rows += _union(parts).collect()
+    return values_table(spark, rows, COUNTS)
+
+
 def run(warehouse, folder: str | None = None, isolate: bool = True) -> DataFrame:
     """All checks. With ``folder`` the tables several checks share are written there once and read back."""
     for name in SHARED_TABLES if folder is not None else ():

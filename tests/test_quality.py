@@ -5,7 +5,9 @@ from datetime import date
 
 import pytest
 from conftest import TESTDATA, by_key
+from pyspark.sql import functions as F
 
+from ledgerline import session
 from ledgerline.plans import catalog, quality
 
 
@@ -110,3 +112,35 @@ def test_schema_tests(small):
     assert len(rows) == 18
     assert rows["not_null_raw_customers_email"].status == "warn"
     assert quality.unique_tests(wh).first().status == "fail"
+
+
+def test_items_written_slice_by_slice_give_the_same_result(spark, table, tmp_path, monkeypatch):
+    """Large order items: their checks run after the others, on written items."""
+    monkeypatch.setattr(session, "FILE_BYTES_PER_SLICE", 50_000)
+    monkeypatch.setattr(quality, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    plans = []
+    counted = quality._counted
+
+    def noted(warehouse, profile, *rest):
+        plans.append((warehouse, profile))
+        return counted(warehouse, profile, *rest)
+
+    monkeypatch.setattr(quality, "_counted", noted)
+    warehouse = catalog.open_warehouse(spark, TESTDATA).copy()
+    assert sorted(quality.run(warehouse).collect()) == sorted(table)
+    assert [profile for _, profile in plans[-2:]] == list(quality.ITEM_PROFILES)
+    written, = {made for made, _ in plans[-2:]}
+    assert written is not warehouse and {made for made, _ in plans[:-2]} == {warehouse}
+    items = spark.read.parquet(str(tmp_path / "checked-items" / "clean_order_items"))
+    assert items.count() == items.select("order_item_id").distinct().count() == warehouse["clean_order_items"].count()
+    assert len({p.name.split("-")[2] for p in (tmp_path / "checked-items").rglob("part-*.parquet")}) > 1
+
+
+def test_items_that_cannot_be_read_are_errors_of_their_checks_only(small, monkeypatch):
+    wh = small(orders=[dict(order_id="O1")], order_items=[dict(order_id="O1")])
+    gone = F.raise_error(F.lit("items are gone")).cast("string")
+    wh.replace("raw_order_items", wh["raw_order_items"].withColumn("order_id", F.coalesce(gone, "order_id")))
+    monkeypatch.setattr(quality, "slices", lambda feed: 2)
+    rows = by_key(quality.run(wh), "check_id")
+    assert rows["ref_001"].status == "ERROR"
+    assert rows["uniq_001"].status == "PASS"
