@@ -123,3 +123,31 @@ def test_written_steps_leave_no_shuffle_files(spark, tmp_path):
     # Frames made before or after keep theirs, and the setting is what it was.
     assert left_behind(spark, counts().collect) and spark.conf.get(session.FREED, None) is None
     assert made.count() == layer.count("numbers") == 50
+
+
+def test_broadcasts_are_bounded_by_more_than_the_files(unsized, tmp_path, monkeypatch):
+    """A table is broadcast by three times the size of its files, while shuffles are still sized by the files."""
+    spark, limit = unsized, "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.unset(session.FACTOR)
+    spark.range(100_000).selectExpr("id", "id as other").write.parquet(str(tmp_path / "rows"))
+    plain = int(str(spark.read.parquet(str(tmp_path / "rows"))._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    had = spark.conf.get(limit)
+
+    def plan(threshold):
+        spark.conf.set(limit, str(threshold))
+        rows = spark.read.parquet(str(tmp_path / "rows"))
+        text = rows.join(rows.withColumnRenamed("other", "name"), "id")._jdf.queryExecution().executedPlan().toString()
+        return "BroadcastHashJoin" in text
+
+    try:
+        assert plan(2 * plain)
+        session.prepare(spark)
+        assert not plan(2 * plain) and plan(4 * plain)
+        assert session.file_bytes(spark.read.parquet(str(tmp_path / "rows"))) == plain
+        spark.conf.set(session.FACTOR, "1.5")
+        session.prepare(spark)
+        assert plan(2 * plain)
+    finally:
+        spark.conf.set(limit, had)
+        spark.conf.unset(session.FACTOR)
+        session.prepare(spark)
