@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta, timezone
 import pytest
 from conftest import DEFAULTS
 
+from ledgerline import session
 from ledgerline.plans.incremental import TABLES, MonthlyMarts
 from ledgerline.plans.warehouse import Warehouse
 from ledgerline.sources import ingest
@@ -197,3 +198,25 @@ def test_random_changes(shop):
         shop.reload()
         shop.marts.refresh()
         shop.same()
+
+
+def test_large_feeds_are_followed_slice_by_slice(shop, monkeypatch):
+    """Changes and rows of the orders concerned are written in slices; the result is that of a rebuild."""
+    monkeypatch.setattr(session, "FILE_BYTES_PER_SLICE", 3000)
+    shop.rows["orders"][5]["order_date"] = date(2025, 2, 2)
+    shop.rows["order_items"][5]["revenue"] = 500.0
+    shop.rows["order_items"][6]["order_id"] = None
+    shop.rows["order_items"][7] = {**shop.rows["order_items"][7], "order_id": "O2"}
+    del shop.rows["refunds"][2]
+    shop.reload("orders", "order_items", "refunds")
+    shop.marts.refresh()
+    shop.same()
+    assert shop.marts.tables.version("orders_concerned") > 3
+    for feed in ("raw_orders", "raw_order_items"):
+        assert shop.marts.tables.version(f"{feed}_concerned") == session.slices(shop.layer.table(feed)) > 1
+    assert shop.marts.table("raw_order_items_concerned").count() < shop.layer.count("raw_order_items")
+    # The next refresh starts these tables anew.
+    shop.rows["order_items"][8]["revenue"] = 600.0
+    shop.reload("order_items")
+    assert len(shop.marts.refresh()) == 1
+    shop.same()
